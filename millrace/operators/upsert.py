@@ -12,6 +12,8 @@ Layout below ``root``: ``log/<table>/stream=<s>/batch_id=<n>`` and
 
 from __future__ import annotations
 
+import re
+import zlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.plans.definitions import TableDef
-from millrace.sources.paths import exists, numbered_children
+from millrace.sources.paths import complete_children, exists
 
 # Names the log and the aggregate over it need for themselves.
 BATCH, _AT, _FROM = "batch_id", "_at", "_from"
@@ -38,7 +40,7 @@ class Layer:
     frame: DataFrame
     batch: Column
     position: int
-    order_by: tuple[str, ...] = ()
+    order_by: tuple[str, ...]
 
 
 def _hashable(kind: T.DataType) -> bool:
@@ -50,71 +52,113 @@ def _hashable(kind: T.DataType) -> bool:
 
 
 def _order_types(layers: Sequence[Layer]) -> list[T.DataType]:
-    for layer in layers:
-        if layer.order_by:
-            return [layer.frame.schema[c].dataType for c in layer.order_by]
-    return []
+    return [layers[0].frame.schema[c].dataType for c in layers[0].order_by]
 
 
-def _stamped(layer: Layer, key: Sequence[str], order: list[T.DataType]) -> DataFrame:
+def _stamped(layer: Layer, order: list[T.DataType]) -> DataFrame:
     frame = layer.frame
     parts = [layer.batch.cast("bigint").alias("batch"), F.lit(layer.position).alias("position")]
     for i, kind in enumerate(order):
-        value = F.col(layer.order_by[i]) if layer.order_by else F.lit(None)
-        parts.append(value.cast(kind).alias(f"order{i}"))
-    tie = F.lit(0)
-    if layer.order_by:
-        # rows equal in order_by: the same one wins in every run and retry
-        known = [f.name for f in frame.schema if _hashable(f.dataType)]
-        tie = F.xxhash64(*[F.col(f"`{c}`") for c in known])
-    parts.append(tie.cast("bigint").alias("tie"))
+        parts.append(F.col(f"`{layer.order_by[i]}`").cast(kind).alias(f"order{i}"))
+    # rows equal in order_by: the same one wins in every run and retry
+    known = [f.name for f in frame.schema if _hashable(f.dataType)]
+    parts.append(F.xxhash64(*[F.col(f"`{c}`") for c in known]).alias("tie"))
     at = {_AT: F.struct(*parts), _FROM: F.lit(layer.position)}
     return frame.withColumns(at).drop(BATCH)
 
 
-def latest_rows(layers: Sequence[Layer], key: Sequence[str]) -> DataFrame:
-    """One row per key, every column as last written by a layer that has it.
+@dataclass(frozen=True)
+class _Picks:
+    """One row per key; per set of suppliers a struct of the columns they wrote last."""
 
-    An explicit null overwrites; a column a layer does not have keeps its
-    value. Columns with the same suppliers travel together, so the aggregate
-    holds one ``max_by`` per distinct set of suppliers.
-    """
+    frame: DataFrame
+    members: tuple[tuple[str, ...], ...]
+
+    def written(self, i: int) -> Column:
+        """Null where none of the suppliers wrote this key, else their columns."""
+        return F.col(f"_pick{i}")
+
+    def values(self) -> dict[str, tuple[Column, Column]]:
+        """By column: the struct it came in, and the value."""
+        return {
+            c: (self.written(i), self.written(i).getField(c))
+            for i, columns in enumerate(self.members)
+            for c in columns
+        }
+
+
+def _picks(layers: Sequence[Layer], key: Sequence[str]) -> _Picks:
     order = _order_types(layers)
-    stamped = [_stamped(layer, key, order) for layer in layers]
-    rows = stamped[0]
-    for other in stamped[1:]:
-        rows = rows.unionByName(other, allowMissingColumns=True)
+    rows = None
+    for layer in layers:
+        stamped = _stamped(layer, order)
+        rows = stamped if rows is None else rows.unionByName(stamped, allowMissingColumns=True)
 
     columns = [c for c in rows.columns if c not in (_AT, _FROM, *key)]
     suppliers: dict[tuple[int, ...], list[str]] = {}
     for column in columns:
         having = {x.position for x in layers if column in x.frame.columns}
         suppliers.setdefault(tuple(sorted(having)), []).append(column)
+    members = tuple(tuple(m) for m in suppliers.values())
 
     everyone = tuple(sorted({x.position for x in layers}))
     picks = []
-    for i, (having, members) in enumerate(suppliers.items()):
+    for i, having in enumerate(suppliers):
         at = F.col(_AT)
         if having != everyone:
             at = F.when(F.col(_FROM).isin(*having), at)
-        picks.append(F.max_by(F.struct(*[F.col(f"`{c}`") for c in members]), at).alias(f"_pick{i}"))
-    if not picks:
-        return rows.select(*key).distinct()
-    place = {c: i for i, members in enumerate(suppliers.values()) for c in members}
-    return (
-        rows.groupBy(*key)
-        .agg(*picks)
-        .select(*key, *[F.col(f"_pick{place[c]}").getField(c).alias(c) for c in columns])
-    )
+        record = F.struct(*[F.col(f"`{c}`") for c in members[i]])
+        picks.append(F.max_by(record, at).alias(f"_pick{i}"))
+    grouped = rows.groupBy(*key)
+    return _Picks(grouped.agg(*picks) if picks else rows.select(*key).distinct(), members)
+
+
+def latest_rows(layers: Sequence[Layer], key: Sequence[str]) -> DataFrame:
+    """One row per key, every column as last written by a layer that has it.
+
+    An explicit null overwrites; a column a layer does not have keeps its
+    value. Columns with the same suppliers travel together, so the aggregate
+    holds one ``max_by`` per distinct set of suppliers.
+    """
+    picks = _picks(layers, key)
+    found = [value.alias(c) for c, (_, value) in picks.values().items()]
+    return picks.frame.select(*key, *found)
+
+
+def overlay(base: DataFrame, layers: Sequence[Layer], key: Sequence[str]) -> DataFrame:
+    """A table with one row per key after the layers were written to it.
+
+    Only the layers are aggregated. The base takes part in one join on the
+    key, without a shuffle where it is bucketed by it.
+    """
+    if not layers:
+        return base
+    picks = _picks(layers, key)
+    written = picks.values()
+    mine = {k: f"_base_{k}" for k in key}
+    kept = base.withColumnsRenamed(mine)
+    match = [kept[mine[k]] == picks.frame[k] for k in key]
+    joined = kept.join(picks.frame, match, "full_outer")
+    columns = [F.coalesce(F.col(f"`{k}`"), F.col(f"`{mine[k]}`")).alias(k) for k in key]
+    for column in (c for c in base.columns if c not in key):
+        value = F.col(f"`{column}`")
+        if column in written:
+            pick, new = written[column]
+            value = F.when(pick.isNotNull(), new).otherwise(value)
+        columns.append(value.alias(column))
+    added = [v.alias(c) for c, (_, v) in written.items() if c not in base.columns]
+    return joined.select(*columns, *added)
 
 
 def upsert_rows(
     existing: DataFrame, updates: DataFrame, key: Sequence[str], order_by: Sequence[str]
 ) -> DataFrame:
-    """``existing`` after inserting the new keys and overwriting the known ones."""
-    return latest_rows(
-        [Layer(existing, F.lit(0), 0), Layer(updates, F.lit(1), 1, tuple(order_by))], key
-    )
+    """``existing`` after inserting the new keys and overwriting the known ones.
+
+    ``existing`` has one row per key; of updates with equal keys the greatest
+    by ``order_by`` counts.
+    """
+    return overlay(existing, [Layer(updates, F.lit(0), 0, tuple(order_by))], key)
 
 
 def merge_into(updates: DataFrame, table: str, key: Sequence[str], order_by: Sequence[str]) -> None:
@@ -150,34 +194,45 @@ def append_log(rows: DataFrame, root: str, table: str, stream: str, batch_id: in
 
 def base_version(spark: SparkSession, root: str, table: str, upto: int | None = None) -> int | None:
     """The newest complete base layer, at most ``upto``."""
-    home = base_dir(root, table)
-    for version in reversed(numbered_children(spark, home, "upto=")):
-        if (upto is None or version <= upto) and exists(spark, f"{home}/upto={version}/_SUCCESS"):
-            return version
-    return None
+    versions = complete_children(spark, base_dir(root, table), "upto=")
+    return max((v for v in versions if upto is None or v <= upto), default=None)
+
+
+def _bucketed_name(root: str, table: str, version: int) -> str:
+    """The catalog name of a bucketed base; the root is part of it."""
+    mark = f"{zlib.crc32(root.encode()):08x}"
+    return f"millrace_{re.sub('[^a-z0-9]', '_', table.lower())}_{mark}_{version}"
+
+
+def read_base(spark: SparkSession, root: str, table: str, version: int) -> DataFrame:
+    """A base layer, through the catalog where it was written as a bucketed table."""
+    name = _bucketed_name(root, table, version)
+    if spark.catalog.tableExists(name):
+        return spark.table(name)
+    return spark.read.parquet(f"{base_dir(root, table)}/upto={version}")
+
+
+def _bucket_count(spark: SparkSession, root: str, table: str, version: int | None) -> int | None:
+    """How many buckets a base layer has; None where it is not bucketed."""
+    if version is None or not spark.catalog.tableExists(_bucketed_name(root, table, version)):
+        return None
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {_bucketed_name(root, table, version)}")
+    return int(described.filter("col_name = 'Num Buckets'").first()["data_type"])
 
 
 def log_layers(
-    spark: SparkSession, root: str, table: TableDef, upto: int | None = None
+    spark: SparkSession, root: str, table: TableDef, after: int | None, upto: int | None
 ) -> list[Layer]:
-    """The base layer, if any, and the batches stored after it."""
+    """The batches of every stream stored in the given range."""
     layers = []
-    version = base_version(spark, root, table.name, upto)
-    if version is not None:
-        base = spark.read.parquet(f"{base_dir(root, table.name)}/upto={version}")
-        layers.append(Layer(base, F.lit(version), -1))
     for position, stream in enumerate(table.streams):
         home = log_dir(root, table.name, stream.name)
-        stored = numbered_children(spark, home, "batch_id=")
-        wanted = [
-            n
-            for n in stored
-            if (version is None or n > version)
-            and (upto is None or n <= upto)
-            and exists(spark, f"{home}/batch_id={n}/_SUCCESS")
+        paths = [
+            f"{home}/{BATCH}={n}"
+            for n in complete_children(spark, home, f"{BATCH}=")
+            if (after is None or n > after) and (upto is None or n <= upto)
         ]
-        if wanted:
-            paths = [f"{home}/batch_id={n}" for n in wanted]
+        if paths:
             rows = spark.read.option("basePath", home).parquet(*paths)
             layers.append(Layer(rows, F.col(BATCH), position, stream.order_by))
     return layers
@@ -187,18 +242,36 @@ def snapshot(
     spark: SparkSession, root: str, table: TableDef, upto: int | None = None
 ) -> DataFrame:
     """The table as of a batch, by default of the last one stored."""
-    layers = log_layers(spark, root, table, upto)
+    version = base_version(spark, root, table.name, upto)
+    layers = log_layers(spark, root, table, version, upto)
+    if version is not None:
+        return overlay(read_base(spark, root, table.name, version), layers, table.key)
     if not layers:
         raise ValueError(f"table {table.name}: nothing stored below {root}")
     return latest_rows(layers, table.key)
 
 
-def compact(spark: SparkSession, root: str, table: TableDef, upto: int) -> None:
+def compact(
+    spark: SparkSession, root: str, table: TableDef, upto: int, buckets: int | None = None
+) -> None:
     """Write the table as of a committed batch as its new base layer.
 
-    Nothing that readers may be using is touched: the layer gets a directory
-    of its own and counts once complete.
+    With ``buckets`` the layer is also a catalog table bucketed by the key, so
+    that neither snapshots nor the next compaction shuffle it. Nothing readers
+    may be using is touched: the layer gets a directory of its own and counts
+    once complete.
     """
     target = f"{base_dir(root, table.name)}/upto={upto}"
-    if not exists(spark, f"{target}/_SUCCESS"):
-        snapshot(spark, root, table, upto).write.mode("overwrite").parquet(target)
+    if exists(spark, f"{target}/_SUCCESS"):
+        return
+    rows = snapshot(spark, root, table, upto)
+    if buckets is None:
+        rows.write.mode("overwrite").parquet(target)
+        return
+    before = base_version(spark, root, table.name, upto)
+    if _bucket_count(spark, root, table.name, before) != buckets:
+        # else the join with the bucketed base has left the rows bucket by bucket
+        rows = rows.repartition(buckets, *table.key)
+    writer = rows.write.mode("overwrite").option("path", target)
+    writer = writer.bucketBy(buckets, *table.key).sortBy(*table.key)
+    writer.saveAsTable(_bucketed_name(root, table.name, upto))

@@ -26,10 +26,21 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(target))
 
 
+def _numbers(names: list[str], prefix: str) -> list[int]:
+    found = (n.removeprefix(prefix) for n in names if n.startswith(prefix))
+    return sorted(int(n) for n in found if n.isdigit())
+
+
 def numbered_children(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    """The numbers n of all directories named ``<prefix><n>``, ascending."""
-    names = (n.removeprefix(prefix) for n in child_names(spark, path) if n.startswith(prefix))
-    return sorted(int(n) for n in names if n.isdigit())
+    """The numbers n of all entries named ``<prefix><n>``, ascending."""
+    return _numbers(child_names(spark, path), prefix)
+
+
+def complete_children(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """The same for directories whose writing job has finished."""
+    target, fs = _path(spark, f"{path}/{prefix}*/_SUCCESS")
+    marks = fs.globStatus(target) or []
+    return _numbers([m.getPath().getParent().getName() for m in marks], prefix)
 
 
 def scratch(spark: SparkSession) -> str:

@@ -14,7 +14,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SNAPSHOT = T.StructType.fromDDL("subject string, version int, id int, schema string")
+SNAPSHOT = (
+    T.StructType()
+    .add("subject", T.StringType())
+    .add("version", T.IntegerType())
+    .add("id", T.IntegerType())
+    .add("schema", T.StringType())
+)
 
 # Avro type names and the Spark types they stand for.
 PRIMITIVES = {

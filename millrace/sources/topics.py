@@ -15,8 +15,14 @@ from pyspark.sql import types as T
 
 from millrace.functions.codec import to_json_bytes
 
-TOPIC_ROW = T.StructType.fromDDL(
-    "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp"
+TOPIC_ROW = (
+    T.StructType()
+    .add("key", T.BinaryType())
+    .add("value", T.BinaryType())
+    .add("topic", T.StringType())
+    .add("partition", T.IntegerType())
+    .add("offset", T.LongType())
+    .add("timestamp", T.TimestampType())
 )
 
 

@@ -206,9 +206,9 @@ class TopicPipeline:
         """A destination table's rows, as of a batch if given."""
         return snapshot(self.spark, self.root, self.tables[name], upto)
 
-    def compact(self, name: str, upto: int) -> None:
+    def compact(self, name: str, upto: int, buckets: int | None = None) -> None:
         """Fold a table's batches up to a committed one into a base layer."""
-        compact(self.spark, self.root, self.tables[name], upto)
+        compact(self.spark, self.root, self.tables[name], upto, buckets)
 
 
 def committed_batch(spark: SparkSession, checkpoint: str) -> int | None:

@@ -1,0 +1,84 @@
+import json
+
+import pytest
+from pyspark.sql import types as T
+
+from millrace import TopicContract, contracts
+from millrace.sources.registry import SNAPSHOT, required_fields, struct_of
+from workload.fixtures import EVENT_V1, EVENT_V2, registry_snapshot
+
+
+def test_latest_version_wins_and_all_writers_are_known(spark):
+    found = contracts(registry_snapshot(spark), ["click", "view"])
+    assert found["click"].latest_id == 102
+    assert found["click"].struct.fieldNames()[-1] == "props"
+    assert set(found["click"].writers) == {101, 102}
+    assert found["view"].latest_id == 502
+
+
+def test_key_side(spark):
+    found = contracts(registry_snapshot(spark), ["conversation"], side="key")
+    assert found["conversation"].struct.fieldNames() == ["conv_id", "turn"]
+
+
+def test_versions_compare_as_numbers(spark):
+    entries = [("t-value", v, v, EVENT_V2 if v == 10 else EVENT_V1) for v in (9, 10, 2)]
+    found = contracts(spark.createDataFrame(entries, SNAPSHOT), ["t"])
+    assert found["t"].latest_id == 10
+
+
+def test_missing_subject_is_refused(spark):
+    with pytest.raises(ValueError, match="no value schema registered for \\['nosuch'\\]"):
+        contracts(registry_snapshot(spark), ["click", "nosuch"])
+
+
+def test_types():
+    schema = {
+        "type": "record",
+        "name": "r",
+        "fields": [
+            {"name": "b", "type": "boolean"},
+            {"name": "i", "type": ["null", "int"]},
+            {"name": "wide", "type": ["int", "long"]},
+            {"name": "real", "type": ["null", "float", "double"]},
+            {"name": "e", "type": {"type": "enum", "name": "kind", "symbols": ["A"]}},
+            {"name": "e2", "type": "kind"},
+            {"name": "raw", "type": "bytes"},
+            {
+                "name": "price",
+                "type": {"type": "bytes", "logicalType": "decimal", "precision": 12, "scale": 2},
+            },
+            {"name": "day", "type": {"type": "int", "logicalType": "date"}},
+            {"name": "at", "type": {"type": "long", "logicalType": "timestamp-millis"}},
+            {"name": "tags", "type": {"type": "array", "items": "string"}},
+            {"name": "attrs", "type": {"type": "map", "values": "long"}},
+            {
+                "name": "sub",
+                "type": {"type": "record", "name": "s", "fields": [{"name": "x", "type": "long"}]},
+            },
+            {"name": "either", "type": ["string", "long"]},
+        ],
+    }
+    assert struct_of(json.dumps(schema)) == T.StructType.fromDDL(
+        "b boolean, i int, wide bigint, real double, e string, e2 string, raw binary,"
+        "price decimal(12,2), day date, at timestamp, tags array<string>,"
+        "attrs map<string,bigint>, sub struct<x: bigint>,"
+        "either struct<member0: string, member1: bigint>"
+    )
+
+
+def test_every_column_is_nullable():
+    assert all(f.nullable for f in struct_of(EVENT_V1))
+    assert required_fields(EVENT_V2) == ["event_id", "user_id", "value"]
+
+
+def test_top_level_must_be_a_record():
+    with pytest.raises(ValueError, match="record"):
+        struct_of('"string"')
+
+
+def test_avro_contract_needs_its_schema():
+    with pytest.raises(ValueError, match="latest schema id"):
+        TopicContract("t", T.StructType(), codec="avro")
+    with pytest.raises(ValueError, match="codec"):
+        TopicContract("t", T.StructType(), codec="xml")

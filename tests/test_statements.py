@@ -1,0 +1,163 @@
+import pytest
+from pyspark.sql import types as T
+
+from millrace import (
+    KafkaSource,
+    ReplicaDef,
+    StreamDef,
+    TopicContract,
+    check_streams,
+    replica_from,
+    settings_from,
+    statement,
+    view_name,
+)
+from millrace.functions.text import split_values
+
+STRUCT = (
+    T.StructType()
+    .add("user_id", T.LongType())
+    .add("value", T.DoubleType())
+    .add("event_id", T.LongType())
+)
+
+
+def contracts_for(*topics):
+    return {t: TopicContract(t, STRUCT) for t in topics}
+
+
+def stream(name="s", topic="t", table="out", **more):
+    more = {"transform": "user_id, event_id", "order_by": "event_id"} | more
+    return StreamDef(name, topic, table, "user_id", **more)
+
+
+def test_statement_text():
+    assert view_name("My.Topic-1") == "`TMP_MY.TOPIC-1`"
+    assert statement(stream(filter="value > 1")) == "SELECT user_id, event_id FROM `TMP_T` WHERE value > 1"
+    assert statement(stream(sql="SELECT 1")) == "SELECT 1"
+
+
+def test_output_schema_is_known_before_any_row(spark):
+    schemas = check_streams(spark, [stream(transform="user_id, event_id, value * 2 AS v")], contracts_for("t"))
+    assert schemas["s"].simpleString() == "struct<user_id:bigint,event_id:bigint,v:double>"
+
+
+def test_check_leaves_the_callers_views_alone(spark):
+    spark.range(3).createOrReplaceTempView("TMP_T")
+    check_streams(spark, [stream()], contracts_for("t"))
+    assert spark.table("TMP_T").count() == 3
+    spark.catalog.dropTempView("TMP_T")
+
+
+@pytest.mark.parametrize(
+    ("streams", "message"),
+    [
+        ([stream(transform="nosuch, user_id, event_id")], "nosuch"),
+        ([stream(filter="user_id >")], "stream s"),
+        ([stream(transform="event_id")], "does not return \\['user_id'\\]"),
+        ([stream(transform="user_id, value")], "does not return \\['event_id'\\]"),
+        ([stream(transform="user_id, event_id, event_id")], "not unique"),
+        ([stream(), stream()], "names must be unique"),
+        ([stream(topic="src"), stream("s2", topic="SRC")], "differ only in case"),
+        ([stream(topic="unknown")], "no contract"),
+        (
+            [stream(), stream("s2", transform="user_id, event_id, 'x' AS value"),
+             stream("s3", transform="user_id, event_id, value")],
+            "different types",
+        ),
+        ([stream(), stream("s2", order_by=("value",), transform="user_id, value")], "order by"),
+    ],
+)
+def test_wrong_streams_are_refused_at_start(spark, streams, message):
+    with pytest.raises(ValueError, match=message):
+        check_streams(spark, streams, contracts_for("t", "src", "SRC"))
+
+
+@pytest.mark.parametrize(
+    ("parts", "message"),
+    [
+        ({"transform": " \n "}, "transform is blank"),
+        ({"filter": ""}, "filter is blank"),
+        ({"order_by": ()}, "order_by is empty"),
+    ],
+)
+def test_blank_parts_are_refused(parts, message):
+    with pytest.raises(ValueError, match=message):
+        stream(**parts)
+
+
+def test_default_order_is_the_topic_offset(spark):
+    one = StreamDef("s", "t", "out", "user_id", "user_id, _offset")
+    assert "_offset" in check_streams(spark, [one], contracts_for("t"))["s"].fieldNames()
+    with pytest.raises(ValueError, match="_offset"):
+        check_streams(spark, [StreamDef("s", "t", "out", "user_id", "user_id")], contracts_for("t"))
+
+
+def test_keys_of_one_table_must_agree(spark):
+    other = StreamDef("s2", "t", "out", "event_id", "user_id, event_id", order_by="event_id")
+    with pytest.raises(ValueError, match="different keys"):
+        check_streams(spark, [stream(), other], contracts_for("t"))
+
+
+def test_settings_from_a_config_dictionary():
+    settings = settings_from(
+        {
+            "app": {
+                "kafka": {"broker": "b:9092", "autoResetOffest": "earliest", "groupID": "g"},
+                "spark": {"batchDur": 15, "partition": {"maxRecordCount": 1000, "count": 4}},
+                "logdir": "/data",
+                "streams": [
+                    {"srcTopic": "src", "destTable": "a", "transform": "*", "filter": "1=1",
+                     "key": "id", "order_by": ["ts"]},
+                    {"srcTopic": "src", "destTable": "b", "sql": "SELECT 1", "key": ["id"]},
+                ],
+            }
+        }
+    )
+    assert settings.batch_seconds == 15 and settings.sizing.max_records == 1000
+    assert [s.name for s in settings.streams] == ["src-a", "src-b"]
+    assert settings.streams[0].order_by == ("ts",)
+    assert settings.source(max_offsets_per_batch=5).reader_options() == {
+        "kafka.bootstrap.servers": "b:9092",
+        "subscribe": "src",
+        "startingOffsets": "earliest",
+        "kafka.group.id": "g",
+        "maxOffsetsPerTrigger": "5",
+    }
+
+
+def test_start_position_is_checked():
+    with pytest.raises(ValueError, match="latest or earliest"):
+        KafkaSource("b", ("t",), start="middle").reader_options()
+
+
+def test_replica_from_a_config_dictionary():
+    replica, source, target = replica_from(
+        {
+            "app": {
+                "id": "copy",
+                "from": {"topic": "test", "cluster": "a:1"},
+                "to": {"topic": "rep", "cluster": "b:2"},
+                "filter": {"field": "number", "values": "1,2,,"},
+            }
+        }
+    )
+    assert replica == ReplicaDef("test", "rep", "number", ("1", "2"))
+    assert (source.brokers, source.topics, target) == ("a:1", ("test",), "b:2")
+
+
+@pytest.mark.parametrize(
+    ("text", "parts"),
+    [
+        ("3,7", ["3", "7"]),
+        ("3,7,,", ["3", "7"]),
+        (" 3", [" 3"]),
+        (",3", ["", "3"]),
+        ("3,,7", ["3", "", "7"]),
+        ("", [""]),
+        (",", []),
+        (["a,b", ""], ["a,b", ""]),
+    ],
+)
+def test_value_lists(text, parts):
+    assert split_values(text) == parts

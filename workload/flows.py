@@ -407,6 +407,7 @@ def upsert_partial_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 @flow(_latest("click", "user_id, value, event_id", "value > 1"))
 def compacted_equals_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = _replayed(spark, sf_dir, [CLICKS])
+    work.compact("user_clicks", 0)
     work.compact("user_clicks", 1)
     return work.table("user_clicks")
 
