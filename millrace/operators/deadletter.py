@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.conform import REASON
-from millrace.sources.paths import child_names
+from millrace.sources.paths import complete_children
 from millrace.sources.topics import TOPIC_ROW
 
 ERROR = "_error"
@@ -56,28 +56,28 @@ def write_failed(rows: DataFrame, root: str, stream: str, batch_id: int) -> None
     rows.write.mode("overwrite").parquet(target)
 
 
-def _read(spark: SparkSession, home: str, folders: list[str]) -> DataFrame | None:
-    if not folders:
+def _read(spark: SparkSession, home: str) -> DataFrame | None:
+    """All complete batches of a dead letter; a write that failed is no batch."""
+    batches = complete_children(spark, home, "batch_id=")
+    if not batches:
         return None
-    return spark.read.option("basePath", home).parquet(*[f"{home}/{f}" for f in folders])
+    reader = spark.read.option("basePath", home)
+    return reader.parquet(*[f"{home}/batch_id={n}" for n in batches])
 
 
 def read_raw(spark: SparkSession, root: str) -> DataFrame | None:
     """Untypable topic rows of all batches, with ``batch_id``; None if there are none."""
-    home = f"{root}/dead/raw"
-    return _read(spark, home, child_names(spark, home))
+    return _read(spark, f"{root}/dead/raw")
 
 
 def read_rows(spark: SparkSession, root: str, stream: str) -> DataFrame | None:
     """Result rows one stream's table could not take."""
-    home = f"{root}/dead/rows/stream={stream}"
-    return _read(spark, home, child_names(spark, home))
+    return _read(spark, f"{root}/dead/rows/stream={stream}")
 
 
 def read_failed(spark: SparkSession, root: str, stream: str) -> DataFrame | None:
     """Topic rows one stream's statement failed on."""
-    home = f"{root}/dead/failed/stream={stream}"
-    return _read(spark, home, child_names(spark, home))
+    return _read(spark, f"{root}/dead/failed/stream={stream}")
 
 
 def replayable(dead: DataFrame) -> DataFrame:
