@@ -55,14 +55,27 @@ def frame(body: Column, schema_id: int) -> Column:
     return F.concat(F.lit(FRAME_MAGIC + schema_id.to_bytes(4, "big")), body)
 
 
-def is_framed(value: Column) -> Column:
-    return (F.length(value) >= FRAME_BYTES) & (F.substring(value, 1, 1) == F.lit(FRAME_MAGIC))
+def frame_id_sql(value: str) -> str:
+    """The schema id of a framed value."""
+    return f"CAST(conv(hex(substring({value}, 2, 4)), 16, 10) AS INT)"
 
 
-def frame_id(value: Column) -> Column:
-    """The schema id of a framed value."""
-    return F.conv(F.hex(F.substring(value, 2, 4)), 16, 10).cast("int")
+def is_framed_sql(value: str) -> str:
+    magic = f"X'{FRAME_MAGIC.hex()}'"
+    return f"(length({value}) >= {FRAME_BYTES} AND substring({value}, 1, 1) = {magic})"
+
+
+def frame_body_sql(value: str) -> str:
+    return f"substring({value}, {FRAME_BYTES + 1})"
+
+
+def frame_id(value: str) -> Column:
+    return F.expr(frame_id_sql(value))
+
+
+def is_framed(value: str) -> Column:
+    return F.expr(is_framed_sql(value))
 
 
-def frame_body(value: Column) -> Column:
-    return F.substring(value, FRAME_BYTES + 1, 2**31 - 1)
+def frame_body(value: str) -> Column:
+    return F.expr(frame_body_sql(value))

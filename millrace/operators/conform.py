@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions import codec
+from millrace.functions.text import literal, name
 from millrace.sources.registry import TopicContract, struct_of
 
 NULL_VALUE = "null_value"
@@ -47,16 +48,16 @@ def topic_rows_of(rows: DataFrame, topic: str) -> DataFrame:
     return rows.filter(F.col("topic") == topic)
 
 
-def _envelope_problem(value: Column, contract: TopicContract) -> Column:
-    problem = F.when(value.isNull(), NULL_VALUE)
+def _envelope_problem(contract: TopicContract) -> str:
+    cases = f"WHEN value IS NULL THEN '{NULL_VALUE}'"
     if contract.framed:
-        problem = problem.when(~codec.is_framed(value), BAD_ENVELOPE).when(
-            ~codec.frame_id(value).isin(*contract.writers), UNKNOWN_SCHEMA
-        )
-    return problem
+        known = ", ".join(str(i) for i in contract.writers)
+        cases += f" WHEN NOT {codec.is_framed_sql('value')} THEN '{BAD_ENVELOPE}'"
+        cases += f" WHEN {codec.frame_id_sql('value')} NOT IN ({known}) THEN '{UNKNOWN_SCHEMA}'"
+    return f"CASE {cases} END"
 
 
-def _by_writer(value: Column, body: Column, contract: TopicContract) -> Column:
+def _by_writer(body: Column, contract: TopicContract) -> Column:
     """Avro bytes decoded by the schema each row was written with.
 
     Every branch projects the writer's fields onto the contract by name, so
@@ -77,15 +78,15 @@ def _by_writer(value: Column, body: Column, contract: TopicContract) -> Column:
         return one(contract.writers[contract.latest_id])
     decoded = None
     for schema_id, schema in contract.writers.items():
-        hit = codec.frame_id(value) == schema_id
+        hit = codec.frame_id("value") == schema_id
         decoded = F.when(hit, one(schema)) if decoded is None else decoded.when(hit, one(schema))
     return decoded
 
 
-def _decoded(value: Column, contract: TopicContract) -> Column:
-    body = codec.frame_body(value) if contract.framed else value
+def _decoded(contract: TopicContract) -> Column:
+    body = codec.frame_body("value") if contract.framed else F.col("value")
     if contract.codec == "avro":
-        return _by_writer(value, body, contract)
+        return _by_writer(body, contract)
     return codec.from_json_bytes(body, contract.struct)
 
 
@@ -107,74 +108,59 @@ class TypedBatch:
     ):
         self.contracts = {c.topic: c for c in contracts}
         self._position = {t: i for i, t in enumerate(self.contracts)}
-        topic, value = F.col("topic"), F.col("value")
-
-        envelope = {t: _envelope_problem(value, c) for t, c in self.contracts.items()}
-        opened = rows.filter(topic.isin(*self.contracts)).withColumn(REASON, self._per_topic(envelope))
+        envelope = self._per_topic(lambda t: _envelope_problem(self.contracts[t]))
+        subscribed = rows.filter(F.col("topic").isin(*self.contracts))
+        opened = subscribed.withColumn(REASON, F.expr(envelope))
         # A generator, not a projection: the optimizer would copy the parse into
         # every filter and column that uses it. This way each value is parsed once.
-        records = F.struct(
-            *[
-                F.when((topic == t) & F.col(REASON).isNull(), _decoded(value, c)).alias(
-                    _record_name(self._position[t])
-                )
-                for t, c in self.contracts.items()
-            ]
-        )
-        parsed = opened.select("*", F.inline(F.array(records)))
-        reason = F.coalesce(
-            F.col(REASON),
-            self._per_topic({t: self._payload_problem(t) for t in self.contracts}),
-        )
-        self.frame = parsed.select(
+        records = [
+            F.when(F.expr(f"topic = {literal(t)} AND {REASON} IS NULL"), _decoded(c)).alias(
+                _record_name(self._position[t])
+            )
+            for t, c in self.contracts.items()
+        ]
+        parsed = opened.select("*", F.inline(F.array(F.struct(*records))))
+        reason = f"coalesce({REASON}, {self._per_topic(self._payload_problem)})"
+        raw = "value" if keep_values else f"CASE WHEN {reason} IS NOT NULL THEN value END"
+        self.frame = parsed.selectExpr(
             "topic",
             "key",
             "partition",
             "offset",
             "timestamp",
-            reason.alias(REASON),
-            (value if keep_values else F.when(reason.isNotNull(), value)).alias(RAW),
-            *[self._record(t).alias(_record_name(i)) for t, i in self._position.items()],
+            f"{reason} AS {REASON}",
+            f"{raw} AS {RAW}",
+            *[_record_name(i) for i in self._position.values()],
         )
 
-    def _per_topic(self, cases: dict[str, Column]) -> Column:
-        found = None
-        for topic, case in cases.items():
-            hit = F.col("topic") == topic
-            found = F.when(hit, case) if found is None else found.when(hit, case)
-        return found
-
-    def _payload_problem(self, topic: str) -> Column:
-        contract, name = self.contracts[topic], _record_name(self._position[topic])
-        bad = F.col(name).isNull()
-        if contract.codec == "json":
-            bad = bad | F.col(f"{name}.{codec.UNPARSED}").isNotNull()
-        return F.when(bad, BAD_PAYLOAD)
-
-    def _record(self, topic: str) -> Column:
-        name = _record_name(self._position[topic])
-        if self.contracts[topic].codec == "avro":
-            return F.col(name)
-        fields = [F.col(name).getField(f.name).alias(f.name) for f in self.contracts[topic].struct]
-        return F.when(F.col(name).isNotNull(), F.struct(*fields))
-
-    def record(self, topic: str) -> Column:
-        """The struct column of ``frame`` that holds one topic's records."""
-        return F.col(_record_name(self._position[topic]))
+    def _per_topic(self, case: Callable[[str], str]) -> str:
+        """SQL that is one expression for each topic."""
+        branches = " ".join(f"WHEN {literal(t)} THEN {case(t)}" for t in self.contracts)
+        return f"CASE topic {branches} END"
+
+    def _payload_problem(self, topic: str) -> str:
+        record = _record_name(self._position[topic])
+        bad = f"{record} IS NULL"
+        if self.contracts[topic].codec == "json":
+            bad += f" OR {record}.{codec.UNPARSED} IS NOT NULL"
+        return f"CASE WHEN {bad} THEN '{BAD_PAYLOAD}' END"
+
+    def fields(self, topic: str) -> list[str]:
+        """The columns of one topic's records, as paths into ``frame``."""
+        record = _record_name(self._position[topic])
+        return [f"{record}.{name(f)}" for f in self.contracts[topic].struct.fieldNames()]
 
     def typed(self, topic: str, source_columns: bool = False) -> DataFrame:
         """The decoded rows of one topic, in its contract's columns.
 
         With ``source_columns`` also ``_partition, _offset, _timestamp``.
         """
-        good = topic_rows_of(self.frame, topic).filter(F.col(REASON).isNull())
-        extra = []
-        if source_columns:
-            extra = [F.col(c.removeprefix("_")).alias(c) for c in SOURCE_COLUMNS]
-        return good.select(f"{_record_name(self._position[topic])}.*", *extra)
+        good = topic_rows_of(self.frame, topic).filter(f"{REASON} IS NULL")
+        extra = [f"{c.removeprefix('_')} AS {c}" for c in SOURCE_COLUMNS]
+        return good.selectExpr(*self.fields(topic), *(extra if source_columns else []))
 
     def rejects(self) -> DataFrame:
         """Topic rows that cannot be typed, with the reason."""
-        return self.frame.filter(F.col(REASON).isNotNull()).select(
-            "key", F.col(RAW).alias("value"), "topic", "partition", "offset", "timestamp", REASON
+        return self.frame.filter(f"{REASON} IS NOT NULL").selectExpr(
+            "key", f"{RAW} AS value", "topic", "partition", "offset", "timestamp", REASON
         )

@@ -4,16 +4,20 @@ from __future__ import annotations
 
 import dataclasses
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions import codec
-from millrace.functions.text import text_in
+from millrace.functions.text import literal, text_form, text_in
 from millrace.operators.conform import RAW, REASON, TypedBatch
 from millrace.plans.definitions import ReplicaDef
 from millrace.sources.registry import TopicContract
 
+# Longer lists are joined instead of written into the filter.
+LISTED_AT_MOST = 1000
+
 
 def replicate(rows: DataFrame, contract: TopicContract, replica: ReplicaDef) -> DataFrame:
     """Topic rows for the target: those whose field's text is among the values.
@@ -28,31 +32,37 @@ def replicate(rows: DataFrame, contract: TopicContract, replica: ReplicaDef) ->
     read = replica.field if replica.field in names else names[0]
     narrow = dataclasses.replace(contract, struct=T.StructType([contract.struct[read]]))
     batch = TypedBatch(rows, [narrow], keep_values=True)
-    field = batch.record(contract.topic).getField(read)
-    if replica.field not in names:
-        field = F.lit(None)
-    keep = text_in(field, list(replica.values), replica.match_null)
-    malformed = F.col(REASON).isNotNull()
-    if replica.on_malformed == "fail":
-        message = F.concat(
-            F.lit("cannot read "), "topic", F.lit(" offset "), F.col("offset").cast("string")
-        )
-        keep = F.when(malformed, F.raise_error(message).cast("boolean")).otherwise(keep)
+    (path,) = batch.fields(contract.topic)
+    text = text_form(path if replica.field in names else "NULL", replica.match_null)
+    read_rows = batch.frame.filter(_readable(replica))
+    values = list(replica.values)
+    if len(values) <= LISTED_AT_MOST:
+        kept = read_rows.filter(text_in(text, values))
     else:
-        keep = ~malformed & keep
-    key = F.col("key") if replica.keep_key else F.lit(None).cast("binary")
-    return batch.frame.filter(keep).select(
-        key.alias("key"),
-        _target_value(replica).alias("value"),
-        F.lit(replica.target).alias("topic"),
+        # a local table: the planner knows its size and broadcasts it only if small
+        listed = rows.sparkSession.createDataFrame(pa.table({"_listed": values}))
+        kept = read_rows.withColumn("_text", F.expr(text))
+        kept = kept.join(listed, F.col("_text") == F.col("_listed"), "left_semi")
+    return kept.selectExpr(
+        "key" if replica.keep_key else "CAST(NULL AS BINARY) AS key",
+        f"{RAW} AS value",
+        f"{literal(replica.target)} AS topic",
         "partition",
         "offset",
         "timestamp",
-    )
+    ).withColumn("value", _target_value(replica))
+
+
+def _readable(replica: ReplicaDef) -> str:
+    sound = f"{REASON} IS NULL"
+    if replica.on_malformed == "skip":
+        return sound
+    message = "concat('cannot read ', topic, ' offset ', CAST(offset AS STRING))"
+    return f"CASE WHEN {sound} THEN true ELSE CAST(raise_error({message}) AS BOOLEAN) END"
 
 
 def _target_value(replica: ReplicaDef) -> Column:
     """The value as it came, in the target registry's frame where that differs."""
     if replica.target_schema_id is None:
-        return F.col(RAW)
-    return codec.frame(codec.frame_body(F.col(RAW)), replica.target_schema_id)
+        return F.col("value")
+    return codec.frame(codec.frame_body("value"), replica.target_schema_id)

@@ -38,3 +38,12 @@ class Sizing:
 
 def counts_by_topic(rows: DataFrame) -> DataFrame:
     return rows.groupBy("topic").agg(F.count("*").alias("records"))
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows over at least as many tasks as there are cores, ahead of costly decoding.
+
+    A scan that has them already, as any large one does, is left as it is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows

@@ -17,10 +17,11 @@ import zlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.text import name, names
 from millrace.plans.definitions import TableDef
 from millrace.sources.paths import complete_children, exists
 
@@ -33,12 +34,13 @@ RESERVED = (BATCH, _AT, _FROM)
 class Layer:
     """Rows that write to a table, and when.
 
-    Later ``batch`` beats earlier; within a batch later ``position``, then
-    greater ``order_by``. Columns the frame lacks are left untouched.
+    Later ``batch``, a number or a column, beats earlier; within a batch later
+    ``position``, then greater ``order_by``. Columns the frame lacks are left
+    untouched.
     """
 
     frame: DataFrame
-    batch: Column
+    batch: int | str
     position: int
     order_by: tuple[str, ...]
 
@@ -51,48 +53,47 @@ def _hashable(kind: T.DataType) -> bool:
     return not isinstance(kind, (T.MapType, T.VariantType))
 
 
-def _order_types(layers: Sequence[Layer]) -> list[T.DataType]:
-    return [layers[0].frame.schema[c].dataType for c in layers[0].order_by]
-
-
-def _stamped(layer: Layer, order: list[T.DataType]) -> DataFrame:
-    frame = layer.frame
-    parts = [layer.batch.cast("bigint").alias("batch"), F.lit(layer.position).alias("position")]
-    for i, kind in enumerate(order):
-        parts.append(F.col(f"`{layer.order_by[i]}`").cast(kind).alias(f"order{i}"))
+def _stamped(layer: Layer) -> DataFrame:
+    """The layer's rows with the moment of their writing and their supplier."""
+    order = [f"{name(c)} AS order{i}" for i, c in enumerate(layer.order_by)]
     # rows equal in order_by: the same one wins in every run and retry
-    known = [f.name for f in frame.schema if _hashable(f.dataType)]
-    parts.append(F.xxhash64(*[F.col(f"`{c}`") for c in known]).alias("tie"))
-    at = {_AT: F.struct(*parts), _FROM: F.lit(layer.position)}
-    return frame.withColumns(at).drop(BATCH)
+    known = names(f.name for f in layer.frame.schema if _hashable(f.dataType))
+    at = [
+        f"CAST({layer.batch} AS BIGINT) AS batch",
+        f"{layer.position} AS position",
+        *order,
+        f"xxhash64({known}) AS tie",
+    ]
+    return layer.frame.selectExpr(
+        *[name(c) for c in layer.frame.columns if c != BATCH],
+        f"struct({', '.join(at)}) AS {_AT}",
+        f"{layer.position} AS {_FROM}",
+    )
 
 
 @dataclass(frozen=True)
 class _Picks:
-    """One row per key; per set of suppliers a struct of the columns they wrote last."""
+    """One row per key; per set of suppliers a struct of the columns they wrote last.
+
+    The struct is null where none of the suppliers wrote the key.
+    """
 
     frame: DataFrame
     members: tuple[tuple[str, ...], ...]
 
-    def written(self, i: int) -> Column:
-        """Null where none of the suppliers wrote this key, else their columns."""
-        return F.col(f"_pick{i}")
-
-    def values(self) -> dict[str, tuple[Column, Column]]:
-        """By column: the struct it came in, and the value."""
+    def values(self) -> dict[str, tuple[str, str]]:
+        """By column, in SQL: the struct it came in, and the value."""
         return {
-            c: (self.written(i), self.written(i).getField(c))
+            c: (f"_pick{i}", f"_pick{i}.{name(c)}")
             for i, columns in enumerate(self.members)
             for c in columns
         }
 
 
 def _picks(layers: Sequence[Layer], key: Sequence[str]) -> _Picks:
-    order = _order_types(layers)
-    rows = None
-    for layer in layers:
-        stamped = _stamped(layer, order)
-        rows = stamped if rows is None else rows.unionByName(stamped, allowMissingColumns=True)
+    rows = _stamped(layers[0])
+    for layer in layers[1:]:
+        rows = rows.unionByName(_stamped(layer), allowMissingColumns=True)
 
     columns = [c for c in rows.columns if c not in (_AT, _FROM, *key)]
     suppliers: dict[tuple[int, ...], list[str]] = {}
@@ -100,17 +101,17 @@ def _picks(layers: Sequence[Layer], key: Sequence[str]) -> _Picks:
         having = {x.position for x in layers if column in x.frame.columns}
         suppliers.setdefault(tuple(sorted(having)), []).append(column)
     members = tuple(tuple(m) for m in suppliers.values())
+    if not members:
+        return _Picks(rows.select(*key).distinct(), members)
 
     everyone = tuple(sorted({x.position for x in layers}))
     picks = []
     for i, having in enumerate(suppliers):
-        at = F.col(_AT)
+        only = ""
         if having != everyone:
-            at = F.when(F.col(_FROM).isin(*having), at)
-        record = F.struct(*[F.col(f"`{c}`") for c in members[i]])
-        picks.append(F.max_by(record, at).alias(f"_pick{i}"))
-    grouped = rows.groupBy(*key)
-    return _Picks(grouped.agg(*picks) if picks else rows.select(*key).distinct(), members)
+            only = f" FILTER (WHERE {_FROM} IN ({', '.join(map(str, having))}))"
+        picks.append(F.expr(f"max_by(struct({names(members[i])}), {_AT}){only} AS _pick{i}"))
+    return _Picks(rows.groupBy(*key).agg(*picks), members)
 
 
 def latest_rows(layers: Sequence[Layer], key: Sequence[str]) -> DataFrame:
@@ -121,8 +122,8 @@ def latest_rows(layers: Sequence[Layer], key: Sequence[str]) -> DataFrame:
     holds one ``max_by`` per distinct set of suppliers.
     """
     picks = _picks(layers, key)
-    found = [value.alias(c) for c, (_, value) in picks.values().items()]
-    return picks.frame.select(*key, *found)
+    found = [f"{value} AS {name(c)}" for c, (_, value) in picks.values().items()]
+    return picks.frame.selectExpr(*map(name, key), *found)
 
 
 def overlay(base: DataFrame, layers: Sequence[Layer], key: Sequence[str]) -> DataFrame:
@@ -139,15 +140,15 @@ def overlay(base: DataFrame, layers: Sequence[Layer], key: Sequence[str]) -> Dat
     kept = base.withColumnsRenamed(mine)
     match = [kept[mine[k]] == picks.frame[k] for k in key]
     joined = kept.join(picks.frame, match, "full_outer")
-    columns = [F.coalesce(F.col(f"`{k}`"), F.col(f"`{mine[k]}`")).alias(k) for k in key]
+    columns = [f"coalesce({name(k)}, {name(mine[k])}) AS {name(k)}" for k in key]
     for column in (c for c in base.columns if c not in key):
-        value = F.col(f"`{column}`")
+        value = name(column)
         if column in written:
             pick, new = written[column]
-            value = F.when(pick.isNotNull(), new).otherwise(value)
-        columns.append(value.alias(column))
-    added = [v.alias(c) for c, (_, v) in written.items() if c not in base.columns]
-    return joined.select(*columns, *added)
+            value = f"CASE WHEN {pick} IS NOT NULL THEN {new} ELSE {value} END"
+        columns.append(f"{value} AS {name(column)}")
+    added = [f"{v} AS {name(c)}" for c, (_, v) in written.items() if c not in base.columns]
+    return joined.selectExpr(*columns, *added)
 
 
 def upsert_rows(
@@ -158,19 +159,16 @@ def upsert_rows(
     ``existing`` has one row per key; of updates with equal keys the greatest
     by ``order_by`` counts.
     """
-    return overlay(existing, [Layer(updates, F.lit(0), 0, tuple(order_by))], key)
+    return overlay(existing, [Layer(updates, 0, 0, tuple(order_by))], key)
 
 
 def merge_into(updates: DataFrame, table: str, key: Sequence[str], order_by: Sequence[str]) -> None:
     """The same into a catalog table whose format supports MERGE."""
-    latest = latest_rows([Layer(updates, F.lit(0), 0, tuple(order_by))], key).alias("s")
-    matched = [F.col(f"t.`{k}`") == F.col(f"s.`{k}`") for k in key]
-    condition = matched[0]
-    for other in matched[1:]:
-        condition = condition & other
-    changes = {c: F.col(f"s.`{c}`") for c in updates.columns}
+    latest = latest_rows([Layer(updates, 0, 0, tuple(order_by))], key).alias("s")
+    same = " AND ".join(f"t.{name(k)} = s.{name(k)}" for k in key)
+    changes = {c: F.col(f"s.{name(c)}") for c in updates.columns}
     (
-        latest.mergeInto(f"{table} t", condition)
+        latest.mergeInto(f"{table} t", F.expr(same))
         .whenMatched()
         .update({c: v for c, v in changes.items() if c not in key})
         .whenNotMatched()
@@ -234,7 +232,7 @@ def log_layers(
         ]
         if paths:
             rows = spark.read.option("basePath", home).parquet(*paths)
-            layers.append(Layer(rows, F.col(BATCH), position, stream.order_by))
+            layers.append(Layer(rows, BATCH, position, stream.order_by))
     return layers
 
 

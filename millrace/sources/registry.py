@@ -138,26 +138,22 @@ def contracts(
 ) -> dict[str, TopicContract]:
     """Contract by topic, from the latest version of each subject.
 
-    Brings one row per topic to the driver, each holding that topic's schemas.
+    Brings the registered versions of these topics to the driver and no more.
     """
     subjects = {f"{t}-{side}": t for t in topics}
-    entry = F.struct("version", "id", "schema")
-    found = (
-        snapshot.filter(F.col("subject").isin(*subjects))
-        .groupBy("subject")
-        .agg(F.sort_array(F.collect_set(entry)).alias("versions"))
-        .collect()
-    )
+    entries = snapshot.filter(F.col("subject").isin(*subjects)).select(*SNAPSHOT.fieldNames())
+    versions: dict[str, list] = {}
+    for row in sorted(entries.collect(), key=lambda r: r.version):
+        versions.setdefault(subjects[row.subject], []).append(row)
     by_topic = {}
-    for row in found:
-        latest = row.versions[-1]
-        by_topic[subjects[row.subject]] = TopicContract(
-            topic=subjects[row.subject],
-            struct=struct_of(latest.schema),
+    for topic, rows in versions.items():
+        by_topic[topic] = TopicContract(
+            topic=topic,
+            struct=struct_of(rows[-1].schema),
             codec=codec,
             framed=framed,
-            writers={v.id: v.schema for v in row.versions},
-            latest_id=latest.id,
+            writers={r.id: r.schema for r in rows},
+            latest_id=rows[-1].id,
         )
     missing = sorted(set(topics) - set(by_topic))
     if missing:

@@ -15,8 +15,7 @@ def decoded(rows: DataFrame, contract: TopicContract) -> DataFrame:
     Rows that cannot be read show nulls and the reason.
     """
     batch = TypedBatch(rows, [contract])
-    record = batch.record(contract.topic)
-    return batch.frame.select(record.alias("record"), REASON).select("record.*", REASON)
+    return batch.frame.select(*batch.fields(contract.topic), REASON)
 
 
 def start_print(

@@ -94,7 +94,8 @@ def test_frames(spark):
 
 def test_frame_round_trip_with_a_large_id(spark):
     value = codec.frame(F.lit(b"x"), 2**31 - 1)
-    row = spark.range(1).select(codec.frame_id(value), codec.frame_body(value)).first()
+    framed = spark.range(1).select(value.alias("value"))
+    row = framed.select(codec.frame_id("value"), codec.frame_body("value")).first()
     assert tuple(row) == (2**31 - 1, b"x")
 
 

@@ -27,7 +27,7 @@ def frame(spark, rows, columns="k bigint, o bigint, v string"):
 
 
 def layer(spark, rows, batch=0, position=0, columns="k bigint, o bigint, v string"):
-    return Layer(frame(spark, rows, columns), F.lit(batch), position, ("o",))
+    return Layer(frame(spark, rows, columns), batch, position, ("o",))
 
 
 def test_greatest_by_order_wins_in_a_batch(spark):
@@ -71,7 +71,7 @@ def test_composite_key_and_nested_values(spark):
         "SELECT * FROM VALUES (1, 'a', 1, map('x', 1), array(1)), (1, 'a', 2, map('x', 2), array(2)),"
         " (1, 'b', 1, map('x', 3), array(3)) AS t(k, k2, o, m, l)"
     )
-    found = latest_rows([Layer(rows, F.lit(0), 0, ("o",))], ["k", "k2"])
+    found = latest_rows([Layer(rows, 0, 0, ("o",))], ["k", "k2"])
     assert [(r.k2, r.m["x"], r.l) for r in found.orderBy("k2").collect()] == [
         ("a", 2, [2]),
         ("b", 3, [3]),
@@ -178,7 +178,7 @@ def test_any_sequence_of_writes_equals_a_dictionary(spark, sequence):
         rows = [(k, o, v, b) for b, s, k, o, v in sequence if s == stream]
         if rows:
             data = frame(spark, rows, f"k bigint, o bigint, {column} bigint, batch_id bigint")
-            layers.append(Layer(data, F.col("batch_id"), stream, ("o",)))
+            layers.append(Layer(data, "batch_id", stream, ("o",)))
     found = {r.k: r.asDict() for r in latest_rows(layers, ["k"]).collect()}
     assert found.keys() == expected.keys()
     for key, row in expected.items():

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import json
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import StreamDef, TopicContract, as_topic_rows, conform, contracts
+from millrace.operators.sizing import spread
 from millrace.plans.statements import register_view, statement
 from millrace.sources.registry import SNAPSHOT, struct_of
 
@@ -56,7 +58,8 @@ def registry_snapshot(spark: SparkSession) -> DataFrame:
     ]
     entries.append(("conversation-key", 1, 601, CONVERSATION_KEY))
     entries.append(("conversation-value", 1, 602, CONVERSATION))
-    return spark.createDataFrame(entries, SNAPSHOT)
+    columns = zip(SNAPSHOT.fieldNames(), zip(*entries))
+    return spark.createDataFrame(pa.table(dict(columns))).to(SNAPSHOT)
 
 
 def event_contracts(
@@ -69,7 +72,7 @@ def event_rows(
     spark: SparkSession, sf_dir: str, topic: Column | None = None, value: Column | None = None
 ) -> DataFrame:
     """All events as topic rows with JSON payloads, one topic per event type."""
-    events = table(spark, sf_dir, "events")
+    events = spread(table(spark, sf_dir, "events"))
     return as_topic_rows(
         events,
         topic=F.col("event_type") if topic is None else topic,

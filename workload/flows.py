@@ -143,12 +143,12 @@ def conform_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def envelope_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _framed_rows(spark, sf_dir)
-    sound, value = codec.is_framed(F.col("value")), F.col("value")
-    body = codec.from_json_bytes(codec.frame_body(value), T.StructType.fromDDL("event_id bigint"))
+    sound = codec.is_framed("value")
+    body = codec.from_json_bytes(codec.frame_body("value"), T.StructType.fromDDL("event_id bigint"))
     return rows.select(
         F.col("offset").alias("event_id"),
         "topic",
-        F.when(sound, codec.frame_id(value)).alias("schema_id"),
+        F.when(sound, codec.frame_id("value")).alias("schema_id"),
         F.when(sound, body.getField("event_id")).alias("body_id"),
     )
 
@@ -311,7 +311,7 @@ def _stream_rows(spark: SparkSession, rows: DataFrame, stream: StreamDef) -> Dat
 @flow(_latest("click", "user_id, value, event_id", "value > 1"))
 def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = _stream_rows(spark, event_rows(spark, sf_dir), CLICKS)
-    return latest_rows([Layer(result, F.lit(0), 0, CLICKS.order_by)], CLICKS.key)
+    return latest_rows([Layer(result, 0, 0, CLICKS.order_by)], CLICKS.key)
 
 
 @flow(
@@ -351,7 +351,7 @@ _PROFILE = f"""SELECT user_id, {_at('click')} AS last_click, {_at('view')} AS la
 def upsert_partial_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = event_rows(spark, sf_dir)
     layers = [
-        Layer(_stream_rows(spark, rows, s), F.lit(0), i, s.order_by)
+        Layer(_stream_rows(spark, rows, s), 0, i, s.order_by)
         for i, s in enumerate((PROFILE_A, PROFILE_B))
     ]
     return latest_rows(layers, ["user_id"])
@@ -418,7 +418,7 @@ def compacted_equals_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def upsert_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = _stream_rows(spark, event_rows(spark, sf_dir), SPEND)
-    return latest_rows([Layer(result, F.lit(0), 0, SPEND.order_by)], SPEND.key)
+    return latest_rows([Layer(result, 0, 0, SPEND.order_by)], SPEND.key)
 
 
 # -- dead letters and fan-out -------------------------------------------------
@@ -576,7 +576,7 @@ def _sent_back(spark: SparkSession, rows: DataFrame) -> DataFrame:
     """Produced rows read as a consumer would, key and value."""
     key, value = _produce_contracts(spark)
     keys = codec.from_json_bytes(F.col("key"), key.struct)
-    values = codec.from_json_bytes(codec.frame_body(F.col("value")), value.struct)
+    values = codec.from_json_bytes(codec.frame_body("value"), value.struct)
     both = rows.select(F.inline(F.array(F.struct(keys.alias("k"), values.alias("v")))))
     return both.select("k.conv_id", "k.turn", "v.role", "v.text")
 
