@@ -56,8 +56,8 @@ def frame(body: Column, schema_id: int) -> Column:
 
 
 def frame_id_sql(value: str) -> str:
-    """The schema id of a framed value."""
-    return f"CAST(conv(hex(substring({value}, 2, 4)), 16, 10) AS INT)"
+    """The schema id of a framed value; wide enough for any four bytes."""
+    return f"CAST(conv(hex(substring({value}, 2, 4)), 16, 10) AS BIGINT)"
 
 
 def is_framed_sql(value: str) -> str:

@@ -44,6 +44,8 @@ class StreamDef:
             raise ValueError(f"stream {self.name}: filter is blank")
         if not self.name.replace("_", "").replace("-", "").isalnum():
             raise ValueError(f"stream name {self.name!r}: use letters, digits, _ and -")
+        if not self.table or "/" in self.table:
+            raise ValueError(f"stream {self.name}: {self.table!r} is no table name")
 
 
 @dataclass(frozen=True)

@@ -7,12 +7,12 @@ from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark import InheritableThread, StorageLevel, inheritable_thread_target
+from py4j.protocol import Py4JError
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from py4j.protocol import Py4JError
 
 from millrace.operators import deadletter as dead
 from millrace.operators.conform import REASON, TypedBatch
@@ -68,6 +68,9 @@ class TopicPipeline:
     ``concurrency`` streams store at a time. Statements that fail do not stop
     other streams; a dead letter that cannot be written stops the query, which
     then repeats the batch.
+
+    ``first_batch_id`` is where batch ids start: a query on a new checkpoint
+    counts from 0, and must not replace what an earlier one stored.
     """
 
     def __init__(
@@ -212,6 +215,9 @@ class TopicPipeline:
 
 
 def committed_batch(spark: SparkSession, checkpoint: str) -> int | None:
-    """The last batch a checkpoint knows to be complete."""
+    """The last batch a checkpoint knows to be complete.
+
+    Add the pipeline's ``first_batch_id`` to read or compact its tables as of it.
+    """
     done = numbered_children(spark, f"{checkpoint}/commits", "")
     return done[-1] if done else None

@@ -78,6 +78,7 @@ def test_frames(spark):
         ("click", 5, b""),
         ("click", 6, b"\x00" + (101).to_bytes(4, "big")),
         ("click", 7, None),
+        ("click", 8, framed(2**32 - 1)),
     ]
     batch = TypedBatch(topic_frame(spark, messages), [contract])
     reasons = {r.offset: r[REASON] for r in batch.rejects().collect()}
@@ -88,6 +89,7 @@ def test_frames(spark):
         5: BAD_ENVELOPE,
         6: BAD_PAYLOAD,
         7: NULL_VALUE,
+        8: UNKNOWN_SCHEMA,
     }
     assert batch.typed("click").select("event_id", "props").collect() == [(1, None)] * 2
 

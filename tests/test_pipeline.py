@@ -217,3 +217,33 @@ def test_sizing_splits_the_batch(spark, sf_dir, root):
 def test_sizing_is_validated():
     with pytest.raises(ValueError, match="at least 1"):
         Sizing(10, 0)
+
+
+def test_statement_without_rows_stores_an_empty_batch(spark, sf_dir, root):
+    never = StreamDef("never", "click", "out", "user_id", "user_id, event_id", "1=0", order_by="event_id")
+    report = pipeline(spark, root, [never]).process(event_rows(spark, sf_dir), 0)
+    assert (report.streams[0].stored, report.streams[0].null_key) == (0, 0)
+
+
+def test_limited_and_self_joined_statements_are_counted_right(spark, sf_dir, root):
+    few = StreamDef("few", "click", "few", "event_id", "event_id", "1=1 ORDER BY event_id LIMIT 7", order_by="event_id")
+    twice = StreamDef(
+        "twice", "click", "twice", "event_id", order_by="event_id",
+        sql="SELECT event_id FROM TMP_CLICK UNION ALL SELECT event_id + 1000000 FROM TMP_CLICK",
+    )
+    rows = event_rows(spark, sf_dir)
+    report = pipeline(spark, root, [few, twice]).process(rows, 0)
+    clicks = rows.filter("topic = 'click'").count()
+    assert [s.stored for s in report.streams] == [7, 2 * clicks]
+
+
+def test_query_on_a_processing_time_trigger(spark, sf_dir, root):
+    work = pipeline(spark, f"{root}/out", [CLICKS])
+    write_topic_files(event_rows(spark, sf_dir), f"{root}/in")
+    source = stream_topics(spark, ReplaySource(f"{root}/in", ("click",)))
+    query = work.start(source, f"{root}/checkpoint", every_seconds=1)
+    query.processAllAvailable()
+    query.stop()
+    expected = batch_answer(spark, sf_dir, root).table("user_clicks")
+    assert rows_of(work.table("user_clicks")) == rows_of(expected)
+    assert committed_batch(spark, f"{root}/nosuch") is None

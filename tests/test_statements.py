@@ -79,6 +79,8 @@ def test_wrong_streams_are_refused_at_start(spark, streams, message):
         ({"transform": " \n "}, "transform is blank"),
         ({"filter": ""}, "filter is blank"),
         ({"order_by": ()}, "order_by is empty"),
+        ({"name": "a/b"}, "letters, digits"),
+        ({"table": "../x"}, "no table name"),
     ],
 )
 def test_blank_parts_are_refused(parts, message):

@@ -138,7 +138,7 @@ def conform_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
 @flow(
     """SELECT event_id, event_type AS topic, CAST(CASE WHEN user_id % 10 = 0 THEN NULL ELSE
     CASE event_type WHEN 'click' THEN 102 WHEN 'error' THEN 202 WHEN 'purchase' THEN 302
-    WHEN 'signup' THEN 402 ELSE 502 END END AS int) AS schema_id,
+    WHEN 'signup' THEN 402 ELSE 502 END END AS bigint) AS schema_id,
     CASE WHEN user_id % 10 <> 0 THEN event_id END AS body_id FROM events"""
 )
 def envelope_split(spark: SparkSession, sf_dir: str) -> DataFrame:
