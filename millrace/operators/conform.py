@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from millrace.functions import codec
 from millrace.functions.text import literal, name
-from millrace.sources.registry import TopicContract, struct_of
+from millrace.sources.registry import TopicContract, required_fields, struct_of
 
 NULL_VALUE = "null_value"
 BAD_ENVELOPE = "bad_envelope"
@@ -65,14 +65,18 @@ def _by_writer(body: Column, contract: TopicContract) -> Column:
     """
     def one(schema: str) -> Column:
         written = struct_of(schema)
-        record = codec.from_avro_bytes(body, schema)
-        fields = [
-            _coerced(record.getField(f.name), written[f.name].dataType, f.dataType).alias(f.name)
-            if f.name in written.fieldNames()
-            else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in contract.struct
-        ]
-        return F.when(record.isNotNull(), F.struct(*fields))
+
+        def project(record: Column) -> Column:
+            fields = [
+                _coerced(record.getField(f.name), written[f.name].dataType, f.dataType).alias(f.name)
+                if f.name in written.fieldNames()
+                else F.lit(None).cast(f.dataType).alias(f.name)
+                for f in contract.struct
+            ]
+            return F.when(record.isNotNull(), F.struct(*fields))
+
+        # the lambda's variable holds the record, so that all fields share one decoding
+        return F.get(F.transform(F.array(codec.from_avro_bytes(body, schema)), project), 0)
 
     if not contract.framed:
         return one(contract.writers[contract.latest_id])
@@ -140,9 +144,14 @@ class TypedBatch:
 
     def _payload_problem(self, topic: str) -> str:
         record = _record_name(self._position[topic])
-        bad = f"{record} IS NULL"
-        if self.contracts[topic].codec == "json":
-            bad += f" OR {record}.{codec.UNPARSED} IS NOT NULL"
+        contract = self.contracts[topic]
+        if contract.codec == "json":
+            signs = [f"{record}.{codec.UNPARSED} IS NOT NULL"]
+        else:
+            # a malformed body decodes to nulls, also in fields that cannot be null
+            needed = set.intersection(*(set(required_fields(w)) for w in contract.writers.values()))
+            signs = [f"{record}.{name(f)} IS NULL" for f in contract.struct.names if f in needed]
+        bad = " OR ".join([f"{record} IS NULL", *signs])
         return f"CASE WHEN {bad} THEN '{BAD_PAYLOAD}' END"
 
     def fields(self, topic: str) -> list[str]:

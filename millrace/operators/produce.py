@@ -6,7 +6,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from millrace.functions import codec
 from millrace.functions.unions import tagged_form

@@ -20,7 +20,9 @@ def topic_frame(spark: SparkSession, messages: list[tuple]) -> DataFrame:
         )
         for topic, offset, v in messages
     ]
-    return spark.createDataFrame([(k, bytearray(v) if v is not None else None, *r) for k, v, *r in rows], TOPIC_ROW)
+    return spark.createDataFrame(
+        [(k, bytearray(v) if v is not None else None, *rest) for k, v, *rest in rows], TOPIC_ROW
+    )
 
 
 def plan(frame: DataFrame) -> str:

@@ -1,3 +1,4 @@
+import dataclasses
 from decimal import Decimal
 
 import pytest
@@ -14,6 +15,7 @@ from millrace.operators.conform import (
     REASON,
     UNKNOWN_SCHEMA,
 )
+from millrace.sources.registry import struct_of
 from workload.fixtures import EVENT_V1, event_contracts, event_rows
 
 STRUCT = (
@@ -156,6 +158,34 @@ def test_avro_without_the_module_says_so(spark):
         TypedBatch(topic_frame(spark, [("t", 0, b"x")]), [contract]).typed("t").collect()
 
 
+def test_avro_rows_are_read_by_their_writers_schema(spark, monkeypatch):
+    """The module is not here; JSON bodies stand in for Avro ones."""
+
+    def stand_in(payload, schema, mode="PERMISSIVE"):
+        return F.from_json(payload.cast("string"), struct_of(schema), {"mode": mode})
+
+    monkeypatch.setattr(codec, "from_avro_bytes", stand_in)
+    contract = event_contracts(spark, "click", framed=True)["click"]
+    contract = dataclasses.replace(contract, codec="avro")
+
+    def framed(schema_id, body):
+        return b"\x00" + schema_id.to_bytes(4, "big") + body
+
+    full = b'{"event_id": 1, "user_id": 2, "value": 0.5, "event_type": "e", "props": "p"}'
+    messages = [
+        ("click", 0, framed(101, full)),
+        ("click", 1, framed(102, full)),
+        ("click", 2, framed(102, b"oops")),
+        ("click", 3, framed(103, full)),
+    ]
+    batch = TypedBatch(topic_frame(spark, messages), [contract])
+    found = batch.typed("click").select("event_id", "value", "event_type", "props")
+    assert rows_of(found) == [(1, 0.5, "e", "p"), (1, 0.5, None, None)]
+    reasons = {r.offset: r[REASON] for r in batch.rejects().collect()}
+    assert reasons == {2: BAD_PAYLOAD, 3: UNKNOWN_SCHEMA}
+    assert plan(batch.typed("click")).count("from_json") == 2  # one per writer
+
+
 def test_one_parse_per_row_and_pruned_files(spark, sf_dir, root):
     write_topic_files(event_rows(spark, sf_dir), root)
     batch = TypedBatch(

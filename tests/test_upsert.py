@@ -1,7 +1,6 @@
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from helpers import plan, rows_of
 from millrace import StreamDef, upsert_rows

@@ -16,7 +16,6 @@ from millrace import (
     TopicContract,
     TopicPipeline,
     TypedBatch,
-    as_topic_rows,
     conform,
     produce,
     read_topics,
@@ -37,7 +36,6 @@ from millrace.sources.registry import contracts
 from millrace.streaming.inspection import decoded
 from workload.fixtures import (
     EVENT_SCHEMA_IDS,
-    EVENT_TOPICS,
     event_contracts,
     event_rows,
     registry_snapshot,

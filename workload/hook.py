@@ -6,7 +6,6 @@ and the same result written over the source tables.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -527,14 +526,17 @@ _hook(
         aggregate(transform(split(text, ' '), w -> length(w)), 0, (a, x) -> a + x) AS letters,
         size(filter(split(text, ' '), w -> length(w) > 5)) AS long_words,
         exists(split(text, ' '), w -> w = 'data') AS has_data,
-        element_at(split(text, ' '), -1) AS last_word, arrays_zip(array(1, 2), array('x', 'y'))[1]['1'] AS zipped""",
+        element_at(split(text, ' '), -1) AS last_word,
+        arrays_zip(array(1, 2), array('x', 'y'))[1]['1'] AS zipped""",
     oracle="""SELECT conv_id, turn, CAST(len(string_split(text, ' ')) AS int) AS words,
         list_contains(string_split(text, ' '), 'the') AS has_the,
         array_to_string(string_split(text, ' ')[1:3], '|') AS first3,
         array_to_string(list_sort(list_distinct(string_split(text, ' ')))[1:5], '|') AS sorted5,
         'abc' AS flat,
-        CAST(list_sum(list_transform(string_split(text, ' '), lambda w: length(w))) AS int) AS letters,
-        CAST(len(list_filter(string_split(text, ' '), lambda w: length(w) > 5)) AS int) AS long_words,
+        CAST(list_sum(list_transform(string_split(text, ' '), lambda w: length(w))) AS int)
+            AS letters,
+        CAST(len(list_filter(string_split(text, ' '), lambda w: length(w) > 5)) AS int)
+            AS long_words,
         list_contains(string_split(text, ' '), 'data') AS has_data,
         string_split(text, ' ')[-1] AS last_word, 'y' AS zipped FROM conversations""",
 )
