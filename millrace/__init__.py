@@ -25,7 +25,7 @@ from millrace.sources.topics import (
     write_topic_files,
 )
 from millrace.streaming.inspection import start_print
-from millrace.streaming.pipeline import TopicPipeline, committed_batch
+from millrace.streaming.pipeline import TopicPipeline, committed_batch, start_configured
 from millrace.streaming.replication import start_replica
 
 __all__ = [name for name in dir() if not name.startswith("_")]

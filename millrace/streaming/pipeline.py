@@ -18,7 +18,7 @@ from millrace.operators import deadletter as dead
 from millrace.operators.conform import REASON, TypedBatch
 from millrace.operators.sizing import Sizing
 from millrace.operators.upsert import RESERVED, append_log, compact, log_dir, snapshot
-from millrace.plans.definitions import StreamDef, tables_of
+from millrace.plans.definitions import Settings, StreamDef, tables_of
 from millrace.plans.statements import (
     check_streams,
     register_view,
@@ -26,7 +26,8 @@ from millrace.plans.statements import (
     uses_source_columns,
 )
 from millrace.sources.paths import numbered_children
-from millrace.sources.registry import TopicContract
+from millrace.sources.registry import TopicContract, contracts
+from millrace.sources.topics import KafkaSource, ReplaySource, stream_topics
 
 
 @dataclass(frozen=True)
@@ -214,6 +215,29 @@ class TopicPipeline:
         compact(self.spark, self.root, self.tables[name], upto, buckets)
 
 
+def start_configured(
+    spark: SparkSession,
+    settings: Settings,
+    registry: DataFrame,
+    checkpoint: str,
+    *,
+    source: KafkaSource | ReplaySource | None = None,
+    codec: str = "avro",
+    framed: bool = True,
+) -> tuple[TopicPipeline, StreamingQuery]:
+    """Start all streams of the settings, on their brokers unless a source is given."""
+    topics = list(dict.fromkeys(s.topic for s in settings.streams))
+    work = TopicPipeline(
+        spark,
+        list(settings.streams),
+        contracts(registry, topics, codec=codec, framed=framed),
+        settings.root,
+        sizing=settings.sizing,
+    )
+    rows = stream_topics(spark, source or settings.source())
+    return work, work.start(rows, checkpoint, every_seconds=settings.batch_seconds)
+
+
 def committed_batch(spark: SparkSession, checkpoint: str) -> int | None:
     """The last batch a checkpoint knows to be complete.
 

@@ -9,12 +9,14 @@ from millrace import (
     TopicContract,
     TopicPipeline,
     committed_batch,
+    settings_from,
+    start_configured,
     stream_topics,
     write_topic_files,
 )
 from millrace.operators import deadletter as dead
 from millrace.operators.conform import REASON
-from workload.fixtures import event_contracts, event_rows
+from workload.fixtures import event_contracts, event_rows, registry_snapshot
 from workload.flows import CLICKS, HOLED, PROFILE_A, PROFILE_B, VIEWS, _slices
 
 FAILING = StreamDef(
@@ -182,15 +184,18 @@ def test_partial_columns_across_batches(spark, root):
 def test_default_order_is_by_offset(spark, root):
     stream = StreamDef("s", "click", "out", "user_id", "user_id, value, _offset")
     work = pipeline(spark, root, [stream])
+    values = ((8, 0.5), (9, 0.25), (7, 1.0))
     rows = topic_frame(
-        spark, [("click", o, {"event_id": 0, "user_id": 1, "value": v}) for o, v in ((8, 0.5), (9, 0.25), (7, 1.0))]
+        spark, [("click", o, {"event_id": 0, "user_id": 1, "value": v}) for o, v in values]
     )
     work.process(rows, 0)
     assert rows_of(work.table("out")) == [(1, 0.25, 9)]
 
 
 def test_reserved_names_are_refused(spark, root):
-    taken = StreamDef("s", "click", "out", "user_id", "user_id, event_id AS batch_id, event_id", order_by="event_id")
+    taken = StreamDef(
+        "s", "click", "out", "user_id", "user_id, event_id AS batch_id, event_id", order_by="event_id"
+    )
     with pytest.raises(ValueError, match="reserved"):
         pipeline(spark, root, [taken])
 
@@ -226,7 +231,10 @@ def test_statement_without_rows_stores_an_empty_batch(spark, sf_dir, root):
 
 
 def test_limited_and_self_joined_statements_are_counted_right(spark, sf_dir, root):
-    few = StreamDef("few", "click", "few", "event_id", "event_id", "1=1 ORDER BY event_id LIMIT 7", order_by="event_id")
+    few = StreamDef(
+        "few", "click", "few", "event_id", "event_id", "1=1 ORDER BY event_id LIMIT 7",
+        order_by="event_id",
+    )
     twice = StreamDef(
         "twice", "click", "twice", "event_id", order_by="event_id",
         sql="SELECT event_id FROM TMP_CLICK UNION ALL SELECT event_id + 1000000 FROM TMP_CLICK",
@@ -237,11 +245,18 @@ def test_limited_and_self_joined_statements_are_counted_right(spark, sf_dir, roo
     assert [s.stored for s in report.streams] == [7, 2 * clicks]
 
 
-def test_query_on_a_processing_time_trigger(spark, sf_dir, root):
-    work = pipeline(spark, f"{root}/out", [CLICKS])
+def test_configured_query_on_a_processing_time_trigger(spark, sf_dir, root):
     write_topic_files(event_rows(spark, sf_dir), f"{root}/in")
-    source = stream_topics(spark, ReplaySource(f"{root}/in", ("click",)))
-    query = work.start(source, f"{root}/checkpoint", every_seconds=1)
+    entry = {"srcTopic": "click", "destTable": "user_clicks", "transform": CLICKS.transform,
+             "filter": CLICKS.filter, "key": "user_id", "order_by": "event_id"}
+    limits = {"maxRecordCount": 100, "count": 1}
+    settings = settings_from(
+        {"app": {"spark": {"batchDur": 1, "partition": limits}, "logdir": root, "streams": [entry]}}
+    )
+    work, query = start_configured(
+        spark, settings, registry_snapshot(spark), f"{root}/checkpoint",
+        source=ReplaySource(f"{root}/in", ("click",)), codec="json", framed=False,
+    )
     query.processAllAvailable()
     query.stop()
     expected = batch_answer(spark, sf_dir, root).table("user_clicks")

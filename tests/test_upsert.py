@@ -127,6 +127,18 @@ def test_compaction_changes_nothing_but_the_layout(spark, root, buckets):
     assert rows_of(snapshot(spark, root, BOTH).select("k", "o", "v", "w")) == before
 
 
+@pytest.mark.parametrize("buckets", [None, 2])
+def test_compaction_that_was_cut_off_is_done_again(spark, root, buckets):
+    append_log(frame(spark, [(1, 1, "a")]), root, "out", "one", 0)
+    frame(spark, [(9, 9, "half")]).write.parquet(f"{root}/base/out/upto=0")
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/base/out/upto=0/_SUCCESS")
+    mark.getFileSystem(spark._jsc.hadoopConfiguration()).delete(mark, False)
+    assert rows_of(snapshot(spark, root, OUT)) == [(1, 1, "a")]
+    compact(spark, root, OUT, 0, buckets)
+    assert base_version(spark, root, "out") == 0
+    assert rows_of(snapshot(spark, root, OUT)) == [(1, 1, "a")]
+
+
 def test_bucketed_base_is_not_shuffled(spark, root):
     for batch in range(2):
         append_log(frame(spark, [(k, batch, "v") for k in range(50)]), root, "out", "one", batch)
