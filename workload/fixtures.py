@@ -72,12 +72,19 @@ def event_contracts(
 
 
 def event_rows(
-    spark: SparkSession, sf_dir: str, topic: Column | None = None, value: Column | None = None
+    spark: SparkSession,
+    sf_dir: str,
+    topic: Column | None = None,
+    value: Column | None = None,
+    decoded: bool = True,
 ) -> DataFrame:
-    """All events as topic rows with JSON payloads, one topic per event type."""
-    events = spread(table(spark, sf_dir, "events"))
+    """All events as topic rows with JSON payloads, one topic per event type.
+
+    Spread over the cores where the payloads are to be ``decoded``.
+    """
+    events = table(spark, sf_dir, "events")
     return as_topic_rows(
-        events,
+        spread(events) if decoded else events,
         topic=F.col("event_type") if topic is None else topic,
         key=F.col("user_id"),
         value=F.struct(*events.columns) if value is None else value,

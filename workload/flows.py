@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ from millrace.functions import codec
 from millrace.operators import deadletter as dead
 from millrace.operators.conform import REASON, topic_rows_of
 from millrace.operators.sizing import counts_by_topic
-from millrace.operators.upsert import Layer, latest_rows
+from millrace.operators.upsert import Layer, latest_rows, log_dir
 from millrace.plans.statements import register_view, statement
 from millrace.sources.paths import scratch
 from millrace.sources.registry import contracts
@@ -99,7 +100,7 @@ HOLED = StreamDef(
     " ts AS sent FROM events WHERE event_type = 'click'"
 )
 def topic_route(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = topic_rows_of(event_rows(spark, sf_dir), "click")
+    rows = topic_rows_of(event_rows(spark, sf_dir, decoded=False), "click")
     return rows.select(
         F.col("offset").alias("event_id"),
         F.col("key").cast("string").alias("msg_key"),
@@ -170,22 +171,15 @@ def _framed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def registry_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows written by an old, a new and an unknown schema version, read by the latest."""
-    turn = F.col("offset") % 3
-    old_fields = ["event_id", "user_id", "value"]
-    old, new = EVENT_SCHEMA_IDS["click"]
-    events = table(spark, sf_dir, "events").columns
-    base = event_rows(spark, sf_dir, value=F.struct(*events))
-    slim = event_rows(spark, sf_dir, value=F.struct(*old_fields))
-    rows = (
-        slim.filter(turn == 0)
-        .withColumn("value", codec.frame(F.col("value"), old))
-        .unionByName(
-            base.filter(turn == 1).withColumn("value", codec.frame(F.col("value"), new))
-        )
-        .unionByName(
-            base.filter(turn == 2).withColumn("value", codec.frame(F.col("value"), 999))
-        )
+    turn, (old, new) = F.col("event_id") % 3, EVENT_SCHEMA_IDS["click"]
+    slim = codec.to_json_bytes(F.struct("event_id", "user_id", "value"))
+    full = codec.to_json_bytes(F.struct(*table(spark, sf_dir, "events").columns))
+    value = (
+        F.when(turn == 0, codec.frame(slim, old))
+        .when(turn == 1, codec.frame(full, new))
+        .otherwise(codec.frame(full, 999))
     )
+    rows = event_rows(spark, sf_dir, value=value)
     batch = TypedBatch(rows, event_contracts(spark, "click", framed=True).values())
     return batch.typed("click").drop("ts")
 
@@ -282,7 +276,7 @@ def source_file_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @flow("SELECT event_type AS topic, count(*) AS records FROM events GROUP BY event_type")
 def batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return counts_by_topic(event_rows(spark, sf_dir))
+    return counts_by_topic(event_rows(spark, sf_dir, decoded=False))
 
 
 @flow(
@@ -471,12 +465,25 @@ def fan_out_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = TopicPipeline(
         spark, streams, event_contracts(spark, *topics), home, concurrency=len(streams)
     )
-    report = work.process(rows, 0)
-    counts = [
-        (s.stream, s.stored, s.null_key, report.records[d.topic] - s.stored - s.null_key)
-        for s, d in zip(report.streams, streams)
+    work.process(rows, 0)
+
+    def marked(found: DataFrame, stream: StreamDef, stored: int) -> DataFrame:
+        return found.select(
+            F.lit(stream.name).alias("stream"),
+            F.lit(stream.topic).alias("topic"),
+            F.lit(stored).alias("stored"),
+            F.lit(1 - stored).alias("rejected"),
+        )
+
+    parts = [
+        marked(spark.read.parquet(log_dir(home, s.table, s.name)), s, stored=1) for s in streams
     ]
-    return spark.createDataFrame(counts, "stream string, stored bigint, rejected bigint, filtered bigint")
+    parts.append(marked(dead.read_rows(spark, home, HOLED.name), HOLED, stored=0))
+    ended = reduce(DataFrame.union, parts).groupBy("stream", "topic")
+    ended = ended.agg(F.sum("stored").alias("stored"), F.sum("rejected").alias("rejected"))
+    rest = (F.col("records") - F.col("stored") - F.col("rejected")).alias("filtered")
+    read = counts_by_topic(event_rows(spark, sf_dir, decoded=False))
+    return ended.join(read, "topic").select("stream", "stored", "rejected", rest)
 
 
 @flow(

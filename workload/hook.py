@@ -296,28 +296,29 @@ _hook(
 )
 
 # -- windows ------------------------------------------------------------------
-# Partitions are bounded in time besides the user, so that a busy user's rows
-# are spread over many of them.
+# A partition is a user's part of 2,048 consecutive event ids. It has no more
+# rows than that however busy the user, whose rows are spread over all tasks.
 
-_BY_DAY = "PARTITION BY user_id, CAST(ts AS date) ORDER BY event_id"
+_BLOCK = "user_id, CAST(floor(event_id / 2048) AS bigint)"
+_BY_ID = f"PARTITION BY {_BLOCK} ORDER BY event_id"
 _RANKS = """event_id, row_number() OVER ({w}) AS rn, rank() OVER ({p}) AS rnk,
     dense_rank() OVER ({p}) AS dense, round(percent_rank() OVER ({w}), 6) AS pct,
     round(cume_dist() OVER ({w}), 6) AS cume, ntile(3) OVER ({w}) AS tile"""
-_BY_VALUE = "PARTITION BY user_id, CAST(ts AS date) ORDER BY CAST(value / 10 AS int)"
-_BY_VALUE_ORACLE = "PARTITION BY user_id, CAST(ts AS date) ORDER BY CAST(trunc(value / 10) AS int)"
+_BY_VALUE = f"PARTITION BY {_BLOCK} ORDER BY CAST(value / 10 AS int)"
+_BY_VALUE_ORACLE = f"PARTITION BY {_BLOCK} ORDER BY CAST(trunc(value / 10) AS int)"
 _hook(
     "sql_transform_window",
     "purchase",
-    transform=_RANKS.format(w=_BY_DAY, p=_BY_VALUE),
-    oracle=f"SELECT {_RANKS.format(w=_BY_DAY, p=_BY_VALUE_ORACLE)}"
+    transform=_RANKS.format(w=_BY_ID, p=_BY_VALUE),
+    oracle=f"SELECT {_RANKS.format(w=_BY_ID, p=_BY_VALUE_ORACLE)}"
     " FROM events WHERE event_type = 'purchase'",
 )
-_OFFSETS = f"""event_id, lag(value) OVER ({_BY_DAY}) AS before,
-    lead(value, 2, -1.0) OVER ({_BY_DAY}) AS after2,
-    first_value(event_id) OVER ({_BY_DAY}) AS first_id,
-    last_value(event_id) OVER ({_BY_DAY} ROWS BETWEEN UNBOUNDED PRECEDING
+_OFFSETS = f"""event_id, lag(value) OVER ({_BY_ID}) AS before,
+    lead(value, 2, -1.0) OVER ({_BY_ID}) AS after2,
+    first_value(event_id) OVER ({_BY_ID}) AS first_id,
+    last_value(event_id) OVER ({_BY_ID} ROWS BETWEEN UNBOUNDED PRECEDING
         AND UNBOUNDED FOLLOWING) AS last_id,
-    count(*) OVER (PARTITION BY user_id, CAST(ts AS date)) AS in_day"""
+    count(*) OVER (PARTITION BY {_BLOCK}) AS in_block"""
 _hook(
     "sql_transform_window_offsets",
     "view",
@@ -328,15 +329,15 @@ _FRAMES = """event_id,
     count(*) OVER ({w} ROWS BETWEEN 2 PRECEDING AND 1 FOLLOWING) AS near_rows,
     max(value) OVER w AS best_so_far,
     min(event_id) OVER ({w} RANGE BETWEEN 1000 PRECEDING AND CURRENT ROW) AS recent_id""".format(
-    w=_BY_DAY
+    w=_BY_ID
 )
 _hook(
     "sql_transform_window_frames",
     "click",
     transform=_FRAMES,
-    where=f"1=1 WINDOW w AS ({_BY_DAY} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
+    where=f"1=1 WINDOW w AS ({_BY_ID} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
     oracle=f"SELECT {_FRAMES} FROM events WHERE event_type = 'click'"
-    f" WINDOW w AS ({_BY_DAY} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
+    f" WINDOW w AS ({_BY_ID} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
 )
 
 # -- order, limits, sets ------------------------------------------------------
