@@ -193,12 +193,12 @@ class TopicPipeline:
 
     def _refuse_overwriting(self, checkpoint: str) -> None:
         """A new checkpoint counts batches from 0 and would replace stored ones."""
-        if committed_batch(self.spark, checkpoint) is not None:
+        if numbered_children(self.spark, f"{checkpoint}/offsets", ""):
             return
         for stream in self.streams:
             home = log_dir(self.root, stream.table, stream.name)
             stored = numbered_children(self.spark, home, "batch_id=")
-            if stored and stored[-1] > self.first_batch_id:
+            if stored and stored[-1] >= self.first_batch_id:
                 raise ValueError(
                     f"stream {stream.name} has batches up to {stored[-1]} below {self.root}, "
                     f"but the checkpoint is new: set first_batch_id to {stored[-1] + 1}"

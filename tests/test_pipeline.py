@@ -71,12 +71,12 @@ def test_batch_repeated_after_a_crash(spark, sf_dir, root):
 def test_new_checkpoint_may_not_replace_stored_batches(spark, sf_dir, root):
     work = pipeline(spark, f"{root}/out", [CLICKS])
     rows = event_rows(spark, sf_dir)
-    for batch in range(2):
-        work.process(rows, batch)
     write_topic_files(rows, f"{root}/in")
     source = stream_topics(spark, ReplaySource(f"{root}/in", ("click",)))
-    with pytest.raises(ValueError, match="set first_batch_id to 2"):
-        work.start(source, f"{root}/checkpoint")
+    for batch in range(2):
+        work.process(rows, batch)
+        with pytest.raises(ValueError, match=f"set first_batch_id to {batch + 1}"):
+            work.start(source, f"{root}/checkpoint")
     later = pipeline(spark, f"{root}/out", [CLICKS], first_batch_id=2)
     later.start(source, f"{root}/checkpoint").awaitTermination()
     assert later.table("user_clicks", upto=1).count() == later.table("user_clicks").count()
