@@ -9,11 +9,13 @@ stream whose statement failed. All have ``_reason`` and ``_error``.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.conform import REASON
-from millrace.sources.paths import complete_children
+from millrace.sources.paths import complete_children, remove
 from millrace.sources.topics import TOPIC_ROW
 
 ERROR = "_error"
@@ -39,21 +41,40 @@ def with_reason(rows: DataFrame, reason: str, error: str | None = None) -> DataF
     return rows.withColumns({REASON: F.lit(reason), ERROR: F.lit(error).cast("string")})
 
 
+def _raw_dir(root: str) -> str:
+    return f"{root}/dead/raw"
+
+
+def _rows_dir(root: str, stream: str) -> str:
+    return f"{root}/dead/rows/stream={stream}"
+
+
+def _failed_dir(root: str, stream: str) -> str:
+    return f"{root}/dead/failed/stream={stream}"
+
+
 def write_raw(rejects: DataFrame, root: str, batch_id: int) -> None:
     """All untypable rows of a batch, in one job for all topics."""
     rows = rejects.withColumn(ERROR, F.lit(None).cast("string"))
-    target = f"{root}/dead/raw/batch_id={batch_id}"
+    target = f"{_raw_dir(root)}/batch_id={batch_id}"
     rows.write.mode("overwrite").partitionBy("topic").parquet(target)
 
 
 def write_rows(rows: DataFrame, root: str, stream: str, batch_id: int) -> None:
-    target = f"{root}/dead/rows/stream={stream}/batch_id={batch_id}"
-    rows.write.mode("overwrite").parquet(target)
+    rows.write.mode("overwrite").parquet(f"{_rows_dir(root, stream)}/batch_id={batch_id}")
 
 
 def write_failed(rows: DataFrame, root: str, stream: str, batch_id: int) -> None:
-    target = f"{root}/dead/failed/stream={stream}/batch_id={batch_id}"
-    rows.write.mode("overwrite").parquet(target)
+    rows.write.mode("overwrite").parquet(f"{_failed_dir(root, stream)}/batch_id={batch_id}")
+
+
+def forget(spark: SparkSession, root: str, streams: Iterable[str], batch_id: int) -> None:
+    """Drop what an earlier attempt at a batch set aside, as the batch runs again."""
+    homes = [_raw_dir(root)]
+    for stream in streams:
+        homes += [_rows_dir(root, stream), _failed_dir(root, stream)]
+    for home in homes:
+        remove(spark, f"{home}/batch_id={batch_id}")
 
 
 def _read(spark: SparkSession, home: str) -> DataFrame | None:
@@ -67,17 +88,17 @@ def _read(spark: SparkSession, home: str) -> DataFrame | None:
 
 def read_raw(spark: SparkSession, root: str) -> DataFrame | None:
     """Untypable topic rows of all batches, with ``batch_id``; None if there are none."""
-    return _read(spark, f"{root}/dead/raw")
+    return _read(spark, _raw_dir(root))
 
 
 def read_rows(spark: SparkSession, root: str, stream: str) -> DataFrame | None:
     """Result rows one stream's table could not take."""
-    return _read(spark, f"{root}/dead/rows/stream={stream}")
+    return _read(spark, _rows_dir(root, stream))
 
 
 def read_failed(spark: SparkSession, root: str, stream: str) -> DataFrame | None:
     """Topic rows one stream's statement failed on."""
-    return _read(spark, f"{root}/dead/failed/stream={stream}")
+    return _read(spark, _failed_dir(root, stream))
 
 
 def replayable(dead: DataFrame) -> DataFrame:

@@ -18,6 +18,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a directory this library wrote; nothing happens where there is none."""
+    target, fs = _path(spark, path)
+    fs.delete(target, True)
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names directly below a directory; empty when it does not exist."""
     target, fs = _path(spark, path)

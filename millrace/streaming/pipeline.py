@@ -125,6 +125,7 @@ class TopicPipeline:
             .collect()
         )
         untyped = {r.topic: r.untyped for r in counts if r.untyped}
+        dead.forget(self.spark, self.root, [s.name for s in self.streams], batch_id)
         if untyped:
             dead.write_raw(typed.rejects(), self.root, batch_id)
         for topic in self.contracts:

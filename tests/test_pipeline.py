@@ -262,3 +262,25 @@ def test_configured_query_on_a_processing_time_trigger(spark, sf_dir, root):
     expected = batch_answer(spark, sf_dir, root).table("user_clicks")
     assert rows_of(work.table("user_clicks")) == rows_of(expected)
     assert committed_batch(spark, f"{root}/nosuch") is None
+
+
+def test_a_retry_takes_back_what_the_first_attempt_set_aside(spark, sf_dir, root, monkeypatch):
+    from pyspark.errors import PySparkException
+
+    rows = event_rows(spark, sf_dir)
+    broken = rows.withColumn("value", F.when(F.col("offset") % 2 == 0, F.col("value")))
+
+    def fails(*_):
+        raise PySparkException("network")
+
+    work = pipeline(spark, root, [CLICKS, HOLED])
+    with monkeypatch.context() as patch:
+        patch.setattr("millrace.streaming.pipeline.append_log", fails)
+        work.process(broken, 0)
+    work.process(rows, 1)
+    assert dead.read_raw(spark, root).count() > 0
+    assert dead.read_rows(spark, root, "clicks").count() > 0
+    work.process(rows, 0)
+    assert dead.read_raw(spark, root) is None
+    assert dead.read_rows(spark, root, "clicks") is None
+    assert {r.batch_id for r in dead.read_rows(spark, root, "holed").collect()} == {0, 1}
