@@ -7,8 +7,12 @@ import pytest
 
 import __spark_entry__ as contract
 from conftest import TESTDATA
+from workload.flows import FLOWS
+from workload.flows import ORACLES as FLOW_ORACLES
+from workload.hook import HOOKS
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES = FLOWS | {name: hook.run for name, hook in HOOKS.items()}
+ORACLES = FLOW_ORACLES | {name: hook.oracle for name, hook in HOOKS.items()}
 
 
 def _plain(value):
@@ -29,6 +33,8 @@ def tables():
 
 def test_every_query_has_an_oracle():
     assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.keys() <= contract.queries().keys()
+    assert ORACLES.keys() <= contract.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", QUERIES)
