@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.extraction import extract_text
 from millrace.llm.lines import drop_boilerplate
 from millrace.llm.mixing import mix_counts
+from millrace.llm.tokens import token_totals
 from millrace.llm.urls import UrlRule, judge_urls
 
 
@@ -14,6 +17,15 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+# --- 2: main text ---------------------------------------------------------------------
+
+
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = extract_text(_read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 # --- 3: lines -------------------------------------------------------------------------
 
 LINE_RATIO, LINE_MIN_PAGES = 0.1, 20
@@ -110,6 +122,20 @@ SELECT doc_id, size, source_size, target, size * copies AS taken, copies FROM mi
 """
 
 
+# --- 6: tokens ------------------------------------------------------------------------
+
+TOKENIZER, TOKEN_LIMIT = "byte_bpe_50k.json", 1024
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document, and where the longest prefix within the limit ends."""
+    documents = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = token_totals(documents, public_tokenizers.path(TOKENIZER), TOKEN_LIMIT)
+    return counted.select(
+        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"), "fit_chars"
+    )
+
+
 # --- 7: URLs --------------------------------------------------------------------------
 
 #: The host and path rules that queries report, then the patterns
@@ -168,8 +194,10 @@ FROM (SELECT *, host || path AS target FROM split) s LEFT JOIN fits f USING (r)
 
 
 QUERIES = {
+    "op2_html_extraction": op2_html_extraction,
     "op3_line_dedup": op3_line_dedup,
     "op4_mixing": op4_mixing,
+    "op6_token_counts": op6_token_counts,
     "op7_url_filter": op7_url_filter,
 }
 ORACLES = {

@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes hashed at a time; a longer word is taken whole.
 PIECE = 1 << 21
@@ -110,7 +111,7 @@ def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
 
 def texts(batch: pa.RecordBatch, name: str = "text", most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with at most so many bytes of text, or one row."""
-    sizes = np.asarray(pa.compute.binary_length(batch.column(name)).fill_null(0)).astype(np.int64)
+    sizes = np.asarray(pc.binary_length(batch.column(name)).fill_null(0)).astype(np.int64)
     ends = np.cumsum(sizes)
     low = 0
     while low < batch.num_rows:
