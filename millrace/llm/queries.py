@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from millrace.llm.extraction import extract_text
 from millrace.llm.lines import drop_boilerplate
 from millrace.llm.mixing import mix_counts
+from millrace.llm.quality import RULES, judge_quality
 from millrace.llm.tokens import token_totals
 from millrace.llm.urls import UrlRule, judge_urls
 
@@ -17,6 +18,80 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+# --- 1: quality -----------------------------------------------------------------------
+
+
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdicts; cutoffs by language, at most 5 % of good documents lost in each."""
+    judged = judge_quality(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
+
+
+def _op1_sql() -> str:
+    cutoffs = ", ".join(f"('{r.name}', {c}::DOUBLE)" for r in RULES for c in r.cutoffs)
+    measures = " ".join(f"WHEN '{r.name}' THEN {r.measure}" for r in RULES)
+    tests, risk = sum(len(r.cutoffs) for r in RULES), 0.05 / len(RULES)
+    return rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t FROM documents
+), cut AS (
+  SELECT r, doc_id, lang, t, regexp_extract_all(t, '[^ 	-]+') AS words,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS lines FROM texts
+), windows AS (
+  SELECT r, i, words[i:i + 4] AS piece FROM (SELECT r, words, unnest(range(1, len(words) - 3)) AS i FROM cut)
+), twice AS (
+  SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, piece) > 1
+), repeated AS (
+  SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 5)) AS p FROM twice) GROUP BY r
+), measured AS (
+  SELECT c.r, doc_id, lang, CAST(len(words) AS BIGINT) AS n_words,
+         CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(length(regexp_replace(t, '[^A-Z]+', '', 'g')) AS BIGINT) AS n_upper,
+         CAST(len(lines) AS BIGINT) AS n_lines,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
+  FROM cut c LEFT JOIN repeated USING (r)
+), based AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM measured
+), marks AS (
+  SELECT doc_id, min(quality) = 1 AS good FROM labels GROUP BY doc_id
+), holdout AS (
+  SELECT * FROM based JOIN marks USING (doc_id) WHERE NOT base_failed AND good IS NOT NULL
+), cutoffs(rule, cutoff) AS (VALUES {cutoffs}
+), tried AS (
+  SELECT h.lang, rule, cutoff, good, CASE rule {measures} END > cutoff AS gone FROM holdout h, cutoffs
+), counts AS (
+  SELECT lang, rule, cutoff, count(*) FILTER (WHERE good) AS n, count(*) FILTER (WHERE good AND gone) AS k,
+         count(*) FILTER (WHERE NOT good AND gone) AS bad FROM tried GROUP BY ALL
+), strata AS (SELECT count(DISTINCT coalesce(lang, '?null')) AS strata FROM holdout
+), tails AS (
+  SELECT *, CASE WHEN k > n * {risk} THEN 1 ELSE
+    list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
+             + i * ln({risk}) + (n - i) * ln(1 - {risk})))) END AS tail
+  FROM counts WHERE bad > k
+), chosen AS (
+  SELECT lang, rule, arg_max(cutoff, struct_pack(gain := bad - k, cutoff := cutoff)) AS cutoff
+  FROM tails, strata WHERE tail * strata * {tests} <= 0.05 GROUP BY lang, rule
+), failed AS (
+  SELECT DISTINCT b.r FROM based b JOIN chosen c ON b.lang IS NOT DISTINCT FROM c.lang
+  WHERE CASE c.rule {measures} END > c.cutoff
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND f.r IS NULL AS kept
+FROM based b LEFT JOIN failed f ON b.r = f.r
+"""
+
+
 # --- 2: main text ---------------------------------------------------------------------
 
 
@@ -194,6 +269,7 @@ FROM (SELECT *, host || path AS target FROM split) s LEFT JOIN fits f USING (r)
 
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
     "op2_html_extraction": op2_html_extraction,
     "op3_line_dedup": op3_line_dedup,
     "op4_mixing": op4_mixing,
@@ -201,6 +277,7 @@ QUERIES = {
     "op7_url_filter": op7_url_filter,
 }
 ORACLES = {
+    "op1_quality_rules": _op1_sql(),
     "op3_line_dedup": OP3_SQL,
     "op4_mixing": OP4_SQL,
     "op7_url_filter": _op7_sql(),
