@@ -11,6 +11,7 @@ from millrace.llm.lines import drop_boilerplate
 from millrace.llm.mixing import mix_counts
 from millrace.llm.quality import RULES, judge_quality
 from millrace.llm.tokens import token_totals
+from millrace.llm.toxicity import fit_toxicity, held_out, score_toxicity
 from millrace.llm.urls import UrlRule, judge_urls
 
 
@@ -44,8 +45,10 @@ def _op1_sql() -> str:
 WITH texts AS (
   SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t FROM documents
 ), cut AS (
-  SELECT r, doc_id, lang, t, regexp_extract_all(t, '[^ 	-]+') AS words,
-         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS lines FROM texts
+  SELECT r, doc_id, lang, t, regexp_extract_all(t, '[^ 	-
+]+') AS words,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')) AS lines FROM texts
 ), windows AS (
   SELECT r, i, words[i:i + 4] AS piece FROM (SELECT r, words, unnest(range(1, len(words) - 3)) AS i FROM cut)
 ), twice AS (
@@ -268,6 +271,23 @@ FROM (SELECT *, host || path AS target FROM split) s LEFT JOIN fits f USING (r)
 """
 
 
+# --- 9: toxicity ----------------------------------------------------------------------
+
+TOXIC_FROM = 0.3
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, by a model that saw no held-out label."""
+    documents = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_toxicity(documents, _read(spark, sf_dir, "labels"))
+    return score_toxicity(documents, model).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"),
+    )
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_html_extraction": op2_html_extraction,
@@ -275,6 +295,7 @@ QUERIES = {
     "op4_mixing": op4_mixing,
     "op6_token_counts": op6_token_counts,
     "op7_url_filter": op7_url_filter,
+    "op9_toxicity": op9_toxicity,
 }
 ORACLES = {
     "op1_quality_rules": _op1_sql(),
