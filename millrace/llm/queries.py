@@ -6,9 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.decontamination import contaminated
 from millrace.llm.extraction import extract_text
 from millrace.llm.lines import drop_boilerplate
 from millrace.llm.mixing import mix_counts
+from millrace.llm.neardup import NearDup, near_duplicates
 from millrace.llm.quality import RULES, judge_quality
 from millrace.llm.tokens import token_totals
 from millrace.llm.toxicity import fit_toxicity, held_out, score_toxicity
@@ -200,6 +202,14 @@ SELECT doc_id, size, source_size, target, size * copies AS taken, copies FROM mi
 """
 
 
+# --- 5: near-duplicates ---------------------------------------------------------------
+
+
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of three-word shingles are at least 85 % alike."""
+    return near_duplicates(_read(spark, sf_dir, "documents"), NearDup(width=3, percent=85))
+
+
 # --- 6: tokens ------------------------------------------------------------------------
 
 TOKENIZER, TOKEN_LIMIT = "byte_bpe_50k.json", 1024
@@ -288,14 +298,24 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- 10: decontamination --------------------------------------------------------------
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the benchmark items of which they hold a passage."""
+    return contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_html_extraction": op2_html_extraction,
     "op3_line_dedup": op3_line_dedup,
     "op4_mixing": op4_mixing,
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_token_counts": op6_token_counts,
     "op7_url_filter": op7_url_filter,
     "op9_toxicity": op9_toxicity,
+    "op10_decontamination": op10_decontamination,
 }
 ORACLES = {
     "op1_quality_rules": _op1_sql(),
