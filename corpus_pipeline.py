@@ -1,10 +1,75 @@
-"""A training-data pipeline over ``documents``: five stages, each written and read again."""
+"""A training-data pipeline over ``documents``: five stages, each written and read again.
+
+Toxic documents go, boilerplate lines of a source are dropped, one document of
+each group of near-duplicates stays, documents with benchmark passages go, and the
+rest is mixed to target weights.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from millrace.llm.decontamination import decontaminate
+from millrace.llm.lines import drop_boilerplate
+from millrace.llm.mixing import mix
+from millrace.llm.neardup import NearDup, deduplicated
+from millrace.llm.queries import LINE_MIN_PAGES, LINE_RATIO, MIX_LIMIT, MIX_SEED, MIX_WEIGHTS, TOXIC_FROM
+from millrace.llm.store import stored
+from millrace.llm.toxicity import fit_toxicity, score_toxicity
+
+#: Shingles of five words, at least 80 % alike.
+NEAR = NearDup(width=5, percent=80, bands=40)
+
+
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below the threshold, by a model of the labelled ones among them."""
+    model = fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = score_toxicity(docs.withColumnRenamed("score", "__score") if "score" in docs.columns else docs, model)
+    kept = scored.where(F.col("score") < TOXIC_FROM).drop("score")
+    return kept.withColumnRenamed("__score", "score") if "__score" in kept.columns else kept
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without their source's boilerplate lines, and ``n_chars`` of what is left."""
+    left = drop_boilerplate(docs, F.col("source"), ratio=LINE_RATIO, min_pages=LINE_MIN_PAGES)
+    if "n_chars" not in docs.columns:
+        return left
+    return left.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component."""
+    return deduplicated(docs, NEAR)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of the benchmark."""
+    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    return mix(docs, MIX_WEIGHTS, MIX_LIMIT, MIX_SEED)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", reject_toxic),
+    ("line dedup", drop_lines),
+    ("near-duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("mixing", mix_sources),
+]
+
+#: SQL does not learn a lexicon or run a grammar; tests/llm hold brute-force versions.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents after all stages."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir))
+    return docs

@@ -15,6 +15,7 @@ from millrace.llm.quality import RULES, judge_quality
 from millrace.llm.tokens import token_totals
 from millrace.llm.toxicity import fit_toxicity, held_out, score_toxicity
 from millrace.llm.urls import UrlRule, judge_urls
+from millrace.llm.warc import TRACKING, resolve_revisits
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -281,6 +282,78 @@ FROM (SELECT *, host || path AS target FROM split) s LEFT JOIN fits f USING (r)
 """
 
 
+# --- 8: WARC --------------------------------------------------------------------------
+
+_TAG = """concat('"', substr(md5(concat(html, '{0}')), 1, 16), '"')"""
+#: The captures of a page: a full response, a revisit with its tag, one with the
+#: tag made weak, then for every third page a changed response and otherwise a
+#: revisit with the changed tag, and last a revisit with the changed tag. The
+#: first response of every tenth page is missing.
+_CAPTURES = f"""
+SELECT page_id * 5 + k AS record_id,
+       CASE WHEN k % 2 = 0 THEN url ELSE concat(replace(url, 'https://', 'http://'), '#c') END AS url,
+       page_id % 1000 + k * 100000 AS time,
+       CASE WHEN k = 0 OR k = 3 AND page_id % 3 = 0 THEN 'response' ELSE 'revisit' END AS kind,
+       CASE k WHEN 0 THEN {_TAG.format("")} WHEN 1 THEN {_TAG.format("")}
+              WHEN 2 THEN concat('W/', {_TAG.format("")}) ELSE {_TAG.format("new")} END AS etag,
+       CAST(length(html) AS string) AS content_length,
+       concat('max-age=', CAST(k AS string)) AS cache_control
+FROM pages_at WHERE NOT (k = 0 AND page_id % 10 = 9)
+"""
+
+
+def captures(pages: DataFrame) -> DataFrame:
+    """Capture records with headers, made from the pages."""
+    at = pages.select("page_id", "url", "html", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("k"))
+    made = pages.sparkSession.sql(_CAPTURES.replace("pages_at", "{pages_at}"), pages_at=at)
+    names = ("etag", "content_length", "cache_control")
+    entries = [e for n in names for e in (F.lit(n.replace("_", "-")), F.col(n))]
+    return made.select("record_id", "url", "time", "kind", F.create_map(*entries).alias("headers"))
+
+
+def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The response of every not-modified capture of the pages, with merged headers."""
+    found = resolve_revisits(captures(_read(spark, sf_dir, "pages").select("page_id", "url", "html")))
+    header = lambda n: F.col("headers")[n]
+    return found.select(
+        "record_id",
+        "key",
+        "response_id",
+        "verdict",
+        header("etag").alias("etag"),
+        header("cache-control").alias("cache_control"),
+        header("content-length").alias("content_length"),
+    )
+
+
+OP8_SQL = rf"""
+WITH pages_at AS (SELECT page_id, url, html, unnest(range(0, 5)) AS k FROM pages
+), records AS ({_CAPTURES}
+), bare AS (
+  SELECT *, regexp_replace(regexp_replace(trim(url), '#.*$', '', 's'), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS b FROM records
+), parts AS (
+  SELECT *, regexp_replace(lower(regexp_extract(b, '^[^/?]*')), '^www\.|:(80|443)$', '', 'g') AS host,
+         regexp_replace(regexp_extract(b, '^[^/?]*([^?]*)', 1, 's'), '/+$', '') AS path,
+         list_sort(list_filter(string_split(regexp_extract(b, '^[^?]*\?(.*)$', 1, 's'), '&'),
+           lambda p: p <> '' AND NOT regexp_matches(p, '^({TRACKING})(=|$)'))) AS params FROM bare
+), keyed AS (
+  SELECT *, host || path || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END AS key FROM parts
+), found AS (
+  SELECT v.record_id, max(struct_pack(t := r.time, id := r.record_id)) AS best
+  FROM keyed v JOIN keyed r ON v.key = r.key AND r.time < v.time WHERE v.kind = 'revisit' AND r.kind = 'response' GROUP BY 1
+), joined AS (
+  SELECT v.*, f.best.id AS response_id, r.etag AS old_etag, r.content_length AS old_length,
+         CASE WHEN f.best IS NULL THEN 'no_response'
+              WHEN regexp_replace(v.etag, '^W/', '') = regexp_replace(r.etag, '^W/', '') THEN 'resolved'
+              ELSE 'mismatch' END AS verdict
+  FROM keyed v LEFT JOIN found f USING (record_id) LEFT JOIN keyed r ON r.record_id = f.best.id WHERE v.kind = 'revisit'
+)
+SELECT record_id, key, response_id, verdict, etag, cache_control,
+       CASE WHEN verdict = 'resolved' THEN old_length ELSE content_length END AS content_length
+FROM joined
+"""
+
+
 # --- 9: toxicity ----------------------------------------------------------------------
 
 TOXIC_FROM = 0.3
@@ -314,6 +387,7 @@ QUERIES = {
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_token_counts": op6_token_counts,
     "op7_url_filter": op7_url_filter,
+    "op8_warc_revisits": op8_warc_revisits,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
 }
@@ -322,4 +396,5 @@ ORACLES = {
     "op3_line_dedup": OP3_SQL,
     "op4_mixing": OP4_SQL,
     "op7_url_filter": _op7_sql(),
+    "op8_warc_revisits": OP8_SQL,
 }
