@@ -27,9 +27,8 @@ NEAR = NearDup(width=5, percent=80, bands=40)
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below the threshold, by a model of the labelled ones among them."""
     model = fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = score_toxicity(docs.withColumnRenamed("score", "__score") if "score" in docs.columns else docs, model)
-    kept = scored.where(F.col("score") < TOXIC_FROM).drop("score")
-    return kept.withColumnRenamed("__score", "score") if "__score" in kept.columns else kept
+    scored = score_toxicity(docs, model, score="__score")
+    return scored.where(F.col("__score") < TOXIC_FROM).drop("__score")
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

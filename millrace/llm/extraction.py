@@ -10,14 +10,12 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from millrace.llm.words import texts
+from millrace.llm.arrow import with_text_columns
 
 # HTML element names, and words of class, id and role attributes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -230,14 +228,10 @@ def extract_text(
     end. A column named like ``text`` is replaced, repeated rows are pages of
     their own, and an empty table stays empty.
     """
-    kept = [f for f in pages.schema.fields if f.name != text and (keep_html or f.name != html)]
-    schema = T.StructType([*kept, T.StructField(text, T.StringType())])
-
-    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in source:
-            for part in texts(batch, html):
-                made = pa.array([main_text(p, rules) for p in part.column(html).to_pylist()], pa.string())
-                own = [part.column(f.name) for f in kept]
-                yield pa.RecordBatch.from_arrays([*own, made], names=[*(f.name for f in kept), text])
-
-    return pages.mapInArrow(batches, schema)
+    return with_text_columns(
+        pages,
+        html,
+        [(text, T.StringType())],
+        lambda values: [[main_text(p, rules) for p in values]],
+        drop=() if keep_html else (html,),
+    )

@@ -80,8 +80,8 @@ def drop_boilerplate(
     )
     joined = pages.join(found, host.cast("string").eqNullSafe(F.col("__host")), "left")
     known = F.col("__lines").isNotNull()
-    out = [c if c != text else F.when(known, F.array_join(keep, "\n")).otherwise(F.col(text)).alias(text) for c in pages.columns]
+    gone = F.when(known, F.size(_lines(F.col(text))) - F.size(keep)).otherwise(0)
+    new = {text: F.when(known, F.array_join(keep, "\n")).otherwise(F.col(text))}
     if dropped:
-        gone = F.when(known, F.size(_lines(F.col(text))) - F.size(keep)).otherwise(0)
-        out.append(F.coalesce(gone, F.lit(0)).cast("long").alias(dropped))
-    return joined.select(*out)
+        new[dropped] = F.coalesce(gone, F.lit(0)).cast("long")
+    return joined.withColumns(new).drop("__host", "__lines")

@@ -151,5 +151,5 @@ def mix(
         documents.join(targets, F.col(source).cast("string").eqNullSafe(F.col("__mix_source")))
         .withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), copies.cast("int"))))
         .where(F.col("__mix_copy") > 0)
-        .select(*[documents[c] for c in documents.columns])
+        .drop("__mix_source", "__mix_rate", "__mix_copy")
     )

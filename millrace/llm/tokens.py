@@ -20,13 +20,12 @@ from itertools import accumulate
 
 import ahocorasick
 import numpy as np
-import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.words import texts
+from millrace.llm.arrow import with_text_columns
 
 #: Pieces whose totals a worker remembers, and token pairs; beyond, it starts anew.
 KEPT_PIECES, KEPT_PAIRS = 400_000, 1_000_000
@@ -215,27 +214,6 @@ def tokenizer_body(path: str) -> bytes:
         return file.read()
 
 
-def _append(frame: DataFrame, text: str, columns: list[tuple[str, T.DataType]], work) -> DataFrame:
-    """The frame with columns that ``work`` makes from each text, null being empty."""
-    names = {n for n, _ in columns}
-    kept = [c for c in frame.columns if c not in names]
-    types = {f.name: f for f in frame.schema.fields}
-    schema = T.StructType([types[c] for c in kept] + [T.StructField(n, t) for n, t in columns])
-
-    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql.pandas.types import to_arrow_schema
-
-        target = to_arrow_schema(schema)
-        for batch in source:
-            for part in texts(batch, text):
-                made = work([t or "" for t in part.column(text).to_pylist()])
-                own = [part.column(c) for c in kept]
-                new = [pa.array(v, target.field(n).type) for (n, _), v in zip(columns, made)]
-                yield pa.RecordBatch.from_arrays(own + new, names=target.names)
-
-    return frame.mapInArrow(batches, schema)
-
-
 def token_prefixes(frame: DataFrame, tokenizer: str, text: str = "text", name: str = "prefix_tokens") -> DataFrame:
     """The rows with an array of the token counts at 0, 1, ... n code points of the text.
 
@@ -245,11 +223,11 @@ def token_prefixes(frame: DataFrame, tokenizer: str, text: str = "text", name: s
     """
     shared = _shared(frame.sparkSession, tokenizer)
 
-    def work(values: list[str]):
+    def work(values):
         counter = _counter(shared.value)
-        return ([counter.counts(v) for v in values],)
+        return ([counter.counts(v or "") for v in values],)
 
-    return _append(frame, text, [(name, T.ArrayType(T.IntegerType()))], work)
+    return with_text_columns(frame, text, [(name, T.ArrayType(T.IntegerType()))], work)
 
 
 def token_totals(frame: DataFrame, tokenizer: str, limit: int, text: str = "text") -> DataFrame:
@@ -257,13 +235,13 @@ def token_totals(frame: DataFrame, tokenizer: str, limit: int, text: str = "text
     the code points of the longest prefix of at most ``limit`` tokens. Cases as above."""
     shared = _shared(frame.sparkSession, tokenizer)
 
-    def work(values: list[str]):
+    def work(values):
         counter = _counter(shared.value)
-        pairs = [counter.total_and_fit(v, limit) for v in values]
-        return [len(v.encode()) for v in values], [p[0] for p in pairs], [p[1] for p in pairs]
+        pairs = [counter.total_and_fit(v or "", limit) for v in values]
+        return [len((v or "").encode()) for v in values], [p[0] for p in pairs], [p[1] for p in pairs]
 
-    long = T.LongType()
-    return _append(frame, text, [("n_bytes", long), ("n_tokens", long), ("fit_chars", long)], work)
+    names = ("n_bytes", "n_tokens", "fit_chars")
+    return with_text_columns(frame, text, [(n, T.LongType()) for n in names], work)
 
 
 def _shared(spark: SparkSession, tokenizer: str):

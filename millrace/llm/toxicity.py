@@ -24,8 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.llm.arrow import with_text_columns
 from millrace.llm.store import stored
-from millrace.llm.words import texts
 
 INSULT, THREAT, TARGET, NEGATION, REPORT, QUOTE, OTHER = "itgnrq."
 
@@ -306,7 +306,7 @@ def fit_toxicity(
     words, stems = _lexicon([(r.feature, r.toxic, r.clean) for r in found.collect()])
     kept = dict(sorted(words.items(), key=lambda kv: (-kv[1][1], kv[0]))[:LEXICON])
     model = ToxicityModel(_prior() | kept, stems)
-    drawn = _scored(sample.select("toxic", "text"), "text", model, features=True).select("toxic", "heaviest", "whole")
+    drawn = _scored(sample.select("toxic", "text"), "text", model, ["heaviest", "whole"]).select("toxic", "heaviest", "whole")
     table = np.array([tuple(r) for r in drawn.collect()], float).reshape(-1, 3)
     if 0 < table[:, 0].sum() < len(table):
         design = np.column_stack([np.ones(len(table)), table[:, 1:]])
@@ -314,25 +314,20 @@ def fit_toxicity(
     return model
 
 
-def _scored(documents: DataFrame, text: str, model: ToxicityModel, features: bool) -> DataFrame:
-    columns = ["heaviest", "whole"] if features else ["score"]
-    kept = [f for f in documents.schema.fields if f.name not in columns]
-    schema = T.StructType([*kept, *(T.StructField(c, T.DoubleType()) for c in columns)])
+def _scored(documents: DataFrame, text: str, model: ToxicityModel, names: list[str]) -> DataFrame:
+    """One name is that of the score, two are those of the features."""
 
-    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in source:
-            for part in texts(batch, text):
-                values = part.column(text).to_pylist()
-                made = [model.features(v) for v in values] if features else [(model.score(v),) for v in values]
-                new = [pa.array([m[k] for m in made], pa.float64()) for k in range(len(columns))]
-                own = [part.column(f.name) for f in kept]
-                yield pa.RecordBatch.from_arrays([*own, *new], names=[f.name for f in schema.fields])
+    def work(values: list[str | None]) -> list[tuple[float, ...]]:
+        made = [model.features(v) if len(names) > 1 else (model.score(v),) for v in values]
+        return list(zip(*made)) if made else [()] * len(names)
 
-    return documents.mapInArrow(batches, schema)
+    return with_text_columns(documents, text, [(n, T.DoubleType()) for n in names], work)
 
 
-def score_toxicity(documents: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
-    """The rows with ``score`` in 0 to 1. Only the text counts; null is the empty text, which
+def score_toxicity(
+    documents: DataFrame, model: ToxicityModel, text: str = "text", score: str = "score"
+) -> DataFrame:
+    """The rows with a score of 0 to 1. Only the text counts; null is the empty text, which
     scores the model's base rate. A column of that name is replaced; repeated rows score alike,
     an empty table stays empty."""
-    return _scored(documents, text, model, features=False)
+    return _scored(documents, text, model, [score])
