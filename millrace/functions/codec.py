@@ -28,13 +28,20 @@ def from_json_bytes(payload: Column, struct: T.StructType, mode: str = "PERMISSI
     """JSON bytes as a struct: fields by name, absent ones null, extra ones dropped.
 
     In PERMISSIVE mode the struct has one more field, ``_unparsed``, set when
-    the payload is malformed or a value does not have the declared type.
+    the payload is malformed or a value does not have the declared type. Text
+    behind the first value makes the whole null.
     """
     options = {"mode": mode}
     if mode == "PERMISSIVE":
         struct = T.StructType([*struct.fields, T.StructField(UNPARSED, T.StringType())])
         options["columnNameOfCorruptRecord"] = UNPARSED
-    return F.from_json(payload.cast("string"), struct, options)
+    text = payload.cast("string")
+    return F.when(is_one_value(text), F.from_json(text, struct, options))
+
+
+def is_one_value(text: Column) -> Column:
+    """Whether a text is one JSON value and nothing else; the parser stops behind the first."""
+    return F.json_array_length(F.concat(F.lit("["), text, F.lit(",0]"))) == 2
 
 
 def from_avro_bytes(payload: Column, writer_schema: str, mode: str = "PERMISSIVE") -> Column:
@@ -50,9 +57,12 @@ def to_avro_bytes(record: Column, schema: str) -> Column:
     return to_avro(record, schema)
 
 
-def frame(body: Column, schema_id: int) -> Column:
+def frame(body: Column, schema_id: int | Column) -> Column:
     """Magic byte, four-byte schema id, body."""
-    return F.concat(F.lit(FRAME_MAGIC + schema_id.to_bytes(4, "big")), body)
+    if isinstance(schema_id, int):
+        return F.concat(F.lit(FRAME_MAGIC + schema_id.to_bytes(4, "big")), body)
+    four = F.unhex(F.lpad(F.hex(schema_id.cast("bigint")), 8, "0"))
+    return F.concat(F.lit(FRAME_MAGIC), four, body)
 
 
 def frame_id_sql(value: str) -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -137,6 +138,12 @@ class TypedBatch:
             *[_record_name(i) for i in self._position.values()],
         )
 
+    def over(self, frame: DataFrame) -> TypedBatch:
+        """The same batch with its rows in another arrangement."""
+        other = copy.copy(self)
+        other.frame = frame
+        return other
+
     def _per_topic(self, case: Callable[[str], str]) -> str:
         """SQL that is one expression for each topic."""
         branches = " ".join(f"WHEN {literal(t)} THEN {case(t)}" for t in self.contracts)

@@ -82,7 +82,8 @@ def _read(spark: SparkSession, home: str) -> DataFrame | None:
     batches = complete_children(spark, home, "batch_id=")
     if not batches:
         return None
-    reader = spark.read.option("basePath", home)
+    # a stream's definition may have changed between batches
+    reader = spark.read.option("basePath", home).option("mergeSchema", True)
     return reader.parquet(*[f"{home}/batch_id={n}" for n in batches])
 
 

@@ -30,19 +30,19 @@ class Produced:
 def _parse(text: Column, contract: TopicContract, unions: str) -> Column:
     struct = contract.struct
     if unions == "tagged":
-        struct, _ = tagged_form(contract.schema)
+        struct = tagged_form(contract.schema).parsed
     return codec.from_json_bytes(F.coalesce(text, F.lit("{}")), struct)
 
 
 def _plain(parsed: Column, contract: TopicContract, unions: str) -> Column:
     if unions == "tagged":
-        _, untag = tagged_form(contract.schema)
-        return untag(parsed)
+        return tagged_form(contract.schema).untag(parsed)
     return F.struct(*[parsed.getField(f.name).alias(f.name) for f in contract.struct])
 
 
-def _unsound(parsed: Column) -> Column:
-    return parsed.isNull() | parsed.getField(codec.UNPARSED).isNotNull()
+def _unsound(parsed: Column, contract: TopicContract, unions: str) -> Column:
+    bad = parsed.isNull() | parsed.getField(codec.UNPARSED).isNotNull()
+    return bad | tagged_form(contract.schema).wrong(parsed) if unions == "tagged" else bad
 
 
 def _incomplete(text: Column, record: Column, contract: TopicContract, unions: str) -> Column:
@@ -96,8 +96,8 @@ def produce(
     for name, (text, contract) in texts.items():
         short = short | _incomplete(text, records[name], contract, unions)
     reason = (
-        F.when(_unsound(F.col(_KEY)), BAD_KEY)
-        .when(_unsound(F.col(_VALUE)), BAD_VALUE)
+        F.when(_unsound(F.col(_KEY), key, unions), BAD_KEY)
+        .when(_unsound(F.col(_VALUE), value, unions), BAD_VALUE)
         .when(short, MISSING_FIELD)
     )
     parts = {

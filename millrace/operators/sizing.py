@@ -31,19 +31,12 @@ class Sizing:
         over = F.floor(count / self.partitions) > size
         return F.when(over, F.floor(count / size))
 
-    def apply(self, batch: DataFrame) -> DataFrame:
-        wanted = self.target(batch.count())
-        return batch if wanted is None else batch.repartition(wanted)
+    def apply(self, rows: DataFrame, count: int) -> DataFrame:
+        """The rows, dealt out anew if their number asks for it."""
+        wanted = self.target(count)
+        return rows if wanted is None else rows.repartition(wanted)
 
 
 def counts_by_topic(rows: DataFrame) -> DataFrame:
     return rows.groupBy("topic").agg(F.count("*").alias("records"))
 
-
-def spread(rows: DataFrame) -> DataFrame:
-    """Rows over at least as many tasks as there are cores, ahead of costly decoding.
-
-    A scan that has them already, as any large one does, is left as it is.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows

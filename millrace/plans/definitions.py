@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from millrace.functions.text import split_values
@@ -79,6 +80,9 @@ class ReplicaDef:
 
     ``values`` is a list, or text split on commas without trimming. ``null``
     among them matches null and missing fields unless ``match_null`` is off.
+    ``target_schema_id`` is the id that values get in the target's registry:
+    one for all, or by the id of their writer (see ``registry.matching_ids``),
+    where values of other writers count as malformed.
     """
 
     topic: str
@@ -88,7 +92,7 @@ class ReplicaDef:
     match_null: bool = True
     keep_key: bool = False
     on_malformed: str = "fail"
-    target_schema_id: int | None = None
+    target_schema_id: int | Mapping[int, int] | None = None
 
     def __post_init__(self):
         object.__setattr__(self, "values", tuple(split_values(self.values)))
@@ -116,7 +120,8 @@ class Settings:
 def settings_from(config: dict) -> Settings:
     """Settings from the nested ``app`` dictionary of a pipeline's config.
 
-    Each entry of ``streams`` has ``srcTopic, destTable, transform, filter``
+    Fixed values: the names of the keys, also the misspelt one, are those of
+    existing configs. Each entry of ``streams`` has ``srcTopic, destTable, transform, filter``
     and, beyond them, ``key``, ``order_by`` and optionally ``name`` and ``sql``.
     """
     app = config["app"]

@@ -44,9 +44,18 @@ def numbered_children(spark: SparkSession, path: str, prefix: str) -> list[int]:
 
 def complete_children(spark: SparkSession, path: str, prefix: str) -> list[int]:
     """The same for directories whose writing job has finished."""
-    target, fs = _path(spark, f"{path}/{prefix}*/_SUCCESS")
-    marks = fs.globStatus(target) or []
-    return _numbers([m.getPath().getParent().getName() for m in marks], prefix)
+    return [
+        n
+        for n in numbered_children(spark, path, prefix)
+        if exists(spark, f"{path}/{prefix}{n}/_SUCCESS")
+    ]
+
+
+def refuse_patterns(path: str) -> None:
+    """Raise where Spark would take a path for a pattern of paths."""
+    found = sorted(set(path) & set("*?[]{}\\"))
+    if found:
+        raise ValueError(f"{path!r}: a path must not have the characters {' '.join(found)}")
 
 
 def scratch(spark: SparkSession) -> str:

@@ -35,6 +35,7 @@ PRIMITIVES = {
     "enum": T.StringType(),
     "fixed": T.BinaryType(),
 }
+NAMED = ("record", "enum", "fixed")
 LOGICAL = {
     "date": T.DateType(),
     "timestamp-millis": T.TimestampType(),
@@ -71,44 +72,75 @@ class TopicContract:
         return self.writers.get(self.latest_id)
 
 
-def _spark_type(schema, named: dict) -> T.DataType:
+def resolved(schema, space: str | None = None, known: dict | None = None):
+    """A parsed Avro schema in which every type name is replaced by its definition.
+
+    Definitions get ``fullname``. Names are looked up in their namespace first,
+    which nested types inherit. A type that contains itself has no Spark type
+    and is refused, as is a name that nothing defines.
+    """
+    known = {} if known is None else known
+    if isinstance(schema, list):
+        return [resolved(s, space, known) for s in schema]
     if isinstance(schema, str):
-        return named.get(schema) or PRIMITIVES[schema]
+        full = f"{space}.{schema}" if space and "." not in schema else schema
+        if full not in known and schema in PRIMITIVES and schema not in NAMED:
+            return schema
+        found = known.get(full, known.get(schema, ...))
+        if found is ...:
+            raise ValueError(f"no definition of the type {schema!r}")
+        if found is None:
+            raise ValueError(f"the type {schema!r} contains itself")
+        return found
+    kind = schema["type"]
+    if not isinstance(kind, str):
+        return resolved(kind, space, known)
+    if kind in NAMED:
+        name = schema["name"]
+        inside = name.rpartition(".")[0] if "." in name else schema.get("namespace", space)
+        name = name.rpartition(".")[2]
+        full = f"{inside}.{name}" if inside else name
+        known[full] = None
+        made = schema | {"name": name, "fullname": full}
+        if kind == "record":
+            fields = [f | {"type": resolved(f["type"], inside, known)} for f in schema["fields"]]
+            made["fields"] = fields
+        known[full] = made
+        return made
+    for part in ("items", "values"):
+        if part in schema:
+            schema = schema | {part: resolved(schema[part], space, known)}
+    if kind not in PRIMITIVES and kind not in ("array", "map"):
+        return resolved(kind, space, known)
+    return schema
+
+
+def spark_type(schema) -> T.DataType:
+    """The Spark type of a parsed and resolved Avro schema."""
+    if isinstance(schema, str):
+        return PRIMITIVES[schema]
     if isinstance(schema, list):
         branches = [b for b in schema if b != "null"]
         if len(branches) == 1:
-            return _spark_type(branches[0], named)
+            return spark_type(branches[0])
         if set(map(str, branches)) == {"int", "long"}:
             return T.LongType()
         if set(map(str, branches)) == {"float", "double"}:
             return T.DoubleType()
-        members = [_spark_type(b, named) for b in branches]
+        members = [spark_type(b) for b in branches]
         return T.StructType([T.StructField(f"member{i}", m) for i, m in enumerate(members)])
     kind, logical = schema["type"], schema.get("logicalType")
     if logical == "decimal":
-        found = T.DecimalType(schema["precision"], schema.get("scale", 0))
-    elif logical in LOGICAL:
-        found = LOGICAL[logical]
-    elif kind == "record":
-        found = T.StructType(
-            [T.StructField(f["name"], _spark_type(f["type"], named)) for f in schema["fields"]]
-        )
-    elif kind == "array":
-        found = T.ArrayType(_spark_type(schema["items"], named))
-    elif kind == "map":
-        found = T.MapType(T.StringType(), _spark_type(schema["values"], named))
-    elif isinstance(kind, str):
-        found = named.get(kind) or PRIMITIVES[kind]
-    else:
-        found = _spark_type(kind, named)
-    if "name" in schema and kind in ("record", "enum", "fixed"):
-        named[schema["name"]] = found
-    return found
-
-
-def spark_type(schema) -> T.DataType:
-    """The Spark type of one parsed Avro schema."""
-    return _spark_type(schema, {})
+        return T.DecimalType(schema["precision"], schema.get("scale", 0))
+    if logical in LOGICAL:
+        return LOGICAL[logical]
+    if kind == "record":
+        return T.StructType([T.StructField(f["name"], spark_type(f["type"])) for f in schema["fields"]])
+    if kind == "array":
+        return T.ArrayType(spark_type(schema["items"]))
+    if kind == "map":
+        return T.MapType(T.StringType(), spark_type(schema["values"]))
+    return PRIMITIVES[kind]
 
 
 def required_fields(avro_json: str) -> list[str]:
@@ -123,7 +155,7 @@ def required_fields(avro_json: str) -> list[str]:
 
 def struct_of(avro_json: str) -> T.StructType:
     """The columns of a record schema, by name, every one nullable."""
-    found = spark_type(json.loads(avro_json))
+    found = spark_type(resolved(json.loads(avro_json)))
     if not isinstance(found, T.StructType):
         raise ValueError("the top level of a topic schema must be a record")
     return found
@@ -159,3 +191,23 @@ def contracts(
     if missing:
         raise ValueError(f"no {side} schema registered for {missing}")
     return by_topic
+
+
+def matching_ids(
+    source: DataFrame, target: DataFrame, topic: str, target_topic: str, side: str = "value"
+) -> dict[int, int]:
+    """Schema ids of one registry by those of another: each version of a topic's
+    schema with the newest equal one of the target topic.
+
+    Schemas are equal if their JSON is, whatever its layout. Versions that the
+    target does not have are missing. Both snapshots' versions of one subject
+    come to the driver.
+    """
+
+    def versions(snapshot: DataFrame, name: str) -> list:
+        rows = snapshot.filter(F.col("subject") == f"{name}-{side}").select("version", "id", "schema")
+        return sorted(rows.collect(), key=lambda r: r.version)
+
+    plain = lambda text: json.dumps(json.loads(text), sort_keys=True)
+    there = {plain(r.schema): r.id for r in versions(target, target_topic)}
+    return {r.id: there[plain(r.schema)] for r in versions(source, topic) if plain(r.schema) in there}

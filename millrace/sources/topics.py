@@ -52,6 +52,14 @@ class KafkaSource:
             found["minPartitions"] = str(self.min_partitions)
         return found | self.options
 
+    def batch_options(self) -> dict[str, str]:
+        """The same for a batch, which covers a closed range: from the offsets
+        or times that ``options`` name, else from the beginning."""
+        found = self.reader_options()
+        found.pop("maxOffsetsPerTrigger", None)
+        named = [k for k in self.options if k.lower().startswith("startingoffset") or k.lower() == "startingtimestamp"]
+        return found if named else found | {"startingOffsets": "earliest"}
+
 
 @dataclass(frozen=True)
 class ReplaySource:
@@ -72,10 +80,7 @@ def _subscribed(rows: DataFrame, topics: tuple[str, ...]) -> DataFrame:
 def read_topics(spark: SparkSession, source: KafkaSource | ReplaySource) -> DataFrame:
     """All rows present now, as a batch."""
     if isinstance(source, KafkaSource):
-        # a batch read always covers a closed range, so it starts at the beginning
-        options = source.reader_options() | {"startingOffsets": "earliest"}
-        options.pop("maxOffsetsPerTrigger", None)
-        frame = spark.read.format("kafka").options(**options).load()
+        frame = spark.read.format("kafka").options(**source.batch_options()).load()
         return frame.select(*TOPIC_ROW.fieldNames())
     frame = spark.read.schema(TOPIC_ROW).parquet(source.path)
     return _subscribed(frame.select(*TOPIC_ROW.fieldNames()), source.topics)

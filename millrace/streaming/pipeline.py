@@ -10,14 +10,22 @@ from dataclasses import dataclass
 from py4j.protocol import Py4JError
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators import deadletter as dead
 from millrace.operators.conform import REASON, TypedBatch
 from millrace.operators.sizing import Sizing
-from millrace.operators.upsert import RESERVED, append_log, compact, log_dir, snapshot
+from millrace.operators.upsert import (
+    RESERVED,
+    append_log,
+    compact,
+    expire,
+    log_dir,
+    refuse_type_changes,
+    snapshot,
+)
 from millrace.plans.definitions import Settings, StreamDef, tables_of
 from millrace.plans.statements import (
     check_streams,
@@ -25,7 +33,7 @@ from millrace.plans.statements import (
     statement,
     uses_source_columns,
 )
-from millrace.sources.paths import numbered_children
+from millrace.sources.paths import child_names, numbered_children, refuse_patterns
 from millrace.sources.registry import TopicContract, contracts
 from millrace.sources.topics import KafkaSource, ReplaySource, stream_topics
 
@@ -100,6 +108,9 @@ class TopicPipeline:
             if taken:
                 raise ValueError(f"stream {name}: column names {sorted(taken)} are reserved")
         self.tables = tables_of(self.streams)
+        refuse_patterns(self.root)
+        for table in self.tables.values():
+            refuse_type_changes(spark, self.root, table, self.schemas)
         self._source_columns = uses_source_columns(self.streams)
 
     # -- one batch ---------------------------------------------------------
@@ -108,22 +119,31 @@ class TopicPipeline:
         """Store one batch of topic rows. Repeating a batch repeats its result."""
         batch_id += self.first_batch_id
         with ansi_mode(batch.sparkSession, self.ansi):
-            rows = self.sizing.apply(batch) if self.sizing else batch
-            typed = TypedBatch(rows, self.contracts.values())
-            if self.cache:
-                typed.frame.persist(StorageLevel.MEMORY_AND_DISK)
+            typed = TypedBatch(batch, self.contracts.values())
+            kept = [self._kept(typed.frame)]
             try:
-                return self._store_all(batch, typed, batch_id)
+                counts = self._counts(typed)
+                if self.sizing:
+                    sized = self.sizing.apply(typed.frame, sum(r.records for r in counts))
+                    if sized is not typed.frame:
+                        kept.append(self._kept(sized))
+                        typed = typed.over(sized)
+                return self._store_all(batch, typed, counts, batch_id)
             finally:
-                if self.cache:
-                    typed.frame.unpersist()
-
-    def _store_all(self, batch: DataFrame, typed: TypedBatch, batch_id: int) -> BatchReport:
-        counts = (
-            typed.frame.groupBy("topic")
-            .agg(F.count("*").alias("records"), F.count(REASON).alias("untyped"))
-            .collect()
-        )
+                for frame in kept if self.cache else ():
+                    frame.unpersist()
+
+    def _kept(self, frame: DataFrame) -> DataFrame:
+        return frame.persist(StorageLevel.MEMORY_AND_DISK) if self.cache else frame
+
+    @staticmethod
+    def _counts(typed: TypedBatch) -> list[Row]:
+        counted = typed.frame.groupBy("topic")
+        return counted.agg(F.count("*").alias("records"), F.count(REASON).alias("untyped")).collect()
+
+    def _store_all(
+        self, batch: DataFrame, typed: TypedBatch, counts: list[Row], batch_id: int
+    ) -> BatchReport:
         untyped = {r.topic: r.untyped for r in counts if r.untyped}
         dead.forget(self.spark, self.root, [s.name for s in self.streams], batch_id)
         if untyped:
@@ -198,11 +218,12 @@ class TopicPipeline:
             return
         for stream in self.streams:
             home = log_dir(self.root, stream.table, stream.name)
-            stored = numbered_children(self.spark, home, "batch_id=")
-            if stored and stored[-1] >= self.first_batch_id:
+            shapes = child_names(self.spark, home)
+            stored = [n for s in shapes for n in numbered_children(self.spark, f"{home}/{s}", "batch_id=")]
+            if stored and max(stored) >= self.first_batch_id:
                 raise ValueError(
-                    f"stream {stream.name} has batches up to {stored[-1]} below {self.root}, "
-                    f"but the checkpoint is new: set first_batch_id to {stored[-1] + 1}"
+                    f"stream {stream.name} has batches up to {max(stored)} below {self.root}, "
+                    f"but the checkpoint is new: set first_batch_id to {max(stored) + 1}"
                 )
 
     # -- tables ------------------------------------------------------------
@@ -215,6 +236,10 @@ class TopicPipeline:
         """Fold a table's batches up to a committed one into a base layer."""
         compact(self.spark, self.root, self.tables[name], upto, buckets)
 
+    def expire(self, name: str, before: int) -> None:
+        """Remove the files that the newest base layer up to ``before`` replaces."""
+        expire(self.spark, self.root, self.tables[name], before)
+
 
 def start_configured(
     spark: SparkSession,

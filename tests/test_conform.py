@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from helpers import plan, rows_of, topic_frame
-from millrace import ReplaySource, TopicContract, TypedBatch, conform, read_topics, write_topic_files
+from millrace import KafkaSource, ReplaySource, TopicContract, TypedBatch, conform, read_topics, write_topic_files
 from millrace.functions import codec
 from millrace.operators.conform import (
     BAD_ENVELOPE,
@@ -195,3 +195,12 @@ def test_one_parse_per_row_and_pruned_files(spark, sf_dir, root):
     assert text.count("from_json") == 2  # one per topic
     assert "(topic" in text.split("PartitionFilters:")[1].split("PushedFilters")[0]
     assert "Python" not in text and "RDD" not in text and "Exchange" not in text
+
+
+def test_named_start_positions_hold_for_batches():
+    plain = KafkaSource("b:9092", ("t",), "latest", max_offsets_per_batch=5)
+    assert plain.batch_options()["startingOffsets"] == "earliest"
+    assert "maxOffsetsPerTrigger" not in plain.batch_options()
+    text = '{"t": {"0": 23}}'
+    named = KafkaSource("b:9092", ("t",), "latest", options={"startingOffsets": text})
+    assert named.batch_options()["startingOffsets"] == text

@@ -78,3 +78,21 @@ def test_views_are_replaced(spark):
     register_view(spark.range(1), "again")
     register_view(spark.range(2), "AGAIN")
     assert spark.table("tmp_again").count() == 2
+
+
+def test_sample_is_a_repeatable_part(spark, sf_dir):
+    text = "SELECT event_id FROM TMP_CLICK TABLESAMPLE (30 PERCENT) REPEATABLE (7)"
+    drawn = [{r.event_id for r in spliced(spark, sf_dir, ("click",), sql=text).collect()} for _ in range(2)]
+    every = {r.event_id for r in spliced(spark, sf_dir, ("click",), "event_id").collect()}
+    assert drawn[0] == drawn[1] < every
+    assert 0.15 * len(every) < len(drawn[0]) < 0.45 * len(every)
+
+
+def test_rows_are_in_order_inside_their_partitions(spark, sf_dir):
+    where = "1=1 DISTRIBUTE BY o_custkey SORT BY o_orderkey"
+    rows = spliced(spark, sf_dir, ("orders",), "o_custkey, o_orderkey, spark_partition_id() AS at", where)
+    seen, places = {}, {}
+    for row in rows.collect():
+        assert seen.get(row.at, -1) < row.o_orderkey
+        seen[row.at] = row.o_orderkey
+        assert places.setdefault(row.o_custkey, row.at) == row.at

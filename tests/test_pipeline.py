@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -134,7 +136,7 @@ def test_every_row_is_stored_filtered_or_dead(spark, sf_dir, root):
     work = pipeline(spark, root, [HOLED])
     report = work.process(rows.withColumn("value", value), 0)
     (stream,) = report.streams
-    logged = spark.read.parquet(f"{root}/log/user_signups/stream=holed/batch_id=0").count()
+    logged = spark.read.parquet(f"{root}/log/user_signups/stream=holed").count()
     raw, rejected = dead.read_raw(spark, root), dead.read_rows(spark, root, "holed")
     sound = rows.filter("topic = 'signup' AND offset % 5 > 1")
     low = "CAST(get_json_object(CAST(value AS string), '$.value') AS double) <= 5"
@@ -212,7 +214,9 @@ def test_sizing_rule(spark, count, target):
 
 def test_sizing_splits_the_batch(spark, sf_dir, root):
     rows = event_rows(spark, sf_dir).coalesce(1)
-    assert Sizing(100, 1).apply(rows).rdd.getNumPartitions() == rows.count() // 100
+    count = rows.count()
+    assert Sizing(100, 1).apply(rows, count).rdd.getNumPartitions() == count // 100
+    assert Sizing(count, 1).apply(rows, count) is rows
     work = pipeline(spark, root, [CLICKS], sizing=Sizing(100, 1))
     work.process(rows, 0)
     expected = batch_answer(spark, sf_dir, root).table("user_clicks")
@@ -284,3 +288,75 @@ def test_a_retry_takes_back_what_the_first_attempt_set_aside(spark, sf_dir, root
     assert dead.read_raw(spark, root) is None
     assert dead.read_rows(spark, root, "clicks") is None
     assert {r.batch_id for r in dead.read_rows(spark, root, "holed").collect()} == {0, 1}
+
+
+def test_sizing_reads_the_source_once(spark, sf_dir, root):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = event_rows(spark, sf_dir).filter("topic = 'click'")
+    total = rows.count()
+    work = pipeline(spark, root, [CLICKS], sizing=Sizing(10, 1))
+    work.process(rows.mapInArrow(seen, rows.schema), 0)
+    assert read.value == total
+
+
+def test_changed_type_is_refused_at_start(spark, sf_dir, root):
+    pipeline(spark, root, [CLICKS]).process(event_rows(spark, sf_dir), 0)
+    other = StreamDef(
+        "clicks", "click", "user_clicks", "user_id", "user_id, CAST(value AS string) AS value, event_id",
+        order_by="event_id",
+    )
+    with pytest.raises(ValueError, match="column value is stored as double"):
+        pipeline(spark, root, [other])
+
+
+def test_repeated_batch_with_other_columns_replaces_the_first(spark, sf_dir, root):
+    rows = event_rows(spark, sf_dir)
+    pipeline(spark, root, [CLICKS]).process(rows, 0)
+    other = StreamDef("clicks", "click", "user_clicks", "user_id", "user_id, event_id", order_by="event_id")
+    work = pipeline(spark, root, [other])
+    work.process(rows, 0)
+    assert sorted(work.table("user_clicks").columns) == ["event_id", "user_id"]
+
+
+def test_dead_letters_of_two_definitions_are_read_together(spark, sf_dir, root):
+    rows = event_rows(spark, sf_dir)
+    pipeline(spark, root, [HOLED]).process(rows, 0)
+    other = StreamDef(
+        "holed", "signup", "user_signups", "user_id",
+        "CAST(NULL AS bigint) AS user_id, event_id, event_type", order_by="event_id",
+    )
+    pipeline(spark, root, [other]).process(rows, 1)
+    assert {"value", "event_type"} <= set(dead.read_rows(spark, root, "holed").columns)
+
+
+def test_files_follow_the_bytes(spark, sf_dir, root):
+    work = pipeline(spark, root, [CLICKS])
+    work.process(event_rows(spark, sf_dir).repartition(50), 0)
+    assert len(work.table("user_clicks").inputFiles()) == 1
+
+
+def test_root_that_is_a_pattern_is_refused(spark):
+    with pytest.raises(ValueError, match="must not have"):
+        pipeline(spark, "/tmp/ro[1]ot", [CLICKS])
+
+
+def test_expired_batches_are_gone_and_the_table_is_not(spark, sf_dir, root):
+    work = pipeline(spark, root, [CLICKS])
+    rows = event_rows(spark, sf_dir).filter("topic = 'click'")
+    for batch_id, part in enumerate(_slices(spark, rows, 4)):
+        work.process(part, batch_id)
+    expected = rows_of(work.table("user_clicks"))
+    work.compact("user_clicks", 1, buckets=2)
+    work.compact("user_clicks", 2, buckets=2)
+    read = work.table("user_clicks").inputFiles()
+    assert not [f for f in read if "batch_id=0" in f or "batch_id=1" in f or "batch_id=2" in f]
+    work.expire("user_clicks", 3)
+    assert rows_of(work.table("user_clicks")) == expected
+    stored = list(Path(root).glob("log/*/*/*/batch_id=*")) + list(Path(root).glob("base/*/upto=*"))
+    assert sorted(p.name for p in stored) == ["batch_id=3", "upto=2"]

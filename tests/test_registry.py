@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import types as T
 
 from millrace import TopicContract, contracts
-from millrace.sources.registry import SNAPSHOT, required_fields, struct_of
+from millrace.sources.registry import SNAPSHOT, matching_ids, required_fields, struct_of
 from workload.fixtures import EVENT_V1, EVENT_V2, registry_snapshot
 
 
@@ -82,3 +82,31 @@ def test_avro_contract_needs_its_schema():
         TopicContract("t", T.StructType(), codec="avro")
     with pytest.raises(ValueError, match="codec"):
         TopicContract("t", T.StructType(), codec="xml")
+
+
+def _nested(**names) -> str:
+    inner = {"type": "record", "name": names["inner"], "fields": [{"name": "x", "type": "long"}]}
+    fields = [{"name": "a", "type": inner}, {"name": "b", "type": ["null", names["again"]]}]
+    return json.dumps({"type": "record", "name": "r", "namespace": "com.x", "fields": fields})
+
+
+@pytest.mark.parametrize(
+    ("inner", "again"), [("Addr", "Addr"), ("Addr", "com.x.Addr"), ("org.y.Addr", "org.y.Addr")]
+)
+def test_names_are_found_in_their_namespaces(inner, again):
+    found = struct_of(_nested(inner=inner, again=again))
+    assert found == T.StructType.fromDDL("a struct<x: bigint>, b struct<x: bigint>")
+
+
+def test_undefined_and_recursive_names_are_refused():
+    with pytest.raises(ValueError, match="no definition"):
+        struct_of(_nested(inner="org.y.Addr", again="Addr"))
+    with pytest.raises(ValueError, match="contains itself"):
+        struct_of(_nested(inner="Addr", again="r"))
+
+
+def test_ids_of_equal_schemas_in_two_registries(spark):
+    other = json.dumps(json.loads(EVENT_V2), indent=2)
+    here = spark.createDataFrame([("t-value", 1, 5, EVENT_V1), ("t-value", 2, 6, EVENT_V2)], SNAPSHOT)
+    there = spark.createDataFrame([("u-value", 1, 90, other)], SNAPSHOT)
+    assert matching_ids(here, there, "t", "u") == {6: 90}

@@ -98,3 +98,34 @@ def test_plan_is_narrow_and_reads_one_field(spark, root):
     assert "Exchange" not in text and "Python" not in text
     assert text.count("from_json") == 1 and "name,StringType" not in text
     assert "topic" in text.split("PartitionFilters:")[1].split("PushedFilters")[0]
+
+
+def test_values_of_a_table_equal_listed_values(spark):
+    frame = topic_frame(spark, MESSAGES)
+    listed = spark.createDataFrame([("3",), ("null",)], "v string")
+    found = replicate(frame, CONTRACT, ReplicaDef("t", "copy", "number", ()), listed)
+    assert sorted(r.offset for r in found.collect()) == copied(spark, MESSAGES, field="number", values="3,null")
+
+
+@pytest.mark.parametrize("size", [2, 5000])
+def test_lists_of_any_length_have_one_plan(spark, size):
+    replica = ReplicaDef("t", "copy", "number", [str(i) for i in range(size)])
+    found = plan(replicate(topic_frame(spark, MESSAGES), CONTRACT, replica))
+    assert "Join" not in found and "Exchange" not in found
+
+
+def test_unframed_values_keep_their_bytes_in_a_target_frame(spark):
+    frame = topic_frame(spark, [("t", 0, {"number": 1, "name": "x"})])
+    replica = ReplicaDef("t", "copy", "number", "1", target_schema_id=7)
+    value = replicate(frame, CONTRACT, replica).first().value
+    assert bytes(value) == b"\x00\x00\x00\x00\x07" + b'{"number": 1, "name": "x"}'
+
+
+def test_writer_without_a_target_id_is_malformed(spark):
+    frame = topic_frame(spark, [("t", 0, {"number": 1})])
+    frame = frame.withColumn("value", codec.frame(F.col("value"), 5))
+    contract = TopicContract("t", STRUCT, framed=True, writers={5: "{}"}, latest_id=5)
+    skip = ReplicaDef("t", "copy", "number", "1", target_schema_id={6: 9}, on_malformed="skip")
+    assert replicate(frame, contract, skip).collect() == []
+    known = ReplicaDef("t", "copy", "number", "1", target_schema_id={5: 300})
+    assert bytes(replicate(frame, contract, known).first().value)[:5] == b"\x00\x00\x00\x01\x2c"

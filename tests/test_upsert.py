@@ -1,4 +1,7 @@
+from pathlib import Path
+
 import pytest
+from pyspark.errors import PySparkException
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -10,6 +13,7 @@ from millrace.operators.upsert import (
     base_version,
     compact,
     latest_rows,
+    merge_into,
     snapshot,
 )
 from millrace.plans.definitions import tables_of
@@ -96,8 +100,8 @@ def test_repeated_batch_replaces_itself(spark, root):
 def test_unfinished_batch_is_not_read(spark, root):
     append_log(frame(spark, [(1, 1, "a")]), root, "out", "one", 0)
     append_log(frame(spark, [(1, 1, "half")]), root, "out", "one", 1)
-    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/log/out/stream=one/batch_id=1/_SUCCESS")
-    mark.getFileSystem(spark._jsc.hadoopConfiguration()).delete(mark, False)
+    for mark in Path(root).glob("log/out/stream=one/shape=*/batch_id=1/_SUCCESS"):
+        mark.unlink()
     assert rows_of(snapshot(spark, root, OUT)) == [(1, 1, "a")]
 
 
@@ -194,3 +198,12 @@ def test_any_sequence_of_writes_equals_a_dictionary(spark, sequence):
     assert found.keys() == expected.keys()
     for key, row in expected.items():
         assert {c: found[key].get(c) for c in row} == row
+
+
+def test_merge_reaches_the_catalog(spark):
+    """The built-in catalog's tables cannot merge; that is what is refused, not the statement."""
+    spark.sql("CREATE TABLE IF NOT EXISTS merged (k bigint, v string) USING parquet")
+    with pytest.raises(PySparkException) as refused:
+        merge_into(frame(spark, [(1, "a")], "k bigint, v string"), "merged", ["k"], ["v"])
+    assert "MERGE" in str(refused.value) and "PARSE" not in str(refused.value)
+    spark.sql("DROP TABLE merged")

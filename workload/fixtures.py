@@ -9,15 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import StreamDef, TopicContract, as_topic_rows, conform, contracts
-from millrace.operators.sizing import spread
 from millrace.plans.statements import register_view, statement
 from millrace.sources.registry import SNAPSHOT, struct_of
 
 EVENT_TOPICS = ("click", "error", "purchase", "signup", "view")
 
-# Tables whose statements work through long texts.
-TEXT_TABLES = ("documents", "conversations")
-
 _NTZ = {"type": "long", "logicalType": "local-timestamp-micros"}
 
 
@@ -76,15 +72,11 @@ def event_rows(
     sf_dir: str,
     topic: Column | None = None,
     value: Column | None = None,
-    decoded: bool = True,
 ) -> DataFrame:
-    """All events as topic rows with JSON payloads, one topic per event type.
-
-    Spread over the cores where the payloads are to be ``decoded``.
-    """
+    """All events as topic rows with JSON payloads, one topic per event type."""
     events = table(spark, sf_dir, "events")
     return as_topic_rows(
-        spread(events) if decoded else events,
+        events,
         topic=F.col("event_type") if topic is None else topic,
         key=F.col("user_id"),
         value=F.struct(*events.columns) if value is None else value,
@@ -102,8 +94,6 @@ def topic_views(spark: SparkSession, sf_dir: str, *topics: str) -> None:
             register_view(conform(events, struct_of(EVENT_V2)), topic)
         else:
             rows = table(spark, sf_dir, topic)
-            if topic in TEXT_TABLES:
-                rows = spread(rows)
             register_view(conform(rows, rows.schema), topic)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from functools import reduce
 
@@ -28,12 +29,12 @@ from millrace import (
 )
 from millrace.functions import codec
 from millrace.operators import deadletter as dead
-from millrace.operators.conform import REASON, topic_rows_of
+from millrace.operators.conform import RAW, REASON, topic_rows_of
 from millrace.operators.sizing import counts_by_topic
 from millrace.operators.upsert import Layer, latest_rows, log_dir
 from millrace.plans.statements import register_view, statement
 from millrace.sources.paths import scratch
-from millrace.sources.registry import contracts
+from millrace.sources.registry import contracts, matching_ids, struct_of
 from millrace.streaming.inspection import decoded
 from workload.fixtures import (
     EVENT_SCHEMA_IDS,
@@ -100,7 +101,7 @@ HOLED = StreamDef(
     " ts AS sent FROM events WHERE event_type = 'click'"
 )
 def topic_route(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = topic_rows_of(event_rows(spark, sf_dir, decoded=False), "click")
+    rows = topic_rows_of(event_rows(spark, sf_dir), "click")
     return rows.select(
         F.col("offset").alias("event_id"),
         F.col("key").cast("string").alias("msg_key"),
@@ -187,6 +188,7 @@ def registry_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 @flow(
     """SELECT event_type AS topic, CASE WHEN user_id % 10 = 0 THEN 'bad_envelope'
     WHEN event_id % 11 = 0 THEN 'unknown_schema' WHEN event_id % 13 = 0 THEN 'bad_payload'
+    WHEN event_id % 19 IN (1, 2, 3, 4) THEN 'bad_payload'
     WHEN event_id % 17 = 0 THEN 'null_value' ELSE 'typed' END AS outcome, count(*) AS n
     FROM events GROUP BY ALL"""
 )
@@ -201,6 +203,10 @@ def conform_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
             offset % 13 == 0,
             F.concat(F.substring(F.col("value"), 1, codec.FRAME_BYTES), F.lit(b"oops")),
         )
+        .when(offset % 19 == 1, F.concat("value", codec.frame_body("value")))
+        .when(offset % 19 == 2, F.concat("value", F.lit(b"oops")))
+        .when(offset % 19 == 3, F.concat("value", F.lit(b"]")))
+        .when(offset % 19 == 4, F.concat("value", F.lit(b","), codec.frame_body("value")))
         .when(offset % 17 == 0, F.lit(None))
         .otherwise(F.col("value"))
     )
@@ -276,7 +282,7 @@ def source_file_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @flow("SELECT event_type AS topic, count(*) AS records FROM events GROUP BY event_type")
 def batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return counts_by_topic(event_rows(spark, sf_dir, decoded=False))
+    return counts_by_topic(event_rows(spark, sf_dir))
 
 
 @flow(
@@ -291,6 +297,18 @@ def batch_sizing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("target", rule.target_column(F.col("records")))
 
 
+@flow(
+    """SELECT count(*) AS records, CAST(CASE WHEN count(*) // 4 > 200 THEN count(*) // 200 END AS bigint)
+    AS partitions FROM events"""
+)
+def batch_sizing_applied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch over the limit, dealt out as the rule says."""
+    rows = table(spark, sf_dir, "events")
+    sized = Sizing(max_records=200, partitions=4).apply(rows, rows.count())
+    by_task = sized.groupBy(F.spark_partition_id().alias("at")).agg(F.count("*").alias("n"))
+    return by_task.agg(F.sum("n").alias("records"), F.count("*").alias("partitions"))
+
+
 # -- upsert -------------------------------------------------------------------
 
 
@@ -341,11 +359,13 @@ _PROFILE = f"""SELECT user_id, {_at('click')} AS last_click, {_at('view')} AS la
 
 @flow(_PROFILE)
 def upsert_partial_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = event_rows(spark, sf_dir)
-    layers = [
-        Layer(_stream_rows(spark, rows, s), 0, i, s.order_by)
-        for i, s in enumerate((PROFILE_A, PROFILE_B))
-    ]
+    streams = (PROFILE_A, PROFILE_B)
+    topics = [s.topic for s in streams]
+    rows = event_rows(spark, sf_dir).filter(F.col("topic").isin(*topics))
+    batch = TypedBatch(rows, event_contracts(spark, *topics).values())
+    for topic in topics:
+        register_view(batch.typed(topic), topic)
+    layers = [Layer(spark.sql(statement(s)), 0, i, s.order_by) for i, s in enumerate(streams)]
     return latest_rows(layers, ["user_id"])
 
 
@@ -396,6 +416,75 @@ def upsert_partial_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _replayed(spark, sf_dir, [PROFILE_A, PROFILE_B]).table("user_profile")
 
 
+@flow(
+    """SELECT user_id, arg_max(value, event_id) FILTER (WHERE slice < 2) AS value,
+    arg_max(event_type, event_id) FILTER (WHERE slice > 0) AS kind, max(event_id) AS event_id
+    FROM (SELECT *, (event_id - min(event_id) OVER ()) //
+        ((max(event_id) OVER () - min(event_id) OVER ()) // 3 + 1) AS slice
+        FROM events WHERE event_type = 'click') GROUP BY user_id"""
+)
+def upsert_evolved_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream whose definition gets a column and then loses another, across restarts."""
+    home = scratch(spark)
+    rows = event_rows(spark, sf_dir).filter("topic = 'click'")
+    definitions = (
+        "user_id, value, event_id",
+        "user_id, value, event_type AS kind, event_id",
+        "user_id, event_type AS kind, event_id",
+    )
+    for part, transform in zip(_slices(spark, rows, 3), definitions):
+        stream = StreamDef("clicks", "click", "evolved", "user_id", transform, order_by="event_id")
+        work = TopicPipeline(spark, [stream], event_contracts(spark, "click"), f"{home}/out")
+        write_topic_files(part, f"{home}/in")
+        source = stream_topics(spark, ReplaySource(f"{home}/in", ("click",)))
+        work.start(source, f"{home}/checkpoint").awaitTermination()
+    return work.table("evolved")
+
+
+@flow(
+    """SELECT 'a.b' AS tab, user_id, max(event_id) AS event_id FROM events
+    WHERE event_type = 'click' GROUP BY user_id
+    UNION ALL SELECT 'a_b', user_id, max(event_id) FROM events
+    WHERE event_type = 'view' GROUP BY user_id"""
+)
+def compacted_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables of like names below one root, both compacted into buckets."""
+    home = scratch(spark)
+    streams = [
+        StreamDef(f"{topic}s", topic, name, "user_id", "user_id, event_id", order_by="event_id")
+        for topic, name in (("click", "a.b"), ("view", "a_b"))
+    ]
+    rows = event_rows(spark, sf_dir).filter("topic IN ('click', 'view')")
+    work = TopicPipeline(spark, streams, event_contracts(spark, "click", "view"), home)
+    for batch_id, part in enumerate(_slices(spark, rows, 2)):
+        work.process(part, batch_id)
+    found = []
+    for stream in streams:
+        work.compact(stream.table, 0, buckets=4)
+        named = work.table(stream.table).withColumn("tab", F.lit(stream.table))
+        found.append(named.select("tab", "user_id", "event_id"))
+    return found[0].union(found[1])
+
+
+@flow(
+    """SELECT user_id, CASE WHEN event_id % 2 = 0 THEN event_id END AS n,
+    100.0 / nullif(event_id % 3, 0) AS share, event_id FROM events
+    WHERE event_type = 'purchase' QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1"""
+)
+def sql_transform_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A pipeline as it is by default: casts that fail and divisions by zero give null."""
+    stream = StreamDef(
+        "lenient", "purchase", "shares", "user_id",
+        """user_id, event_id, CAST(CASE WHEN event_id % 2 = 0 THEN CAST(event_id AS string)
+            ELSE concat('x', event_id) END AS bigint) AS n,
+        CAST(100 AS double) / (event_id % 3) AS share""",
+        order_by="event_id",
+    )
+    work = TopicPipeline(spark, [stream], event_contracts(spark, "purchase"), scratch(spark))
+    work.process(event_rows(spark, sf_dir).filter("topic = 'purchase'"), 0)
+    return work.table("shares").select("user_id", "n", "share", "event_id")
+
+
 @flow(_latest("click", "user_id, value, event_id", "value > 1"))
 def compacted_equals_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = _replayed(spark, sf_dir, [CLICKS])
@@ -482,7 +571,7 @@ def fan_out_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ended = reduce(DataFrame.union, parts).groupBy("stream", "topic")
     ended = ended.agg(F.sum("stored").alias("stored"), F.sum("rejected").alias("rejected"))
     rest = (F.col("records") - F.col("stored") - F.col("rejected")).alias("filtered")
-    read = counts_by_topic(event_rows(spark, sf_dir, decoded=False))
+    read = counts_by_topic(event_rows(spark, sf_dir))
     return ended.join(read, "topic").select("stream", "stored", "rejected", rest)
 
 
@@ -501,7 +590,7 @@ def failing_stream_isolated(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = TopicPipeline(spark, streams, event_contracts(spark, "error", "view"), home, ansi=True)
     work.process(event_rows(spark, sf_dir).filter("topic IN ('error', 'view')"), 0)
     lost = dead.read_failed(spark, home, "failing")
-    kept = spark.read.parquet(f"{home}/log/user_views/stream=views/batch_id=0")
+    kept = spark.read.parquet(log_dir(home, "user_views", "views"))
     return lost.select(
         F.col("offset").alias("event_id"),
         F.col("key").cast("string").cast("bigint").alias("user_id"),
@@ -567,6 +656,35 @@ def replicate_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _copied(read_topics(spark, ReplaySource(f"{home}/out")), contract)
 
 
+@flow(
+    """SELECT event_id, user_id, CASE WHEN event_id % 2 = 0 THEN 9101 ELSE 9102 END AS id,
+    CASE WHEN event_id % 2 <> 0 THEN event_type END AS event_type
+    FROM events WHERE event_type = 'click' AND user_id % 2 = 1"""
+)
+def replicate_target_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of two writers, each with its own schema's id in the target registry."""
+    old, new = EVENT_SCHEMA_IDS["click"]
+    slim = codec.to_json_bytes(F.struct("event_id", "user_id", "value"))
+    full = codec.to_json_bytes(F.struct(*table(spark, sf_dir, "events").columns))
+    value = F.when(F.col("event_id") % 2 == 0, codec.frame(slim, old)).otherwise(codec.frame(full, new))
+    rows = event_rows(spark, sf_dir, value=value)
+    there = registry_snapshot(spark).withColumns(
+        {"subject": F.regexp_replace("subject", "^click", "copy"), "id": F.col("id") + 9000}
+    )
+    ids = matching_ids(registry_snapshot(spark), there, "click", "copy")
+    users = table(spark, sf_dir, "events").select(F.col("user_id").cast("string")).distinct()
+    odd = users.filter("CAST(user_id AS bigint) % 2 = 1")
+    contract = event_contracts(spark, "click", framed=True)["click"]
+    replica = ReplicaDef("click", "copy", "user_id", (), target_schema_id=ids)
+    copied = replicate(rows, contract, replica, listed=odd)
+    there_by_id = contracts(there, ["copy"], framed=True)["copy"]
+    batch = TypedBatch(copied, [there_by_id], keep_values=True)
+    record = [f"{path} AS {n}" for path, n in zip(batch.fields("copy"), there_by_id.struct.names)]
+    return batch.frame.selectExpr(*record, f"{codec.frame_id_sql(RAW)} AS id").select(
+        "event_id", "user_id", "id", "event_type"
+    )
+
+
 _PRODUCED = """SELECT conv_id, turn, role, text FROM conversations
     WHERE turn % 5 <> 3 AND turn % 5 <> 4"""
 
@@ -621,18 +739,60 @@ def produce_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects.groupBy(F.col(REASON).alias("reason")).agg(F.count("*").alias("n"))
 
 
+# a note in a namespace, whose records name their fields' types by short and full names
+_NOTE = json.dumps(
+    {
+        "type": "record",
+        "name": "note",
+        "namespace": "com.talk",
+        "fields": [
+            {"name": "by", "type": {"type": "record", "name": "Person", "fields": [{"name": "role", "type": "string"}]}},
+            {"name": "text", "type": ["null", "string"]},
+            {"name": "to", "type": ["null", "com.talk.Person"]},
+            {"name": "raw", "type": ["null", "bytes", "long"]},
+        ],
+    }
+)
+
+
 @flow(
-    """SELECT conv_id, turn, role, CASE WHEN turn % 2 = 0 THEN text END AS text
-    FROM conversations"""
+    """SELECT conv_id, turn, role, CASE WHEN turn % 2 = 0 THEN text END AS text,
+    CASE WHEN turn % 3 = 0 THEN role END AS to_role, CASE WHEN turn % 3 = 1 THEN role END AS raw,
+    CASE WHEN turn % 3 = 2 THEN turn END AS num, NULL AS reason FROM conversations WHERE turn % 7 < 5
+    UNION ALL SELECT conv_id, turn, NULL, NULL, NULL, NULL, NULL, 'bad_value' FROM conversations WHERE turn % 7 >= 5"""
 )
 def produce_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Values in Avro's JSON form, where a nullable text names its branch."""
+    """Values in Avro's JSON form: branches by full names, and wrong ones refused."""
     talk = table(spark, sf_dir, "conversations")
-    branch = F.when(F.col("turn") % 2 == 0, F.struct(F.col("text").alias("string")))
-    tagged = F.to_json(F.struct("role", branch.alias("text")), {"ignoreNullFields": "false"})
-    source = talk.select(
-        F.to_json(F.struct("conv_id", "turn")).alias("key"), tagged.alias("value")
+    turn, role = F.col("turn"), F.to_json(F.struct("role"))
+    text = F.when(turn % 2 == 0, F.to_json(F.struct(F.col("text").alias("string")))).otherwise("null")
+    person = F.when(turn % 3 == 0, F.format_string('{"com.talk.Person": %s}', role)).otherwise("null")
+    raw = (
+        F.when(turn % 3 == 1, F.format_string('{"bytes": "%s"}', "role"))
+        .when(turn % 3 == 2, F.format_string('{"long": %d}', "turn"))
+        .otherwise("null")
     )
-    key, value = _produce_contracts(spark)
-    made = produce(source, "conversation", key, value, unions="tagged")
-    return _sent_back(spark, made.rows)
+    wrong = F.when(turn % 7 == 5, '{"str": "x"}').when(turn % 7 == 6, '{"Person": {"role": "x"}}')
+    # the sixth of seven has a wrong branch for its text, the last a short name for its person
+    value = F.format_string(
+        '{"by": %s, "text": %s, "to": %s, "raw": %s}',
+        role,
+        F.when(turn % 7 == 5, wrong).otherwise(text),
+        F.when(turn % 7 == 6, wrong).otherwise(person),
+        raw,
+    )
+    source = talk.select("conv_id", "turn", F.to_json(F.struct("conv_id", "turn")).alias("key"), value.alias("value"))
+    key, _ = _produce_contracts(spark)
+    note = TopicContract("note", struct_of(_NOTE), writers={1: _NOTE}, latest_id=1)
+    made = produce(source, "note", key, note, unions="tagged")
+    keys = codec.from_json_bytes(F.col("key"), key.struct)
+    values = codec.from_json_bytes(F.col("value"), note.struct)
+    sent = made.rows.select(F.inline(F.array(F.struct(keys.alias("k"), values.alias("v")))))
+    none = F.lit(None).cast("string")
+    good = sent.select(
+        "k.conv_id", "k.turn", "v.by.role", "v.text", F.col("v.to.role").alias("to_role"),
+        F.col("v.raw.member0").cast("string").alias("raw"), F.col("v.raw.member1").alias("num"), none.alias("reason"),
+    )
+    gone = [none.alias(n) for n in ("role", "text", "to_role", "raw")]
+    bad = made.rejects.select("conv_id", "turn", *gone, F.lit(None).cast("bigint").alias("num"), F.col(REASON).alias("reason"))
+    return good.union(bad)

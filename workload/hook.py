@@ -6,6 +6,7 @@ and the same result written over the source tables.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -91,8 +92,7 @@ _hook(
 _hook(
     "sql_transform_tablesample",
     "click",
-    transform="event_id, user_id",
-    where="event_id IN (SELECT event_id FROM TMP_CLICK TABLESAMPLE (100 PERCENT) REPEATABLE (7))",
+    sql="""SELECT event_id, user_id FROM TMP_CLICK TABLESAMPLE (100 PERCENT) REPEATABLE (7)""",
     oracle="SELECT event_id, user_id FROM events WHERE event_type = 'click'",
 )
 
@@ -296,48 +296,104 @@ _hook(
 )
 
 # -- windows ------------------------------------------------------------------
-# A partition is a user's part of 2,048 consecutive event ids. It has no more
-# rows than that however busy the user, whose rows are spread over all tasks.
+# The answers are those of windows over all of a user's rows. What is sorted in
+# one task is a block of 2,048 consecutive event ids of a user, however busy:
+# block sums are carried over to later blocks, and ranks by value come from one
+# row per user and value.
 
-_BLOCK = "user_id, CAST(floor(event_id / 2048) AS bigint)"
-_BY_ID = f"PARTITION BY {_BLOCK} ORDER BY event_id"
-_RANKS = """event_id, row_number() OVER ({w}) AS rn, rank() OVER ({p}) AS rnk,
-    dense_rank() OVER ({p}) AS dense, round(percent_rank() OVER ({w}), 6) AS pct,
-    round(cume_dist() OVER ({w}), 6) AS cume, ntile(3) OVER ({w}) AS tile"""
-_BY_VALUE = f"PARTITION BY {_BLOCK} ORDER BY CAST(value / 10 AS int)"
-_BY_VALUE_ORACLE = f"PARTITION BY {_BLOCK} ORDER BY CAST(trunc(value / 10) AS int)"
+_BLOCKED = "SELECT *, CAST(floor(event_id / 2048) AS bigint) AS block FROM"
+_IN_BLOCK = "PARTITION BY user_id, block ORDER BY event_id"
+_OF_USER = "PARTITION BY user_id ORDER BY event_id"
 _hook(
     "sql_transform_window",
     "purchase",
-    transform=_RANKS.format(w=_BY_ID, p=_BY_VALUE),
-    oracle=f"SELECT {_RANKS.format(w=_BY_ID, p=_BY_VALUE_ORACLE)}"
-    " FROM events WHERE event_type = 'purchase'",
+    sql=f"""WITH r AS (SELECT *, CAST(value / 10 AS int) AS v FROM ({_BLOCKED} TMP_PURCHASE)),
+        blocks AS (SELECT user_id, block, sum(count(*)) OVER (PARTITION BY user_id) AS n,
+            sum(count(*)) OVER (PARTITION BY user_id ORDER BY block) - count(*) AS earlier
+            FROM r GROUP BY user_id, block),
+        steps AS (SELECT user_id, v, row_number() OVER (PARTITION BY user_id ORDER BY v) AS dense,
+            sum(count(*)) OVER (PARTITION BY user_id ORDER BY v) - count(*) + 1 AS rnk
+            FROM r GROUP BY user_id, v),
+        numbered AS (SELECT r.event_id, r.user_id, r.v, n, n % 3 AS larger, n DIV 3 AS size,
+            earlier + row_number() OVER (PARTITION BY r.user_id, r.block ORDER BY r.event_id) AS rn
+            FROM r JOIN blocks b ON r.user_id = b.user_id AND r.block = b.block)
+        SELECT event_id, rn, rnk, dense,
+            CASE WHEN n = 1 THEN 0D ELSE round((rn - 1) / (n - 1), 6) END AS pct,
+            round(rn / n, 6) AS cume,
+            CASE WHEN rn <= larger * (size + 1) THEN (rn - 1) DIV (size + 1) + 1
+                ELSE larger + (rn - 1 - larger * (size + 1)) DIV size + 1 END AS tile
+        FROM numbered x JOIN steps s ON x.user_id = s.user_id AND x.v <=> s.v""",
+    oracle=f"""SELECT event_id, row_number() OVER w AS rn, rank() OVER p AS rnk,
+        dense_rank() OVER p AS dense, round(percent_rank() OVER w, 6) AS pct,
+        round(cume_dist() OVER w, 6) AS cume, ntile(3) OVER w AS tile
+        FROM events WHERE event_type = 'purchase' WINDOW w AS ({_OF_USER}),
+        p AS (PARTITION BY user_id ORDER BY CAST(trunc(value / 10) AS int) NULLS FIRST)""",
 )
-_OFFSETS = f"""event_id, lag(value) OVER ({_BY_ID}) AS before,
-    lead(value, 2, -1.0) OVER ({_BY_ID}) AS after2,
-    first_value(event_id) OVER ({_BY_ID}) AS first_id,
-    last_value(event_id) OVER ({_BY_ID} ROWS BETWEEN UNBOUNDED PRECEDING
-        AND UNBOUNDED FOLLOWING) AS last_id,
-    count(*) OVER (PARTITION BY {_BLOCK}) AS in_block"""
 _hook(
     "sql_transform_window_offsets",
     "view",
-    transform=_OFFSETS,
-    oracle=f"SELECT {_OFFSETS} FROM events WHERE event_type = 'view'",
-)
-_FRAMES = """event_id,
-    count(*) OVER ({w} ROWS BETWEEN 2 PRECEDING AND 1 FOLLOWING) AS near_rows,
-    max(value) OVER w AS best_so_far,
-    min(event_id) OVER ({w} RANGE BETWEEN 1000 PRECEDING AND CURRENT ROW) AS recent_id""".format(
-    w=_BY_ID
-)
+    sql=f"""WITH r AS ({_BLOCKED} TMP_VIEW),
+        placed AS (SELECT *, row_number() OVER ({_IN_BLOCK}) AS at,
+            count(*) OVER (PARTITION BY user_id, block) AS own,
+            lag(value) OVER ({_IN_BLOCK}) AS before,
+            lead(value, 2) OVER ({_IN_BLOCK}) AS after2 FROM r),
+        blocks AS (SELECT user_id, block, count(*) AS own, min(event_id) AS first_id,
+            max(event_id) AS last_id, max_by(value, event_id) AS last_value,
+            transform(array_sort(collect_list(CASE WHEN at <= 2 THEN struct(event_id, value) END)),
+                x -> x.value) AS heads FROM placed GROUP BY user_id, block),
+        carried AS (SELECT user_id, block, lag(last_value) OVER w AS before,
+            concat(coalesce(lead(heads) OVER w, array()), coalesce(lead(heads, 2) OVER w, array()))
+                AS heads,
+            min(first_id) OVER u AS first_id, max(last_id) OVER u AS last_id, sum(own) OVER u AS n
+            FROM blocks WINDOW w AS (PARTITION BY user_id ORDER BY block),
+            u AS (PARTITION BY user_id))
+        SELECT event_id, CASE WHEN at = 1 THEN c.before ELSE p.before END AS before,
+            CASE WHEN at + 2 <= own THEN after2
+                WHEN at + 2 - own <= size(heads) THEN get(heads, CAST(at + 1 - own AS int))
+                ELSE -1D END AS after2,
+            first_id, last_id, n AS in_all
+        FROM placed p JOIN carried c ON p.user_id = c.user_id AND p.block = c.block""",
+    oracle=f"""SELECT event_id, lag(value) OVER w AS before, lead(value, 2, -1.0) OVER w AS after2,
+        first_value(event_id) OVER w AS first_id,
+        last_value(event_id) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
+            AS last_id,
+        CAST(count(*) OVER (PARTITION BY user_id) AS bigint) AS in_all
+        FROM events WHERE event_type = 'view' WINDOW w AS ({_OF_USER})""",
+)
+# Rows that the next block's 1,000 ids reach back to are seen there, too.
 _hook(
     "sql_transform_window_frames",
     "click",
-    transform=_FRAMES,
-    where=f"1=1 WINDOW w AS ({_BY_ID} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
-    oracle=f"SELECT {_FRAMES} FROM events WHERE event_type = 'click'"
-    f" WINDOW w AS ({_BY_ID} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
+    sql=f"""WITH r AS ({_BLOCKED} TMP_CLICK),
+        blocks AS (SELECT user_id, block, sum(count(*)) OVER (PARTITION BY user_id) AS n,
+            sum(count(*)) OVER w - count(*) AS earlier,
+            max(max(value)) OVER (PARTITION BY user_id ORDER BY block
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best
+            FROM r GROUP BY user_id, block WINDOW w AS (PARTITION BY user_id ORDER BY block)),
+        seen AS (SELECT event_id, user_id, value, block, true AS own FROM r
+            UNION ALL SELECT event_id, user_id, NULL, block + 1, false FROM r
+            WHERE event_id % 2048 >= 1048),
+        framed AS (SELECT *, count_if(own) OVER w AS at, max(value) OVER w AS best_here,
+            min(event_id) OVER ({_IN_BLOCK} RANGE BETWEEN 1000 PRECEDING AND CURRENT ROW) AS recent_id
+            FROM seen WINDOW w AS ({_IN_BLOCK} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+        SELECT event_id, least(earlier + at, 3) + int(earlier + at < n) AS near_rows,
+            greatest(best, best_here) AS best_so_far, recent_id
+        FROM framed f JOIN blocks b ON f.user_id = b.user_id AND f.block = b.block WHERE own""",
+    oracle=f"""SELECT event_id, count(*) OVER (w ROWS BETWEEN 2 PRECEDING AND 1 FOLLOWING) AS near_rows,
+        max(value) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS best_so_far,
+        min(event_id) OVER (w RANGE BETWEEN 1000 PRECEDING AND CURRENT ROW) AS recent_id
+        FROM events WHERE event_type = 'click' WINDOW w AS ({_OF_USER})""",
+)
+# A statement may as well have a plain window; Spark then sorts a user's rows of
+# the batch in one task, in memory or spilled.
+_hook(
+    "sql_transform_window_plain",
+    "signup",
+    transform="event_id, lag(value, 1, 0D) OVER w AS before, ntile(4) OVER w AS quarter",
+    where=f"1=1 WINDOW w AS ({_OF_USER})",
+    oracle=f"""SELECT event_id, lag(value, 1, 0.0) OVER ({_OF_USER}) AS before,
+        ntile(4) OVER ({_OF_USER}) AS quarter
+        FROM events WHERE event_type = 'signup'""",
 )
 
 # -- order, limits, sets ------------------------------------------------------
@@ -398,14 +454,16 @@ _hook(
 _hook(
     "sql_transform_setop_all",
     "click view",
-    sql="""(SELECT user_id, 'except' AS what FROM TMP_CLICK
-            EXCEPT ALL SELECT user_id, 'except' FROM TMP_VIEW)
-        UNION ALL (SELECT user_id, 'intersect' FROM TMP_CLICK
-            INTERSECT ALL SELECT user_id, 'intersect' FROM TMP_VIEW)""",
-    oracle="""(SELECT user_id, 'except' AS what FROM events WHERE event_type = 'click'
-            EXCEPT ALL SELECT user_id, 'except' FROM events WHERE event_type = 'view')
-        UNION ALL (SELECT user_id, 'intersect' FROM events WHERE event_type = 'click'
-            INTERSECT ALL SELECT user_id, 'intersect' FROM events WHERE event_type = 'view')""",
+    sql="""(SELECT user_id, CAST(ts AS date) AS day, 'except' AS what FROM TMP_CLICK
+            EXCEPT ALL SELECT user_id, CAST(ts AS date), 'except' FROM TMP_VIEW)
+        UNION ALL (SELECT user_id, CAST(ts AS date), 'intersect' FROM TMP_CLICK
+            INTERSECT ALL SELECT user_id, CAST(ts AS date), 'intersect' FROM TMP_VIEW)""",
+    oracle="""(SELECT user_id, CAST(ts AS date) AS day, 'except' AS what FROM events
+            WHERE event_type = 'click' EXCEPT ALL
+            SELECT user_id, CAST(ts AS date), 'except' FROM events WHERE event_type = 'view')
+        UNION ALL (SELECT user_id, CAST(ts AS date), 'intersect' FROM events
+            WHERE event_type = 'click' INTERSECT ALL
+            SELECT user_id, CAST(ts AS date), 'intersect' FROM events WHERE event_type = 'view')""",
 )
 
 # -- functions ----------------------------------------------------------------
@@ -421,8 +479,8 @@ _hook(
         regexp_replace(c_name, '[0-9]', 'N') AS masked, split(c_name, '#')[0] AS head,
         instr(c_mktsegment, 'E') AS at, translate(c_mktsegment, 'AEIOU', '12345') AS code,
         levenshtein(c_mktsegment, 'BUILDING') AS distance, length(c_name) AS len,
-        reverse(c_mktsegment) AS backwards, repeat('ab', 2) AS twice,
-        format_string('%s has %d', c_name, c_custkey) AS sentence, initcap('ab') AS cap""",
+        reverse(c_mktsegment) AS backwards, repeat(substring(c_name, 1, 2), 2) AS twice,
+        format_string('%s has %d', c_name, c_custkey) AS sentence, initcap(lower(c_mktsegment)) AS cap""",
     oracle="""SELECT c_custkey, concat(c_name, '/', c_mktsegment) AS joined,
         concat_ws('-', c_mktsegment, c_name) AS dashed, substring(c_name, 3, 5) AS part,
         lower(c_name) AS low, upper(c_mktsegment) AS up, trim(concat('  ', c_name, ' ')) AS trimmed,
@@ -432,8 +490,9 @@ _hook(
         CAST(instr(c_mktsegment, 'E') AS int) AS at, translate(c_mktsegment, 'AEIOU', '12345') AS code,
         CAST(levenshtein(c_mktsegment, 'BUILDING') AS int) AS distance,
         CAST(length(c_name) AS int) AS len,
-        reverse(c_mktsegment) AS backwards, 'abab' AS twice,
-        printf('%s has %d', c_name, c_custkey) AS sentence, 'Ab' AS cap FROM customer""",
+        reverse(c_mktsegment) AS backwards, repeat(c_name[1:2], 2) AS twice,
+        printf('%s has %d', c_name, c_custkey) AS sentence,
+        c_mktsegment[1:1] || lower(c_mktsegment[2:]) AS cap FROM customer""",
 )
 _hook(
     "sql_functions_text",
@@ -486,7 +545,7 @@ _hook(
         hex(l_suppkey) AS hex2, shiftleft(l_linenumber, 2) AS sl, shiftright(l_orderkey, 1) AS sr,
         l_linenumber & 3 AS band, l_linenumber | 8 AS bor, l_linenumber ^ 5 AS bxor,
         abs(-l_quantity) AS a, sign(l_quantity - 25) AS sg, round(sqrt(l_quantity), 9) AS sq,
-        l_orderkey % 5 AS md, l_orderkey DIV 7 AS dv, rand() < 2 AS rnd""",
+        l_orderkey % 5 AS md, l_orderkey DIV 7 AS dv""",
     oracle="""SELECT l_orderkey, l_linenumber, CAST(round(CAST(l_extendedprice AS decimal(18,2)), 1) AS double) AS r,
         CAST(round_even(2.5 + l_linenumber, 0) AS decimal(12,0)) AS br,
         CAST(floor(l_extendedprice) AS bigint) AS f, CAST(ceil(l_extendedprice) AS bigint) AS c,
@@ -496,7 +555,7 @@ _hook(
         l_linenumber & 3 AS band, l_linenumber | 8 AS bor, xor(l_linenumber, 5) AS bxor,
         abs(l_quantity) AS a, CAST(sign(l_quantity - 25) AS double) AS sg,
         round(sqrt(l_quantity), 9) AS sq,
-        l_orderkey % 5 AS md, l_orderkey // 7 AS dv, true AS rnd FROM lineitem""",
+        l_orderkey % 5 AS md, l_orderkey // 7 AS dv FROM lineitem""",
 )
 _hook(
     "sql_functions_conditional",
@@ -523,34 +582,34 @@ _hook(
         array_contains(split(text, ' '), 'the') AS has_the,
         array_join(slice(split(text, ' '), 1, 3), '|') AS first3,
         array_join(slice(sort_array(array_distinct(split(text, ' '))), 1, 5), '|') AS sorted5,
-        array_join(flatten(array(array('a'), array('b', 'c'))), '') AS flat,
+        array_join(flatten(array(array(role), slice(split(text, ' '), 1, 2))), '-') AS flat,
         aggregate(transform(split(text, ' '), w -> length(w)), 0, (a, x) -> a + x) AS letters,
         size(filter(split(text, ' '), w -> length(w) > 5)) AS long_words,
         exists(split(text, ' '), w -> w = 'data') AS has_data,
         element_at(split(text, ' '), -1) AS last_word,
-        arrays_zip(array(1, 2), array('x', 'y'))[1]['1'] AS zipped""",
+        arrays_zip(array(turn, conv_id), array('x', role))[1]['1'] AS zipped""",
     oracle="""SELECT conv_id, turn, CAST(len(string_split(text, ' ')) AS int) AS words,
         list_contains(string_split(text, ' '), 'the') AS has_the,
         array_to_string(string_split(text, ' ')[1:3], '|') AS first3,
         array_to_string(list_sort(list_distinct(string_split(text, ' ')))[1:5], '|') AS sorted5,
-        'abc' AS flat,
+        role || '-' || array_to_string(string_split(text, ' ')[1:2], '-') AS flat,
         CAST(list_sum(list_transform(string_split(text, ' '), lambda w: length(w))) AS int)
             AS letters,
         CAST(len(list_filter(string_split(text, ' '), lambda w: length(w) > 5)) AS int)
             AS long_words,
         list_contains(string_split(text, ' '), 'data') AS has_data,
-        string_split(text, ' ')[-1] AS last_word, 'y' AS zipped FROM conversations""",
+        string_split(text, ' ')[-1] AS last_word, role AS zipped FROM conversations""",
 )
 _hook(
     "sql_functions_map",
     "purchase",
     transform="""event_id, element_at(map('u', user_id, 'e', event_id), 'u') AS u,
-        array_join(map_keys(map('a', 1, 'b', 2)), ',') AS ks,
+        array_join(map_keys(map(CAST(event_id AS string), 1, 'b', 2)), ',') AS ks,
         aggregate(map_values(map('a', user_id, 'b', event_id)), 0L, (s, x) -> s + x) AS total,
-        size(map_concat(map('a', 1), map('b', 2))) AS both,
+        size(map_concat(map(user_id, 1), map(-1L, 2))) AS both,
         map_from_entries(array(struct('k', user_id)))['k'] AS k,
         map('x', value)['missing'] AS none""",
-    oracle="""SELECT event_id, user_id AS u, 'a,b' AS ks, user_id + event_id AS total, 2 AS both,
+    oracle="""SELECT event_id, user_id AS u, event_id || ',b' AS ks, user_id + event_id AS total, 2 AS both,
         user_id AS k, CAST(NULL AS double) AS none FROM events WHERE event_type = 'purchase'""",
 )
 _hook(
@@ -566,16 +625,18 @@ _hook(
         'STRUCT<k: BIGINT>' AS shape, user_id AS nested
         FROM events WHERE event_type = 'error'""",
 )
+_SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 _hook(
     "sql_functions_hash",
     "customer",
     transform="""c_custkey, md5(c_name) AS m, sha1(c_name) AS s1, sha2(c_name, 256) AS s2,
         base64(encode(c_name, 'UTF-8')) AS b64, decode(unbase64(base64(encode(c_name, 'UTF-8'))), 'UTF-8')
-        AS back, hex(encode(c_mktsegment, 'UTF-8')) AS hx, hash(c_name) = hash(c_name) AS stable,
-        crc32(c_name) BETWEEN 0 AND 4294967295 AS crc_range""",
+        AS back, hex(encode(c_mktsegment, 'UTF-8')) AS hx, crc32(c_mktsegment) AS crc""",
     oracle="""SELECT c_custkey, md5(c_name) AS m, sha1(c_name) AS s1, sha256(c_name) AS s2,
         to_base64(encode(c_name)) AS b64, c_name AS back, hex(encode(c_mktsegment)) AS hx,
-        true AS stable, true AS crc_range FROM customer""",
+        CASE c_mktsegment """
+    + " ".join(f"WHEN '{s}' THEN {zlib.crc32(s.encode())}" for s in _SEGMENTS)
+    + " END AS crc FROM customer",
 )
 
 # -- generators ---------------------------------------------------------------
