@@ -149,7 +149,6 @@ def mix(
     copies = copies_taken(F.col("__mix_rate"), _key(identity, text), seed)
     return (
         documents.join(targets, F.col(source).cast("string").eqNullSafe(F.col("__mix_source")))
-        .withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), copies.cast("int"))))
-        .where(F.col("__mix_copy") > 0)
+        .withColumn("__mix_copy", F.explode(F.array_repeat(F.lit(0), copies.cast("int"))))
         .drop("__mix_source", "__mix_rate", "__mix_copy")
     )

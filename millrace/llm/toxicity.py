@@ -19,13 +19,13 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm.arrow import with_text_columns
 from millrace.llm.store import stored
+from millrace.llm.words import shingle_hashes, texts, word_hashes
 
 INSULT, THREAT, TARGET, NEGATION, REPORT, QUOTE, OTHER = "itgnrq."
 
@@ -198,17 +198,19 @@ def wilson_low(hits: int, total: int, z: float = 2.58) -> float:
 
 
 def _one_of_a_group(sample: DataFrame) -> DataFrame:
-    """One row for each label and smallest word hash, which near copies share mostly, so that
-    one text copied often does not make all its words suspicious."""
+    """One row for each label and smallest hash of three words, which near copies share mostly,
+    so that one text copied often does not make all its words suspicious."""
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            own = [set(_WORD.findall((t or "").lower())) for t in batch.column("text").to_pylist()]
-            keys = [min((xxhash.xxh64_intdigest(w) >> 1 for w in words), default=-1) for words in own]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("__id"), batch.column("toxic"), pa.array(keys, pa.int64())],
-                names=["__id", "toxic", "grp"],
-            )
+            for part in texts(batch):
+                hashes, firsts = word_hashes(part.column("text"))
+                sets = (shingle_hashes(hashes[i:j], 3) for i, j in zip(firsts[:-1], firsts[1:]))
+                keys = [int(s.min() >> np.uint64(1)) if len(s) else -1 for s in sets]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("__id"), part.column("toxic"), pa.array(keys, pa.int64())],
+                    names=["__id", "toxic", "grp"],
+                )
 
     kind = sample.schema["__id"].dataType.simpleString()
     keyed = sample.mapInArrow(batches, f"__id {kind}, toxic int, grp long")

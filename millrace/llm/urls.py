@@ -101,20 +101,20 @@ def _matcher(index: dict[str, list[UrlRule]]):
                         held = key, rule
                         break
             if held is None:
-                return None, None, None
+                return None, None, None, None
             rule = held[1]
-            return rule.name, rule.verdict, rule.rank
+            return rule.name, rule.verdict, rule.rank, len(rule.pattern)
 
         for batch in batches:
-            yield pd.DataFrame([best(t) for t in batch], columns=["rule", "verdict", "rank"])
+            yield pd.DataFrame([best(t) for t in batch], columns=["rule", "verdict", "rank", "length"])
 
-    return F.pandas_udf(winners, "rule string, verdict string, rank int")
+    return F.pandas_udf(winners, "rule string, verdict string, rank int, length int")
 
 
 def judge_urls(
     pages: DataFrame, rules: Iterable[UrlRule], url: str = "url", block: int = BLOCK
 ) -> DataFrame:
-    """The pages with ``host``, ``path`` and ``found`` (rule, verdict, rank; nulls if none).
+    """The pages with ``host``, ``path`` and ``found`` (rule, verdict, rank, length; nulls if none).
 
     Rules are configuration and travel with the tasks, ``block`` at a time;
     each further block is a further pass that keeps the better of two winners.
@@ -127,15 +127,14 @@ def judge_urls(
     target = F.concat(F.col("host"), F.col("path"))
     split = pages.withColumns({"host": url_host(F.col(url)), "path": url_path(F.col(url))})
     counts = token_counts(split, target, (t for r in rules for t in r.tokens()))
-    nothing = F.lit(None).cast("struct<rule:string,verdict:string,rank:int>")
+    nothing = F.lit(None).cast("struct<rule:string,verdict:string,rank:int,length:int>")
     judged = split.withColumn("found", nothing)
     for low in range(0, len(rules), block):
         index = rule_index(rules[low : low + block], counts)
         judged = judged.withColumn("__next", _matcher(index)(target))
-        length = lambda c: F.coalesce(F.length(f"{c}.rule"), F.lit(-1))
-        rank = lambda c: F.coalesce(F.col(f"{c}.rank"), F.lit(-1))
-        better = (rank("__next") > rank("found")) | (
-            (rank("__next") == rank("found")) & (length("__next") > length("found"))
+        order = lambda c: F.struct(f"{c}.rank", f"{c}.length")
+        better = F.col("__next.rule").isNotNull() & (
+            F.col("found.rule").isNull() | (order("__next") > order("found"))
         )
         judged = judged.withColumn("found", F.when(better, F.col("__next")).otherwise(F.col("found")))
         judged = judged.drop("__next")

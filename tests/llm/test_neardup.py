@@ -1,0 +1,79 @@
+"""Near-duplicates and components against brute force."""
+
+import itertools
+import random
+import re
+
+import pytest
+
+from millrace.llm.components import components
+from millrace.llm.neardup import NearDup, near_duplicates
+
+
+def _set(text, width):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text.lower())
+    return frozenset(tuple(words[k : k + width]) for k in range(max(1, len(words) - width + 1))) if words else frozenset()
+
+
+def _least(nodes, links):
+    parent = {n: n for n in nodes}
+
+    def find(n):
+        while parent[n] != n:
+            n = parent[n]
+        return n
+
+    for u, v in links:
+        a, b = find(u), find(v)
+        parent[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def _texts():
+    draw = random.Random(3)
+    words = [f"w{k}" for k in range(400)]
+    made = []
+    for _ in range(6):
+        base = [draw.choice(words) for _ in range(120)]
+        for _ in range(25):
+            copy = list(base)
+            for _ in range(draw.choice([0, 1, 2, 3, 4, 6, 8])):
+                copy[draw.randrange(len(copy))] = draw.choice(words)
+            made.append(" ".join(copy))
+    # a chain whose neighbours are linked and whose ends are not
+    chain = [f"c{k}" for k in range(100)]
+    for k in range(0, 40, 3):
+        made.append(" ".join(chain[k : k + 60]))
+    draw.shuffle(made)
+    return list(enumerate(made))
+
+
+@pytest.mark.parametrize("rule", [NearDup(), NearDup(width=5, percent=80, bands=40)])
+def test_components_are_those_of_all_pairs(spark, rule):
+    rows = _texts()
+    sets = {i: _set(t, rule.width) for i, t in rows}
+    links = [
+        (a, b)
+        for a, b in itertools.combinations(sets, 2)
+        if 100 * len(sets[a] & sets[b]) >= rule.percent * len(sets[a] | sets[b])
+    ]
+    wanted = _least(sets, links)
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), rule).collect()
+    assert {r.doc_id: r.component_id for r in found} == wanted
+    assert all(r.n_shingles == len(sets[r.doc_id]) and r.kept == (r.doc_id == r.component_id) for r in found)
+    assert 1 < len(set(wanted.values())) < len(rows)
+
+
+def test_components_of_chains_stars_and_loops(spark):
+    links = [(k, k + 1) for k in range(0, 30)] + [(100, k) for k in range(101, 140)] + [(7, 7), (50, 49), (49, 50)]
+    frame = spark.createDataFrame(links + [(None, 3), (4, None)], "u long, v long")
+    nodes = {n for pair in links for n in pair}
+    assert dict(components(frame).collect()) == _least(nodes, links)
+    assert components(frame.limit(0)).collect() == []
+
+
+def test_sketch_limit_is_above_what_linked_sets_differ():
+    rule = NearDup()
+    toggles = 2 * rule.samples * (1 - rule.percent / 100)
+    expected = rule.bits / 2 * (1 - (1 - 2 / rule.bits) ** toggles)
+    assert expected < rule.most_differing() < rule.bits / 2
