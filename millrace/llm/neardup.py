@@ -44,16 +44,22 @@ class NearDup:
     percent: int = 85
     bands: int = 24
     rows: int = 5
-    samples: int = 1024
-    bits: int = 2048
+    samples: int = 2048
+    bits: int = 4096
     spread: float = 4.75
 
     def most_differing(self) -> int:
-        """Differing bits up to which a pair goes on to the check on full sets."""
-        apart = 1 - self.percent / 100
-        values = self.samples * apart + self.spread * math.sqrt(self.samples * apart * (1 - apart))
-        share = (1 - (1 - 2 / self.bits) ** (2 * values)) / 2
-        return math.ceil(self.bits * share + self.spread * math.sqrt(self.bits * share * (1 - share)))
+        """Differing bits up to which a pair goes on to the check on full sets.
+
+        For sets at the threshold the number of differing values is binomial, and
+        each flips two bits; the parities add a variance of their own.
+        """
+        m, apart = self.bits, 1 - self.percent / 100
+        flips = 2 * self.samples * apart
+        even, both = (1 - 2 / m) ** flips, (1 - 4 / m) ** flips
+        folding = (m + m * (m - 1) * both - (m * even) ** 2) / 4
+        drawing = self.samples * apart * (1 - apart) * (2 * even) ** 2
+        return math.ceil(m * (1 - even) / 2 + self.spread * math.sqrt(folding + drawing))
 
 
 def _seeds(n: int, salt: int) -> tuple[np.ndarray, np.ndarray]:
