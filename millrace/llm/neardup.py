@@ -220,7 +220,7 @@ def near_duplicates(
     )
     members = stored(
         banded.join(buckets.select("band", "bucket", "leader"), ["band", "bucket"]).select(
-            F.xxhash64("band", "bucket").alias("bucket"), "leader", "rep", "n"
+            F.xxhash64("band", "bucket").alias("bucket"), "band", "leader", "rep", "n"
         )
     )
     involved = stored(members.select(F.col("rep").alias("doc_id")).distinct())
@@ -235,7 +235,8 @@ def near_duplicates(
     )
     links = stored(_confirmed(star_pairs, sets, rule))
 
-    across = stored(_across(members, sketches, links, near, rule))
+    marks = sketches.join(classes.select(F.col("rep").alias("doc_id"), "bands"), "doc_id")
+    across = stored(_across(members, marks, links, near, rule))
     more = stored(_confirmed(across, sets, rule))
     linked = stored(components(links.union(more)))
 
@@ -251,17 +252,18 @@ def near_duplicates(
     )
 
 
-def _across(members: DataFrame, sketches: DataFrame, links: DataFrame, near: Column, rule: NearDup) -> DataFrame:
+def _across(members: DataFrame, marks: DataFrame, links: DataFrame, near: Column, rule: NearDup) -> DataFrame:
     """Pairs ``u, v`` of a bucket in different components, by size and sketch near enough.
 
     In a bucket, members outside its largest component are compared with all
-    others that are not in their own. The join's condition holds the tests, so that what comes out
-    are few pairs, and a large bucket is a join key that Spark splits.
+    others that are not in their own. The join's condition holds the tests, and
+    takes a pair only in the first band that it shares, so that what comes out
+    are few pairs, each once. A large bucket is a join key that Spark splits.
     """
     joined = stored(components(links))
     placed = stored(
         members.join(joined.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
-            "bucket", "rep", "n", F.coalesce("component", "rep").alias("component")
+            "bucket", "band", "rep", "n", F.coalesce("component", "rep").alias("component")
         )
     )
     mixed_buckets = (
@@ -273,22 +275,19 @@ def _across(members: DataFrame, sketches: DataFrame, links: DataFrame, near: Col
         .select("bucket", "main")
     )
     open_rows = stored(
-        placed.join(mixed_buckets, "bucket").join(sketches, F.col("rep") == F.col("doc_id")).drop("doc_id")
+        placed.join(mixed_buckets, "bucket").join(marks, F.col("rep") == F.col("doc_id")).drop("doc_id")
     )
-    left = open_rows.where("component <> main").select(
-        "bucket", F.col("rep").alias("u"), F.col("n").alias("nu"), F.col("component").alias("cu"), F.col("sketch").alias("s")
-    )
-    right = open_rows.select(
-        "bucket",
-        F.col("rep").alias("v"),
-        F.col("n").alias("nv"),
-        F.col("component").alias("cv"),
-        F.col("sketch").alias("t"),
-        (F.col("component") == F.col("main")).alias("in_main"),
+    left = open_rows.where("component <> main").selectExpr(
+        "bucket", "band", "rep AS u", "n AS nu", "component AS cu", "sketch AS s", "bands AS bu"
     )
+    right = open_rows.selectExpr(
+        "bucket", "rep AS v", "n AS nv", "component AS cv", "sketch AS t", "bands AS bv",
+        "component = main AS in_main",
+    )
     sizes = 100 * F.least("nu", "nv") >= rule.percent * F.greatest("nu", "nv")
     once = F.col("in_main") | (F.col("u") < F.col("v"))
-    test = (F.col("cu") != F.col("cv")) & once & sizes & near
+    first = F.array_position(F.zip_with("bu", "bv", lambda a, b: a == b), True) == F.col("band") + 1
+    test = (F.col("cu") != F.col("cv")) & once & sizes & near & first
     pairs = left.alias("l").join(right.alias("r"), (F.col("l.bucket") == F.col("r.bucket")) & test)
     return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
