@@ -31,15 +31,17 @@ from millrace.llm.arrow import with_text_columns
 KEPT_PIECES, KEPT_PAIRS = 400_000, 1_000_000
 
 #: The byte-level pre-tokenizer's pattern, with white space spelt out.
-_WHITE = r"\t-\r \x85\xa0  -     　"
-_BLANK = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
+_BLANK = "".join(
+    map(chr, (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
+)
+_WHITE = re.escape(_BLANK)
 _PIECES = regex.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_WHITE}\p{{L}}\p{{N}}]+"
     rf"|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+"
 )
 #: The same for texts of Latin letters, in the faster library; elsewhere classes differ.
 _LATIN = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
-_OTHER = re.compile(r"[^\t-\r -~\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-ɏ]")
+_OTHER = re.compile(rf"[^\t-\r -~\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-{chr(0x24F)}]")
 _SPLIT_SHORTER = {"'re", "'ve", "'ll"}
 
 
