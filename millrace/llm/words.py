@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes hashed at a time; a longer word is taken whole.
-PIECE = 1 << 21
+PIECE = 1 << 19
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -109,7 +109,7 @@ def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
     return mixed(total)
 
 
-def texts(batch: pa.RecordBatch, name: str = "text", most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def texts(batch: pa.RecordBatch, name: str = "text", most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with at most so many bytes of text, or one row."""
     sizes = np.asarray(pc.binary_length(batch.column(name)).fill_null(0)).astype(np.int64)
     ends = np.cumsum(sizes)
