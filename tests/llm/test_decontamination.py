@@ -1,8 +1,9 @@
 """Spaced seeds against a comparison of all windows."""
 
+import itertools
 import random
 
-import numpy as np
+import pytest
 
 from millrace.llm.decontamination import MASKS, OVERLAP, SIMILARITY, contaminated, decontaminate
 
@@ -45,15 +46,12 @@ def test_substituted_passages_are_found(spark):
     assert left == {k for k, _ in rows} - {d for d, _ in wanted}
 
 
-def test_masks_hit_nearly_all_windows_with_two_substitutions():
-    draw = np.random.default_rng(1)
-    hit = 0
-    for _ in range(2000):
-        same = np.ones(OVERLAP, bool)
-        same[draw.choice(OVERLAP, 2, replace=False)] = False
-        hit += any(
-            all(same[at + k] for k, bit in enumerate(mask) if bit == "1")
+@pytest.mark.parametrize("length", [12, OVERLAP])
+def test_masks_hit_all_windows_with_two_substitutions(length):
+    """So no passage of 12 words or more is lost before it is compared."""
+    for wrong in itertools.combinations(range(length), 2):
+        assert any(
+            all(bit == "0" or at + k not in wrong for k, bit in enumerate(mask))
             for mask in MASKS
-            for at in range(OVERLAP - len(mask) + 1)
+            for at in range(length - len(mask) + 1)
         )
-    assert hit >= 0.9 * 2000
