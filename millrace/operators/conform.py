@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import copy
-from collections.abc import Callable, Iterable
+import dataclasses
+from collections.abc import Callable, Collection, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -95,6 +96,14 @@ def _decoded(contract: TopicContract) -> Column:
     return codec.from_json_bytes(body, contract.struct)
 
 
+def _narrowed(contract: TopicContract, used: Mapping[str, Collection[str]] | None) -> TopicContract:
+    """The contract with the used fields only; any one tells whether a payload is sound."""
+    if used is None:
+        return contract
+    kept = [f for f in contract.struct if f.name in used.get(contract.topic, ())]
+    return dataclasses.replace(contract, struct=T.StructType(kept or contract.struct.fields[:1]))
+
+
 def _record_name(position: int) -> str:
     return f"_record{position}"
 
@@ -105,13 +114,19 @@ class TypedBatch:
     ``frame`` has the message columns, a reject reason, the value bytes of
     rejects only, and one struct column per topic that is null elsewhere. One
     frame for all topics means one pass over the source however many there are.
-    With ``keep_values`` the bytes of good rows stay too.
+    With ``keep_values`` the bytes of good rows stay too. With ``used``, fields by
+    topic, no others are parsed; they read as null and cannot make a reject.
     """
 
     def __init__(
-        self, rows: DataFrame, contracts: Iterable[TopicContract], keep_values: bool = False
+        self,
+        rows: DataFrame,
+        contracts: Iterable[TopicContract],
+        keep_values: bool = False,
+        used: Mapping[str, Collection[str]] | None = None,
     ):
-        self.contracts = {c.topic: c for c in contracts}
+        self._whole = {c.topic: c.struct for c in contracts}
+        self.contracts = {c.topic: _narrowed(c, used) for c in contracts}
         self._position = {t: i for i, t in enumerate(self.contracts)}
         envelope = self._per_topic(lambda t: _envelope_problem(self.contracts[t]))
         subscribed = rows.filter(F.col("topic").isin(*self.contracts))
@@ -162,7 +177,7 @@ class TypedBatch:
         return f"CASE WHEN {bad} THEN '{BAD_PAYLOAD}' END"
 
     def fields(self, topic: str) -> list[str]:
-        """The columns of one topic's records, as paths into ``frame``."""
+        """The parsed columns of one topic's records, as paths into ``frame``."""
         record = _record_name(self._position[topic])
         return [f"{record}.{name(f)}" for f in self.contracts[topic].struct.fieldNames()]
 
@@ -172,8 +187,13 @@ class TypedBatch:
         With ``source_columns`` also ``_partition, _offset, _timestamp``.
         """
         good = topic_rows_of(self.frame, topic).filter(f"{REASON} IS NULL")
-        extra = [f"{c.removeprefix('_')} AS {c}" for c in SOURCE_COLUMNS]
-        return good.selectExpr(*self.fields(topic), *(extra if source_columns else []))
+        paths = dict(zip(self.contracts[topic].struct.fieldNames(), self.fields(topic)))
+        columns = [
+            F.expr(paths[f.name]) if f.name in paths else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in self._whole[topic]
+        ]
+        extra = [F.col(c.removeprefix("_")).alias(c) for c in SOURCE_COLUMNS]
+        return good.select(*columns, *(extra if source_columns else []))
 
     def rejects(self) -> DataFrame:
         """Topic rows that cannot be typed, with the reason."""

@@ -197,17 +197,21 @@ def _shape_dirs(spark: SparkSession, home: str) -> list[str]:
     return [f"{home}/{n}" for n in child_names(spark, home) if n.startswith(f"{SHAPE}=")]
 
 
-def append_log(rows: DataFrame, root: str, table: str, stream: str, batch_id: int) -> None:
+def append_log(rows: DataFrame, root: str, table: str, stream: str, batch_id: int) -> str:
     """Store one batch of one stream; the same batch again replaces itself.
 
     The number of files follows the bytes, not the tasks that made the rows.
+    Rows with a null in the key are stored but belong to no table. Returns where
+    the batch is.
     """
     spark, home = rows.sparkSession, log_dir(root, table, stream)
     own = f"{home}/{SHAPE}=x{_shape(rows.schema)}"
     for other in _shape_dirs(spark, home):
         if other != own:
             remove(spark, f"{other}/{BATCH}={batch_id}")
-    rows.hint("rebalance").write.mode("overwrite").parquet(f"{own}/{BATCH}={batch_id}")
+    target = f"{own}/{BATCH}={batch_id}"
+    rows.hint("rebalance").write.mode("overwrite").parquet(target)
+    return target
 
 
 def _complete(spark: SparkSession, home: str, prefix: str, after: int | None, upto: int | None) -> list[int]:
@@ -272,7 +276,8 @@ def log_layers(
             if batches:
                 paths = [f"{home}/{BATCH}={n}" for n in batches]
                 rows = spark.read.option("basePath", home).parquet(*paths)
-                layers.append(Layer(rows, BATCH, position, stream.order_by))
+                keyed = rows.filter(" AND ".join(f"{name(k)} IS NOT NULL" for k in table.key))
+                layers.append(Layer(keyed, BATCH, position, stream.order_by))
     return layers
 
 

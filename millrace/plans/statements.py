@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +36,65 @@ def uses_source_columns(streams: Iterable[StreamDef]) -> bool:
     return any(set(s.order_by) & set(SOURCE_COLUMNS) for s in streams)
 
 
+def _with_empty_views(
+    spark: SparkSession,
+    streams: list[StreamDef],
+    contracts: dict[str, TopicContract],
+    ansi: bool,
+) -> tuple[SparkSession, dict[str, DataFrame]]:
+    """A session of its own with a view of every topic, and the frames behind them."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.ansi.enabled", str(ansi).lower())
+    extra = []
+    if uses_source_columns(streams):
+        extra = [T.StructField(n, t) for n, t in zip(SOURCE_COLUMNS, _SOURCE_TYPES)]
+    frames = {}
+    for topic, contract in contracts.items():
+        columns = [T.StructField(f.name, f.dataType) for f in contract.struct]
+        # over an RDD, whose emptiness the optimizer does not know and so keeps its columns
+        nothing = session.sparkContext.emptyRDD()
+        frames[topic] = session.createDataFrame(nothing, T.StructType([*columns, *extra]))
+        register_view(frames[topic], topic)
+    return session, frames
+
+
+def _each(seq) -> Iterator:
+    items = seq.iterator()
+    while items.hasNext():
+        yield items.next()
+
+
+def _nodes(plan) -> Iterator:
+    yield plan
+    for below in (*_each(plan.children()), *_each(plan.subqueries())):
+        yield from _nodes(below)
+
+
+def used_fields(
+    spark: SparkSession,
+    streams: list[StreamDef],
+    contracts: dict[str, TopicContract],
+    ansi: bool = False,
+) -> dict[str, set[str]]:
+    """By topic, the fields on which some stream's result depends.
+
+    These are the columns of the views that the optimized statements refer to.
+    """
+    session, frames = _with_empty_views(spark, streams, contracts, ansi)
+    leaf = lambda plan: [n for n in _nodes(plan) if n.nodeName() == "LogicalRDD"]
+    topics = {leaf(f._jdf.queryExecution().optimizedPlan())[0].rdd().id(): t for t, f in frames.items()}
+    used: dict[str, set[str]] = {t: set() for t in frames}
+    for stream in streams:
+        plan = session.sql(statement(stream))._jdf.queryExecution().optimizedPlan()
+        named = {a.exprId().id() for a in _each(plan.output())}
+        for node in _nodes(plan):
+            named |= {a.exprId().id() for a in _each(node.references().toSeq())}
+        for view in leaf(plan):
+            columns = (a for a in _each(view.output()) if a.exprId().id() in named)
+            used[topics[view.rdd().id()]] |= {a.name() for a in columns}
+    return used
+
+
 def check_streams(
     spark: SparkSession,
     streams: list[StreamDef],
@@ -57,15 +116,7 @@ def check_streams(
     if missing:
         raise ValueError(f"no contract for topics {missing}")
 
-    session = spark.newSession()
-    session.conf.set("spark.sql.ansi.enabled", str(ansi).lower())
-    extra = []
-    if uses_source_columns(streams):
-        extra = [T.StructField(n, t) for n, t in zip(SOURCE_COLUMNS, _SOURCE_TYPES)]
-    for topic, contract in contracts.items():
-        empty = session.createDataFrame([], T.StructType([*contract.struct.fields, *extra]))
-        register_view(empty, topic)
-
+    session, _ = _with_empty_views(spark, streams, contracts, ansi)
     found = {}
     for stream in streams:
         try:

@@ -31,6 +31,7 @@ from millrace.plans.statements import (
     check_streams,
     register_view,
     statement,
+    used_fields,
     uses_source_columns,
 )
 from millrace.sources.paths import child_names, numbered_children, refuse_patterns
@@ -78,6 +79,9 @@ class TopicPipeline:
     other streams; a dead letter that cannot be written stops the query, which
     then repeats the batch.
 
+    Of a payload the fields are parsed that some statement uses, and a wrong
+    value in another does no harm; ``check_all_fields`` parses all.
+
     ``first_batch_id`` is where batch ids start: a query on a new checkpoint
     counts from 0, and must not replace what an earlier one stored.
     """
@@ -94,6 +98,7 @@ class TopicPipeline:
         cache: bool = True,
         concurrency: int = 1,
         first_batch_id: int = 0,
+        check_all_fields: bool = False,
     ):
         self.spark = spark
         self.streams = list(streams)
@@ -112,6 +117,9 @@ class TopicPipeline:
         for table in self.tables.values():
             refuse_type_changes(spark, self.root, table, self.schemas)
         self._source_columns = uses_source_columns(self.streams)
+        self.used = None
+        if not check_all_fields:
+            self.used = used_fields(spark, self.streams, self.contracts, ansi)
 
     # -- one batch ---------------------------------------------------------
 
@@ -119,7 +127,7 @@ class TopicPipeline:
         """Store one batch of topic rows. Repeating a batch repeats its result."""
         batch_id += self.first_batch_id
         with ansi_mode(batch.sparkSession, self.ansi):
-            typed = TypedBatch(batch, self.contracts.values())
+            typed = TypedBatch(batch, self.contracts.values(), used=self.used)
             kept = [self._kept(typed.frame)]
             try:
                 counts = self._counts(typed)
@@ -170,15 +178,15 @@ class TopicPipeline:
         counted = result.observe(
             seen, F.count("*").alias("rows"), F.count_if(bad).alias("null_key")
         )
-        good, _ = dead.split_by_key(counted, stream.key)
         try:
-            append_log(good, self.root, stream.table, stream.name, batch_id)
+            path = append_log(counted, self.root, stream.table, stream.name, batch_id)
         except (PySparkException, Py4JError) as error:
             self._set_aside(batch, result, stream, batch_id, str(error))
             return StreamReport(stream.name, batch_id, error=str(error))
         null_key = seen.get["null_key"]
         if null_key:
-            _, bad_rows = dead.split_by_key(result, stream.key)
+            # the log's readers pass these rows over
+            _, bad_rows = dead.split_by_key(batch.sparkSession.read.parquet(path), stream.key)
             dead.write_rows(bad_rows, self.root, stream.name, batch_id)
         return StreamReport(stream.name, batch_id, seen.get["rows"] - null_key, null_key)
 

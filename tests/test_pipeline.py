@@ -17,7 +17,8 @@ from millrace import (
     write_topic_files,
 )
 from millrace.operators import deadletter as dead
-from millrace.operators.conform import REASON
+from millrace.operators.conform import REASON, TypedBatch
+from millrace.plans.statements import used_fields
 from workload.fixtures import event_contracts, event_rows, registry_snapshot
 from workload.flows import CLICKS, HOLED, PROFILE_A, PROFILE_B, VIEWS, _slices
 
@@ -136,7 +137,7 @@ def test_every_row_is_stored_filtered_or_dead(spark, sf_dir, root):
     work = pipeline(spark, root, [HOLED])
     report = work.process(rows.withColumn("value", value), 0)
     (stream,) = report.streams
-    logged = spark.read.parquet(f"{root}/log/user_signups/stream=holed").count()
+    logged = spark.read.parquet(f"{root}/log/user_signups/stream=holed").filter("user_id IS NOT NULL").count()
     raw, rejected = dead.read_raw(spark, root), dead.read_rows(spark, root, "holed")
     sound = rows.filter("topic = 'signup' AND offset % 5 > 1")
     low = "CAST(get_json_object(CAST(value AS string), '$.value') AS double) <= 5"
@@ -360,3 +361,36 @@ def test_expired_batches_are_gone_and_the_table_is_not(spark, sf_dir, root):
     assert rows_of(work.table("user_clicks")) == expected
     stored = list(Path(root).glob("log/*/*/*/batch_id=*")) + list(Path(root).glob("base/*/upto=*"))
     assert sorted(p.name for p in stored) == ["batch_id=3", "upto=2"]
+
+
+def test_fields_that_no_statement_uses_are_not_parsed(spark, sf_dir, root):
+    rows = event_rows(spark, sf_dir).filter("topic = 'click'")
+    odd = F.concat(F.expr("substring(value, 1, length(value) - 1)"), F.lit(b', "props": {"a": 1}}'))
+    wide = StreamDef("w", "click", "user_clicks", "user_id", "user_id, event_id", "value > 1", order_by="event_id")
+    work = pipeline(spark, root, [wide])
+    assert work.used == {"click": {"user_id", "event_id", "value"}}
+    typed = TypedBatch(rows, work.contracts.values(), used=work.used)
+    assert typed.frame.schema["_record0"].dataType.fieldNames() == ["event_id", "user_id", "value", "_unparsed"]
+    assert typed.typed("click").schema == TypedBatch(rows, work.contracts.values()).typed("click").schema
+    expected = rows_of(batch_answer(spark, sf_dir, root, [wide]).table("user_clicks"))
+    assert work.process(rows.withColumn("value", odd), 0).untyped == {}
+    assert rows_of(work.table("user_clicks")) == expected
+
+
+@pytest.mark.parametrize(
+    ("sql", "used"),
+    [
+        ("SELECT * FROM TMP_CLICK", {"event_id", "user_id", "value", "ts", "event_type", "props"}),
+        ("SELECT user_id, 1 AS o FROM (SELECT user_id, value + 1 AS v FROM TMP_CLICK)", {"user_id"}),
+        ("SELECT user_id, 1 AS o FROM TMP_CLICK WHERE event_id IN (SELECT max(value) FROM TMP_CLICK)",
+         {"user_id", "event_id", "value"}),
+        ("SELECT user_id, (SELECT max(ts) FROM TMP_CLICK) AS o FROM TMP_CLICK WHERE 1=1", {"user_id", "ts"}),
+        ("SELECT 1L AS user_id, count(*) AS o FROM TMP_CLICK", set()),
+        ("SELECT a.user_id, b.value AS o FROM TMP_CLICK a JOIN TMP_CLICK b ON a.event_id = b.event_id",
+         {"user_id", "event_id", "value"}),
+    ],
+)
+def test_used_fields(spark, sql, used):
+    first = "o" if " AS o" in sql else "event_id"
+    stream = StreamDef("s", "click", "t", "user_id", sql=sql, order_by=first)
+    assert used_fields(spark, [stream], event_contracts(spark, "click")) == {"click": used}

@@ -564,9 +564,8 @@ def fan_out_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(1 - stored).alias("rejected"),
         )
 
-    parts = [
-        marked(spark.read.parquet(log_dir(home, s.table, s.name)), s, stored=1) for s in streams
-    ]
+    logged = {s: spark.read.parquet(log_dir(home, s.table, s.name)) for s in streams}
+    parts = [marked(dead.split_by_key(rows, s.key)[0], s, stored=1) for s, rows in logged.items()]
     parts.append(marked(dead.read_rows(spark, home, HOLED.name), HOLED, stored=0))
     ended = reduce(DataFrame.union, parts).groupBy("stream", "topic")
     ended = ended.agg(F.sum("stored").alias("stored"), F.sum("rejected").alias("rejected"))
