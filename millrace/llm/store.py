@@ -11,15 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 def folder(spark: SparkSession) -> str:
     """A new place below ``spark.checkpoint.dir``, removed when the driver ends.
 
-    Where the setting is missing (tests, a notebook), it is set to a temporary
-    folder if the session is local; a cluster has to name a shared one.
+    Where the setting is missing (tests, a notebook), a local session gets a
+    temporary checkpoint folder; a cluster has to name a shared one.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="millrace-"))
+        shared = spark.sparkContext.getCheckpointDir()
     path = f"{shared.rstrip('/')}/millrace-{uuid.uuid4().hex}"
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
