@@ -28,5 +28,5 @@ def test_a_local_session_without_the_setting_gets_a_folder(spark, tmp_path):
 
 
 def test_a_cluster_without_the_setting_is_refused(spark):
-    with pytest.raises(ValueError, match="shared"):
+    with pytest.raises(ValueError, match="executors share"):
         folder(_without_setting(spark, master="spark://x", getCheckpointDir=lambda: None))
