@@ -32,8 +32,11 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without their source's boilerplate lines, and ``n_chars`` of what is left."""
-    left = drop_boilerplate(docs, F.col("source"), ratio=LINE_RATIO, min_pages=LINE_MIN_PAGES)
+    """Documents without their source's boilerplate lines, and ``n_chars`` of what is left.
+
+    Copies of a text count once: the next stage is to see them whole, and keeps one.
+    """
+    left = drop_boilerplate(docs, F.col("source"), ratio=LINE_RATIO, min_pages=LINE_MIN_PAGES, copies=False)
     if "n_chars" not in docs.columns:
         return left
     return left.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))

@@ -24,12 +24,18 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
+def _text_key(text: Column) -> Column:
+    """128 bits of a whole text; null has bits of its own."""
+    return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(text, F.lit("text")).alias("b"))
+
+
 def boilerplate_lines(
     pages: DataFrame,
     host: Column,
     text: Column,
     ratio: float = 0.1,
     min_pages: int = 20,
+    copies: bool = True,
 ) -> DataFrame:
     """``host, lines``: keys of the lines on more than ``ratio`` of the host's pages.
 
@@ -37,9 +43,14 @@ def boilerplate_lines(
     frequent. A page counts once for a line however often it has it, so the
     rows that are shuffled are (host, line, pages) counts made before the
     shuffle. The result has at most (mean lines per page / ratio) keys a host.
+
+    Without ``copies`` the rows of one text on a host are one page, so that the
+    lines of a text do not pass for boilerplate because the text was copied.
     """
     keys = F.array_compact(F.array_distinct(F.transform(_lines(text), line_key)))
-    by_page = pages.select(host.cast("string").alias("host"), keys.alias("keys"))
+    by_page = pages.select(host.cast("string").alias("host"), keys.alias("keys"), _text_key(text).alias("text"))
+    if not copies:
+        by_page = by_page.groupBy("host", "text").agg(F.first("keys").alias("keys"))
     totals = stored(by_page.groupBy("host").agg(F.count("*").alias("pages")))
     counts = (
         by_page.select("host", F.explode("keys").alias("line"))
@@ -63,15 +74,16 @@ def drop_boilerplate(
     ratio: float = 0.1,
     min_pages: int = 20,
     dropped: str | None = None,
+    copies: bool = True,
 ) -> DataFrame:
     """The pages with their columns, ``text`` without its host's boilerplate lines.
 
     The rest of the text stays as it is, blank lines too; a text that is all
     boilerplate becomes empty. Null text stays null, null hosts are one host,
-    repeated rows are pages of their own and an empty table stays empty.
-    ``dropped`` names a column for the number of lines dropped.
+    repeated rows are pages of their own (one without ``copies``) and an empty
+    table stays empty. ``dropped`` names a column for the number of lines dropped.
     """
-    found = stored(boilerplate_lines(pages, host, F.col(text), ratio, min_pages)).select(
+    found = stored(boilerplate_lines(pages, host, F.col(text), ratio, min_pages, copies)).select(
         F.col("host").alias("__host"), F.col("lines").alias("__lines")
     )
     keep = F.filter(
