@@ -22,6 +22,8 @@ from millrace.llm.toxicity import fit_toxicity, score_toxicity
 
 #: Shingles of five words, at least 80 % alike.
 NEAR = NearDup(width=5, percent=80, bands=40)
+#: Lines on more than 2 % of a source's texts, and on 10 of them, go too where they stand among other text.
+LINE_RARE = (0.02, 10)
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +38,8 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Copies of a text count once: the next stage is to see them whole, and keeps one.
     """
-    left = drop_boilerplate(docs, F.col("source"), ratio=LINE_RATIO, min_pages=LINE_MIN_PAGES, copies=False)
+    shares = {"ratio": LINE_RATIO, "min_pages": LINE_MIN_PAGES, "rare": LINE_RARE}
+    left = drop_boilerplate(docs, F.col("source"), copies=False, **shares)
     if "n_chars" not in docs.columns:
         return left
     return left.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))

@@ -21,3 +21,11 @@ def test_one_whole_document_is_left_of_copies_that_are_a_third_of_a_source(spark
     left = P.drop_lines(spark, _documents(spark, bodies), sf_dir)
     kept = {r.doc_id: r.text for r in P.drop_near_duplicates(spark, left, sf_dir).collect()}
     assert kept == {k: "\n".join(_body(k)) for k in range(60)} | {60: "\n".join(_body(99))}
+
+
+def test_rare_boilerplate_goes_and_near_copies_keep_one_whole_document(spark, sf_dir):
+    bodies = [_body(k) + (["Imprint and privacy"] if k % 30 == 0 else []) for k in range(390)]
+    near = [[*_body(999, 30), f"copy {k}"] for k in range(15)]
+    left = P.drop_lines(spark, _documents(spark, bodies + near), sf_dir)
+    kept = {r.doc_id: r.text for r in P.drop_near_duplicates(spark, left, sf_dir).collect()}
+    assert kept == {k: "\n".join(_body(k)) for k in range(390)} | {390: "\n".join(near[0])}
