@@ -8,7 +8,9 @@ two texts are compared word by word on the hit's diagonal.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator, Sequence
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,18 +21,35 @@ from millrace.llm.bloom import bloom_of, passes
 from millrace.llm.store import stored
 from millrace.llm.words import mixed, texts, word_hashes
 
-#: Word positions that count (1) in a window. Six words count in each mask.
+#: Word positions that count (1) in a window. Six words count in each of these.
 MASKS = ("111111", "11011011", "1101010011", "1010011101", "110010100101")
 #: Words compared, and the share of them that has to agree.
 OVERLAP, SIMILARITY = 13, 0.8
+#: Windows of fewer words have masks of their own, as ``MASKS`` miss some of theirs.
+SHORT = 12
+
+
+@cache
+def short_masks(width: int, similarity: float) -> tuple[str, ...]:
+    """Masks of which one hits, whichever words of a window of ``width`` are substituted.
+
+    The words are dealt to some groups more than there may be substitutions; each
+    mask ignores as many groups as there may be, so that one ignores all of them.
+    """
+    wrong = max(k for k in range(width) if width - k >= width * similarity or not k)
+    groups = min(width, max(3, 2 * wrong + 1) if width > 5 else width)
+    return tuple(
+        "".join("0" if k * groups // width in gone else "1" for k in range(width))
+        for gone in itertools.combinations(range(groups), wrong)
+    )
 
 
 def seed_hashes(words: np.ndarray, masks: Sequence[str] = MASKS) -> list[tuple[np.ndarray, np.ndarray]]:
     """Per mask the seeds' hashes and where their windows begin."""
     found = []
-    for number, mask in enumerate(masks):
+    for mask in masks:
         n = max(0, len(words) - len(mask) + 1)
-        total = np.full(n, number + 1, np.uint64)
+        total = np.full(n, int(f"1{mask}", 2), np.uint64)
         for k, bit in enumerate(mask):
             if bit == "1":
                 total = total * np.uint64(0x9E3779B97F4A7C15) + words[k : k + n]
@@ -38,7 +57,7 @@ def seed_hashes(words: np.ndarray, masks: Sequence[str] = MASKS) -> list[tuple[n
     return found
 
 
-def _item_seeds(items: DataFrame, masks: Sequence[str]) -> DataFrame:
+def _item_seeds(items: DataFrame, masks: Sequence[str], overlap: int, similarity: float) -> DataFrame:
     """``item_id, words, seeds`` of the items; a seed is a hash and a position."""
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -49,7 +68,8 @@ def _item_seeds(items: DataFrame, masks: Sequence[str]) -> DataFrame:
                 for low, high in zip(firsts[:-1], firsts[1:]):
                     own = hashes[low:high]
                     words.append(own.view(np.int64))
-                    every = seed_hashes(own, masks)
+                    width = min(overlap, len(own))
+                    every = seed_hashes(own, short_masks(width, similarity) if 0 < width < SHORT else masks)
                     seeds.append(
                         [
                             {"hash": h, "pos": p}
@@ -135,9 +155,10 @@ def contaminated(
 
     A passage is ``overlap`` aligned words (the whole item where it is shorter)
     of which the share ``similarity`` is the same; ``matched`` is the greatest
-    number of equal words of any such window. Words are lower-cased. Items with
-    fewer words than a mask's are not searched for, as are null and empty
-    texts. Rows without id are reported under a null id; repeated rows and
+    number of equal words of any such window. Words are lower-cased. Windows
+    under ``SHORT`` words have masks for their width, which hit all that the
+    comparison lets pass; documents are hashed by those of the widths that the
+    benchmark has. Null and empty texts are not searched for. Rows without id are reported under a null id; repeated rows and
     items under their ids once. An empty table gives an empty result.
 
     The documents are read once. A fixed-size filter of the benchmark's hashes
@@ -150,13 +171,19 @@ def contaminated(
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     one = sources.groupBy(F.translate("__text", upper, upper.lower()).alias("__text")).agg(F.collect_set("item_id").alias("ids"))
     numbered = one.select(F.xxhash64("__text").alias("item_id"), "__text", "ids")
-    items = stored(_item_seeds(numbered.select("item_id", "__text"), masks))
+    items = stored(_item_seeds(numbered.select("item_id", "__text"), masks, overlap, similarity))
+    width = F.least(F.lit(overlap), F.size("words"))
+    widths = sorted(r.width for r in items.select(width.alias("width")).where("width > 0").distinct().collect())
+    # at most SHORT - 1 widths have masks of their own
+    used = [m for w in widths if w < SHORT for m in short_masks(w, similarity)]
+    if not widths or widths[-1] >= SHORT:
+        used = [*masks, *used]
     seeds = items.select("item_id", F.explode("seeds").alias("s")).select(
         "item_id", F.col("s.hash").alias("hash"), F.col("s.pos").alias("at")
     )
     body = bloom_of(seeds, F.col("hash"))
     rows = documents.select(F.col(identity).alias("doc_id"), F.col(text).cast("string").alias("__text"))
-    stretches = stored(_stretches(rows, body, masks, overlap).withColumn("stretch", F.xxhash64("words")))
+    stretches = stored(_stretches(rows, body, list(dict.fromkeys(used)), overlap).withColumn("stretch", F.xxhash64("words")))
     # equal stretches are compared once; which documents have them is joined at the end
     kinds = stored(stretches.groupBy("stretch").agg(F.first("words").alias("words"), F.first("hits").alias("hits")))
     candidates = (
