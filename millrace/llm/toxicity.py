@@ -44,8 +44,10 @@ REPORTS = "said says wrote called claimed quoted reported dijo llamó écrit app
 
 #: Rows that the lexicon and the score are fitted on at most, chosen by a hash of the id.
 FIT_ROWS = 20_000
-#: Words and stems taken from them at most, the most frequent in toxic texts first.
+#: Words kept of them at most, the heaviest first.
 LEXICON = 2_000
+#: Words and stems that pass the test and come to the driver at most, the most frequent in toxic texts first.
+PASSING = 8_000
 STEMS = (4, 5, 6)
 #: Words whose symbol a worker remembers.
 REMEMBERED = 400_000
@@ -189,11 +191,11 @@ def _prior() -> dict[str, tuple[str, float]]:
     return own
 
 
-def wilson_low(hits: int, total: int, z: float = 2.58) -> float:
-    """The lower bound of a share."""
+def wilson_low(hits, total, z: float = 2.58, root=math.sqrt):
+    """The lower bound of a share, of numbers or of columns."""
     share = hits / total
     middle = share + z * z / (2 * total)
-    spread = z * math.sqrt(share * (1 - share) / total + z * z / (4 * total * total))
+    spread = z * root(share * (1 - share) / total + z * z / (4 * total * total))
     return (middle - spread) / (1 + z * z / total)
 
 
@@ -241,17 +243,26 @@ def _evidence(sample: DataFrame) -> DataFrame:
     return summed.where(F.col("toxic") > 3)
 
 
-def _lexicon(found: list[tuple[str, int, int]]) -> tuple[dict, dict]:
-    """Words and stems whose share of toxic groups is surely over a half."""
+def _passing(evidence: DataFrame, at_most: int = PASSING) -> DataFrame:
+    """``feature, toxic, clean, best`` of the words and stems whose share of toxic groups is
+    surely over a half; ``best`` is the most toxic groups of any one word with the stem."""
+    toxic, total = F.col("toxic"), F.col("toxic") + F.col("clean")
+    passing = evidence.where(wilson_low(toxic, total, root=F.sqrt) >= 0.5)
+    words = evidence.where(~F.col("feature").endswith("*"))
+    starts = [F.when(F.char_length("feature") > n, F.concat(F.substring("feature", 1, n), F.lit("*"))) for n in STEMS]
+    best = words.select(F.explode(F.array_compact(F.array(*starts))).alias("feature"), "toxic")
+    best = best.groupBy("feature").agg(F.max("toxic").alias("best"))
+    first = passing.orderBy(F.desc("toxic"), "feature").limit(at_most)
+    return first.join(best, "feature", "left").fillna(0, ["best"]).select("feature", "toxic", "clean", "best")
+
+
+def _lexicon(found: list[tuple[str, int, int, int]]) -> tuple[dict, dict]:
+    """Words and stems that passed, with their weights, and of stems those that say more than their words."""
     weight = lambda t, c: min(3.0, max(0.25, math.log((t + 0.5) / (c + 0.5)) / 2))
-    count = {f: (t, c) for f, t, c in found}
-    chosen = {f: (INSULT, weight(t, c)) for f, (t, c) in count.items() if wilson_low(t, t + c) >= 0.5}
+    count = {f: (t, c) for f, t, c, _ in found}
+    best = {f[:-1]: b for f, _, _, b in found if f.endswith("*")}
+    chosen = {f: (INSULT, weight(t, c)) for f, (t, c) in count.items()}
     words = {f: v for f, v in chosen.items() if not f.endswith("*")}
-    best: Counter = Counter()
-    for word in (f for f in count if not f.endswith("*")):
-        for n in STEMS:
-            if len(word) > n:
-                best[word[:n]] = max(best[word[:n]], count[word][0])
     stems: dict[str, tuple[str, float]] = {}
     surest = lambda f: (-round(wilson_low(count[f][0], sum(count[f])), 2), len(f), f)
     for feature in sorted((f for f in chosen if f.endswith("*")), key=surest):
@@ -304,8 +315,7 @@ def fit_toxicity(
     )
     rows_of = documents.select(F.col(identity).alias("__id"), F.col(text).cast("string").alias("text"))
     sample = stored(rows_of.join(F.broadcast(marks), "__id"))
-    found = _evidence(sample).orderBy(F.desc("toxic"), "feature").limit(LEXICON * 4)
-    words, stems = _lexicon([(r.feature, r.toxic, r.clean) for r in found.collect()])
+    words, stems = _lexicon([tuple(r) for r in _passing(stored(_evidence(sample))).collect()])
     kept = dict(sorted(words.items(), key=lambda kv: (-kv[1][1], kv[0]))[:LEXICON])
     model = ToxicityModel(_prior() | kept, stems)
     drawn = _scored(sample.select("toxic", "text"), "text", model, ["heaviest", "whole"]).select("toxic", "heaviest", "whole")
