@@ -172,11 +172,11 @@ def blocks(page: str) -> list[Block]:
 def first_pass(block: Block, rules: Rules, has_main: bool) -> bool | None:
     """Whether the block is main text; None leaves it to its neighbours."""
     letters = len(block.text.replace(" ", "")) or 1
-    if block.apart or block.linked / letters > rules.links:
+    if block.apart:
         return False
     if block.main:
         return True
-    if has_main:
+    if has_main or block.linked / letters > rules.links:
         return False
     words = block.text.lower().split()
     stops = sum(w.strip(".,;:!?") in STOP_WORDS for w in words) / len(words)
