@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.clusters import cluster
 from millrace.llm.decontamination import contaminated
 from millrace.llm.extraction import extract_text
 from millrace.llm.lines import drop_boilerplate
@@ -379,6 +380,54 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+# --- 13: centroid clustering ----------------------------------------------------------
+
+CLUSTERS, CLUSTER_ROUNDS, CLUSTER_SCALE, CLUSTER_WIDTH, CLUSTER_SEED = 8, 10, 1024, 64, "3"
+
+
+def op13_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of the embeddings after ten rounds over whole numbers."""
+    return cluster(
+        _read(spark, sf_dir, "embeddings"), CLUSTERS, CLUSTER_ROUNDS, CLUSTER_SCALE, CLUSTER_WIDTH, CLUSTER_SEED
+    )
+
+
+def _op13_sql() -> str:
+    rounds = "".join(
+        f"""
+), p{i} AS MATERIALIZED (
+  SELECT r, any_value(v) AS v, min(struct_pack(d := {_SQUARES}, n := n)) AS best FROM kept, c{i - 1} GROUP BY r
+), m{i} AS (
+  SELECT n, list((s - ((s % k) + k) % k) // k ORDER BY pos) AS c FROM (
+    SELECT best.n AS n, pos, sum(v[pos]) AS s, count(*) AS k FROM p{i}, range(1, {CLUSTER_WIDTH + 1}) t(pos) GROUP BY ALL
+  ) GROUP BY n
+), c{i} AS MATERIALIZED (SELECT n, coalesce(m.c, b.c) AS c FROM c{i - 1} b LEFT JOIN m{i} m USING (n)"""
+        for i in range(1, CLUSTER_ROUNDS + 1)
+    )
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id,
+         list_transform(embedding, lambda x: CAST(floor({CLUSTER_SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = {CLUSTER_WIDTH}
+   AND len(list_filter(embedding, lambda x: isfinite(coalesce(x, 'nan')))) = {CLUSTER_WIDTH}
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('{CLUSTER_SEED}:' || coalesce(CAST(vec_id AS VARCHAR), '')), v) - 1 AS n, v AS c
+  FROM kept QUALIFY n < {CLUSTERS}{rounds}
+), placed AS (
+  SELECT r, any_value(vec_id) AS vec_id, min(struct_pack(d := {_SQUARES}, n := n)) AS best
+  FROM kept, c{CLUSTER_ROUNDS} GROUP BY r
+)
+SELECT vec_id, CAST(best.n AS INTEGER) AS cluster, best.d AS distance,
+       CAST(sum(best.d) OVER (PARTITION BY best.n) AS BIGINT) AS cluster_inertia,
+       CAST(sum(best.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM placed JOIN c{CLUSTER_ROUNDS} ON n = best.n
+"""
+
+
+_SQUARES = f"CAST(list_sum(list_transform(range(1, {CLUSTER_WIDTH + 1}), lambda i: (v[i] - c[i]) * (v[i] - c[i]))) AS BIGINT)"
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_html_extraction": op2_html_extraction,
@@ -390,6 +439,7 @@ QUERIES = {
     "op8_warc_revisits": op8_warc_revisits,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
+    "op13_clusters": op13_clusters,
 }
 ORACLES = {
     "op1_quality_rules": _op1_sql(),
@@ -397,4 +447,5 @@ ORACLES = {
     "op4_mixing": OP4_SQL,
     "op7_url_filter": _op7_sql(),
     "op8_warc_revisits": OP8_SQL,
+    "op13_clusters": _op13_sql(),
 }
