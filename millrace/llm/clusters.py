@@ -34,10 +34,10 @@ def usable(vector: Column, width: int) -> Column:
 
 
 def squared_distance(vector: Column, centroid: Sequence[int]) -> Column:
-    """The squared Euclidean distance to a literal array."""
-    point = F.expr(f"array({', '.join(f'{c}L' for c in centroid)})")
-    squares = F.zip_with(vector, point, lambda x, y: (x - y) * (x - y))
-    return F.aggregate(squares, F.lit(0).cast("long"), lambda total, x: total + x)
+    """The squared Euclidean distance to a literal array, as the sum of x(x - 2c) and of c squared."""
+    twice = F.expr(f"array({', '.join(f'{2 * c}L' for c in centroid)})")
+    parts = F.zip_with(vector, twice, lambda x, y: x * (x - y))
+    return F.aggregate(parts, F.lit(sum(c * c for c in centroid)).cast("long"), lambda total, x: total + x)
 
 
 def nearest(vector: Column, centroids: Sequence[Sequence[int]]) -> Column:
@@ -101,7 +101,7 @@ def cluster(
         "vec_id",
         "found.cluster",
         "found.distance",
-        _by_number({n: min(spreads.get(n, 0), _MOST) for n in points}).alias("cluster_inertia"),
+        _by_number({n: min(spreads.get(n, 0), _MOST) for n in points}).cast("long").alias("cluster_inertia"),
         F.lit(whole).cast("long").alias("inertia"),
         F.sha2(_by_number(points), 256).alias("centroid_sha256"),
     )

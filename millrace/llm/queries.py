@@ -12,6 +12,8 @@ from millrace.llm.extraction import extract_text
 from millrace.llm.lines import drop_boilerplate
 from millrace.llm.mixing import mix_counts
 from millrace.llm.neardup import NearDup, near_duplicates
+from millrace.llm.neighbours import Scan, nearest_neighbours
+from millrace.llm.prefixes import prefix_trie
 from millrace.llm.quality import RULES, judge_quality
 from millrace.llm.tokens import token_totals
 from millrace.llm.toxicity import fit_toxicity, held_out, score_toxicity
@@ -380,6 +382,65 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+# --- 11: nearest neighbours -----------------------------------------------------------
+
+NEIGHBOURS = Scan(neighbours=10)
+
+
+def op11_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest embeddings found for every hundredth id."""
+    embeddings = _read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest_neighbours(embeddings, F.col("vec_id") % 100 == 0, NEIGHBOURS)
+
+
+# --- 12: conversation prefixes --------------------------------------------------------
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all rebuilt conversations."""
+    return prefix_trie(_read(spark, sf_dir, "conversations"))
+
+
+OP12_SQL = r"""
+WITH crc AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda x, k:
+                CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) AS v FROM range(256) r(i))
+), own AS (
+  SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), lists AS (
+  SELECT c, list(struct_pack(role := role, text := text)
+                 ORDER BY turn NULLS FIRST, substr(sha256(length(role) || ':' || role || text), 1, 32)) AS turns
+  FROM own GROUP BY c
+), hashed AS (
+  SELECT *, c - c % 20 AS base, xor(4294967295, list_reduce(
+              list_prepend(4294967295, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+              lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]))) % 4 AS h
+  FROM lists, crc
+), built AS (
+  SELECT o.c, list_concat(coalesce(b.turns, [])[1:o.h], o.turns[o.h + 1:]) AS turns
+  FROM hashed o LEFT JOIN lists b ON b.c = o.base
+), prefixes AS (
+  SELECT c, len(turns) AS whole, d, turns[1:d] AS p FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM built)
+), nodes AS (
+  SELECT p, d, min(c) AS conv, count(*) AS n,
+         sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE whole = d), '')) AS ends
+  FROM prefixes GROUP BY p, d
+), children AS (SELECT p[1:d - 1] AS p, count(*) AS children FROM nodes WHERE d > 0 GROUP BY 1
+), weighed AS (
+  SELECT n.*, coalesce(k.children, 0) AS children,
+         CASE WHEN d = 0 THEN 0 ELSE (n - 1) * len(regexp_extract_all(p[d].text, '[^ 	-]+')) END AS saved
+  FROM nodes n LEFT JOIN children k USING (p)
+), sums AS (
+  SELECT p[1:k] AS p, count(*) FILTER (WHERE children = 0) AS leaves, sum(saved) AS saved
+  FROM (SELECT *, unnest(range(0, d + 1)) AS k FROM weighed) GROUP BY 1
+)
+SELECT w.conv AS conv_id, w.d AS depth, a.conv AS parent_conv_id, w.n AS n_convs, w.children AS n_children,
+       s.leaves AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, w.ends AS ends_sha256
+FROM weighed w JOIN sums s ON s.p = w.p LEFT JOIN nodes a ON w.d > 0 AND a.p = w.p[1:w.d - 1]
+"""
+
+
 # --- 13: centroid clustering ----------------------------------------------------------
 
 CLUSTERS, CLUSTER_ROUNDS, CLUSTER_SCALE, CLUSTER_WIDTH, CLUSTER_SEED = 8, 10, 1024, 64, "3"
@@ -439,6 +500,8 @@ QUERIES = {
     "op8_warc_revisits": op8_warc_revisits,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
+    "op11_neighbours": op11_neighbours,
+    "op12_conversation_trie": op12_conversation_trie,
     "op13_clusters": op13_clusters,
 }
 ORACLES = {
@@ -447,5 +510,6 @@ ORACLES = {
     "op4_mixing": OP4_SQL,
     "op7_url_filter": _op7_sql(),
     "op8_warc_revisits": OP8_SQL,
+    "op12_conversation_trie": OP12_SQL,
     "op13_clusters": _op13_sql(),
 }

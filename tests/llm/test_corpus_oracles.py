@@ -28,4 +28,4 @@ def test_corpus_query_equals_its_oracle(spark, sf_dir, tables, name):
 
 
 def test_one_query_for_each_operator():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 14)]
