@@ -40,8 +40,15 @@ def from_json_bytes(payload: Column, struct: T.StructType, mode: str = "PERMISSI
 
 
 def is_one_value(text: Column) -> Column:
-    """Whether a text is one JSON value and nothing else; the parser stops behind the first."""
-    return F.json_array_length(F.concat(F.lit("["), text, F.lit(",0]"))) == 2
+    """Whether a text is one JSON value and nothing else; the parser stops behind the first.
+
+    Where the first closing brace ends the text, nothing can stand behind an object, and
+    what is no object is rejected anyway. Other texts are parsed once more.
+    """
+    flat = F.instr(text, "}") == F.char_length(text)
+    return F.when(flat, F.lit(True)).otherwise(
+        F.json_array_length(F.concat(F.lit("["), text, F.lit(",0]"))) == 2
+    )
 
 
 def from_avro_bytes(payload: Column, writer_schema: str, mode: str = "PERMISSIVE") -> Column:

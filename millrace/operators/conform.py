@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions import codec
+from millrace.functions.evolution import resolution, written_fields
 from millrace.functions.text import literal, name
 from millrace.sources.registry import TopicContract, required_fields, struct_of
 
@@ -82,6 +83,11 @@ def _by_writer(body: Column, contract: TopicContract) -> Column:
 
     if not contract.framed:
         return one(contract.writers[contract.latest_id])
+    return _one_of(contract, one)
+
+
+def _one_of(contract: TopicContract, one: Callable[[str], Column]) -> Column:
+    """A framed value by the schema that its frame names."""
     decoded = None
     for schema_id, schema in contract.writers.items():
         hit = codec.frame_id("value") == schema_id
@@ -89,8 +95,36 @@ def _by_writer(body: Column, contract: TopicContract) -> Column:
     return decoded
 
 
+def _resolved(body: Column, contract: TopicContract) -> Column:
+    """Values read by their writer's schema and resolved to the contract's.
+
+    Of JSON the fields are parsed that the contract's come from. A value that has no
+    place in the contract's schema makes the record null, and so a reject.
+    """
+    wanted = contract.struct.fieldNames()
+
+    def one(schema: str) -> Column:
+        way = resolution(schema, contract.schema, wanted)
+        if contract.codec == "avro":
+            record = codec.from_avro_bytes(body, schema)
+        else:
+            written = struct_of(schema)
+            kept = [written[n] for n in written_fields(schema, contract.schema, wanted)]
+            record = codec.from_json_bytes(body, T.StructType(kept or written.fields[:1]))
+
+        def project(r: Column) -> Column:
+            made = F.when(~way.wrong(r), way.value(r))
+            return made if contract.codec == "avro" else made.withField(codec.UNPARSED, r.getField(codec.UNPARSED))
+
+        return F.get(F.transform(F.array(record), project), 0)
+
+    return _one_of(contract, one)
+
+
 def _decoded(contract: TopicContract) -> Column:
     body = codec.frame_body("value") if contract.framed else F.col("value")
+    if contract.resolve:
+        return _resolved(body, contract)
     if contract.codec == "avro":
         return _by_writer(body, contract)
     return codec.from_json_bytes(body, contract.struct)
@@ -171,7 +205,8 @@ class TypedBatch:
             signs = [f"{record}.{codec.UNPARSED} IS NOT NULL"]
         else:
             # a malformed body decodes to nulls, also in fields that cannot be null
-            needed = set.intersection(*(set(required_fields(w)) for w in contract.writers.values()))
+            writers = [contract.schema] if contract.resolve else contract.writers.values()
+            needed = set.intersection(*(set(required_fields(w)) for w in writers))
             signs = [f"{record}.{name(f)} IS NULL" for f in contract.struct.names if f in needed]
         bad = " OR ".join([f"{record} IS NULL", *signs])
         return f"CASE WHEN {bad} THEN '{BAD_PAYLOAD}' END"

@@ -51,6 +51,9 @@ class TopicContract:
 
     ``struct`` is the latest schema, all columns nullable. ``writers`` maps
     every known schema id to its Avro JSON; it is needed for framed values.
+    With ``resolve`` values of every writer are read by the latest schema as Avro
+    does it: with its defaults, aliases and wider types; otherwise fields
+    go by name and absent ones are null.
     """
 
     topic: str
@@ -59,8 +62,11 @@ class TopicContract:
     framed: bool = False
     writers: dict[int, str] = field(default_factory=dict)
     latest_id: int | None = None
+    resolve: bool = False
 
     def __post_init__(self):
+        if self.resolve and not self.framed:
+            raise ValueError(f"topic {self.topic}: only framed values name the schema to resolve")
         if self.codec not in ("json", "avro"):
             raise ValueError(f"codec must be json or avro, not {self.codec!r}")
         if (self.framed or self.codec == "avro") and self.latest_id not in self.writers:
@@ -167,10 +173,13 @@ def contracts(
     side: str = "value",
     codec: str = "json",
     framed: bool = False,
+    resolve: bool = False,
 ) -> dict[str, TopicContract]:
     """Contract by topic, from the latest version of each subject.
 
-    Brings the registered versions of these topics to the driver and no more.
+    Brings the registered versions of these topics to the driver and no more. With
+    ``resolve`` a version that the latest schema cannot read is refused when
+    the contract is first used.
     """
     subjects = {f"{t}-{side}": t for t in topics}
     entries = snapshot.filter(F.col("subject").isin(*subjects)).select(*SNAPSHOT.fieldNames())
@@ -186,6 +195,7 @@ def contracts(
             framed=framed,
             writers={r.id: r.schema for r in rows},
             latest_id=rows[-1].id,
+            resolve=resolve,
         )
     missing = sorted(set(topics) - set(by_topic))
     if missing:

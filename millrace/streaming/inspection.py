@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -12,8 +14,11 @@ from millrace.sources.registry import TopicContract
 def decoded(rows: DataFrame, contract: TopicContract) -> DataFrame:
     """One topic's records in the columns of its latest schema.
 
-    Rows that cannot be read show nulls and the reason.
+    Framed values are resolved from their writer's schema, with the latest one's
+    defaults and aliases. Rows that cannot be read show nulls and the reason.
     """
+    if contract.framed:
+        contract = dataclasses.replace(contract, resolve=True)
     batch = TypedBatch(rows, [contract])
     return batch.frame.select(*batch.fields(contract.topic), REASON)
 

@@ -34,7 +34,7 @@ from millrace.operators.sizing import counts_by_topic
 from millrace.operators.upsert import Layer, latest_rows, log_dir
 from millrace.plans.statements import register_view, statement
 from millrace.sources.paths import scratch
-from millrace.sources.registry import contracts, matching_ids, struct_of
+from millrace.sources.registry import SNAPSHOT, contracts, matching_ids, struct_of
 from millrace.streaming.inspection import decoded
 from workload.fixtures import (
     EVENT_SCHEMA_IDS,
@@ -185,6 +185,73 @@ def registry_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch.typed("click").drop("ts")
 
 
+def _schema(*fields: tuple, **more) -> str:
+    listed = [{"name": n, "type": t, **o} for n, t, o in fields]
+    return json.dumps({"type": "record", "name": "event", "fields": listed} | more)
+
+
+_KINDS = {"type": "enum", "name": "kind", "symbols": ["click", "error", "purchase", "signup", "view"]}
+_FEWER_KINDS = {"type": "enum", "name": "what", "aliases": ["kind"], "symbols": ["other", "click", "view"], "default": "other"}
+_SPOT = {"type": "record", "name": "spot", "fields": [{"name": "area", "type": "int"}, {"name": "zone", "type": "string", "default": "z"}]}
+#: The first writer has narrow numbers and old names, the second more fields; the latest reads both.
+_FIRST = _schema(("id", "int", {}), ("uid", "long", {}), ("amount", "float", {}), ("kind", _KINDS, {}), ("note", ["null", "string"], {}))
+_SECOND = _schema(
+    ("id", "long", {}),
+    ("user", "long", {}),
+    ("amount", "double", {}),
+    ("kind", _KINDS, {}),
+    ("note", ["null", "string"], {}),
+    ("tags", {"type": "array", "items": "int"}, {}),
+    ("spot", {"type": "record", "name": "spot", "fields": [{"name": "area", "type": "int"}]}, {}),
+)
+_LATEST = _schema(
+    ("event_id", "long", {"aliases": ["id"]}),
+    ("user_id", "long", {"aliases": ["user", "uid"]}),
+    ("amount", "double", {}),
+    ("kind", _FEWER_KINDS, {}),
+    ("note", "string", {}),
+    ("tags", {"type": "array", "items": "long"}, {"default": [1, 2]}),
+    ("spot", _SPOT, {"default": {"area": -1}}),
+    ("region", ["string", "null"], {"default": "none"}),
+)
+
+
+@flow(
+    """SELECT event_id, user_id, CASE WHEN event_id % 2 = 0 THEN CAST(CAST(value AS FLOAT) AS DOUBLE) ELSE value END AS amount,
+    CASE WHEN event_type IN ('click', 'view') THEN event_type ELSE 'other' END AS kind, event_type AS note,
+    CASE WHEN event_id % 2 = 0 THEN 3 ELSE user_id + event_id END AS tag_sum,
+    CASE WHEN event_id % 2 = 0 THEN -1 ELSE user_id % 5 END AS area, 'z' AS zone, 'none' AS region, NULL AS reason
+    FROM events WHERE event_id % 7 <> 0
+    UNION ALL SELECT event_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'bad_payload' FROM events WHERE event_id % 7 = 0"""
+)
+def registry_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of two writers read by a third schema; a null where it has none makes a reject."""
+    area = (F.col("user_id") % 5).cast("int").alias("area")
+    note = F.when(F.col("event_id") % 7 != 0, F.col("event_type")).alias("note")
+    common = [F.col("event_type").alias("kind"), note]
+    first = F.struct(F.col("event_id").alias("id"), F.col("user_id").alias("uid"), F.col("value").cast("float").alias("amount"), *common)
+    second = F.struct(
+        F.col("event_id").alias("id"), F.col("user_id").alias("user"), F.col("value").alias("amount"), *common,
+        F.array("user_id", "event_id").alias("tags"), F.struct(area).alias("spot"),
+    )
+    value = F.when(F.col("event_id") % 2 == 0, codec.frame(codec.to_json_bytes(first), 1)).otherwise(
+        codec.frame(codec.to_json_bytes(second), 2)
+    )
+    rows = event_rows(spark, sf_dir, topic=F.lit("changing"), value=value)
+    entries = [("changing-value", n, n, text) for n, text in enumerate((_FIRST, _SECOND, _LATEST), start=1)]
+    snapshot = spark.createDataFrame(entries, SNAPSHOT)
+    batch = TypedBatch(rows, contracts(snapshot, ["changing"], framed=True, resolve=True).values())
+    none = F.lit(None).cast("string")
+    good = batch.typed("changing").select(
+        "event_id", "user_id", "amount", "kind", "note", F.aggregate("tags", F.lit(0).cast("bigint"), lambda t, x: t + x).alias("tag_sum"),
+        F.col("spot.area").cast("bigint").alias("area"), F.col("spot.zone").alias("zone"), "region", none.alias("reason"),
+    )
+    bad = batch.rejects().select(
+        F.col("offset").alias("event_id"), *[F.lit(None).cast(t).alias(n) for n, t in good.dtypes[1:-1]], F.col(REASON).alias("reason")
+    )
+    return good.union(bad)
+
+
 @flow(
     """SELECT event_type AS topic, CASE WHEN user_id % 10 = 0 THEN 'bad_envelope'
     WHEN event_id % 11 = 0 THEN 'unknown_schema' WHEN event_id % 13 = 0 THEN 'bad_payload'
