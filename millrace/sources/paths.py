@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _path(spark: SparkSession, path: str):
@@ -70,3 +70,16 @@ def scratch(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         return tempfile.mkdtemp(prefix="millrace-")
     return f"{shared.rstrip('/')}/millrace-{uuid.uuid4().hex}"
+
+
+def written(frame: DataFrame) -> DataFrame:
+    """The same rows, read from a table in the shared folder; its files go when the driver ends.
+
+    It ends the frame's lineage, is evaluated once, and the planner knows its size.
+    """
+    spark = frame.sparkSession
+    path = f"{scratch(spark)}/rows"
+    frame.write.parquet(path)
+    target, fs = _path(spark, path)
+    fs.deleteOnExit(target)
+    return spark.read.schema(frame.schema).parquet(path)

@@ -32,6 +32,7 @@ from millrace.operators import deadletter as dead
 from millrace.operators.conform import RAW, REASON, topic_rows_of
 from millrace.operators.sizing import counts_by_topic
 from millrace.operators.upsert import Layer, latest_rows, log_dir
+from millrace.operators.windows import Call, Frame, blocked_windows
 from millrace.plans.statements import register_view, statement
 from millrace.sources.paths import scratch
 from millrace.sources.registry import SNAPSHOT, contracts, matching_ids, struct_of
@@ -41,6 +42,7 @@ from workload.fixtures import (
     event_contracts,
     event_rows,
     registry_snapshot,
+    spliced,
     table,
 )
 
@@ -376,6 +378,65 @@ def batch_sizing_applied(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_task.agg(F.sum("n").alias("records"), F.count("*").alias("partitions"))
 
 
+# -- windows ------------------------------------------------------------------
+# The statement's rows go through the splice; its windows run by blocks, so that a
+# busy user's rows need not meet in one task.
+
+_OF_USER = "PARTITION BY user_id ORDER BY event_id"
+
+
+@flow(
+    f"""SELECT event_id, row_number() OVER w AS rn, rank() OVER p AS rnk, dense_rank() OVER p AS dense,
+    round(percent_rank() OVER w, 6) AS pct, round(cume_dist() OVER p, 6) AS cume, ntile(3) OVER w AS tile
+    FROM events WHERE event_type = 'purchase' WINDOW w AS ({_OF_USER}),
+    p AS (PARTITION BY user_id ORDER BY CAST(trunc(value / 10) AS int) NULLS FIRST)"""
+)
+def sql_transform_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spliced(spark, sf_dir, ("purchase",), "event_id, user_id, CAST(value / 10 AS int) AS v")
+    by_id = {"rn": Call("row_number"), "pct": Call("percent_rank"), "tile": Call("ntile", offset=3)}
+    by_value = {"rnk": Call("rank"), "dense": Call("dense_rank"), "cume": Call("cume_dist")}
+    ranked = blocked_windows(blocked_windows(rows, ["user_id"], ["event_id"], by_id), ["user_id"], ["v"], by_value)
+    return ranked.select("event_id", "rn", "rnk", "dense", F.round("pct", 6).alias("pct"), F.round("cume", 6).alias("cume"), "tile")
+
+
+@flow(
+    f"""SELECT event_id, lag(value) OVER w AS before, lead(value, 2, -1.0) OVER w AS after2,
+    first_value(event_id) OVER w AS first_id,
+    last_value(event_id) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS last_id,
+    last_value(value) OVER (w ROWS BETWEEN 1 PRECEDING AND 3 FOLLOWING) AS third_next,
+    CAST(count(*) OVER (PARTITION BY user_id) AS bigint) AS in_all
+    FROM events WHERE event_type = 'view' WINDOW w AS ({_OF_USER})"""
+)
+def sql_transform_window_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spliced(spark, sf_dir, ("view",), "event_id, user_id, value")
+    whole = Frame(None, None, rows=True)
+    calls = {
+        "before": Call("lag", "value"),
+        "after2": Call("lead", "value", 2, -1.0),
+        "first_id": Call("first_value", "event_id", frame=Frame(None, 0, rows=True)),
+        "last_id": Call("last_value", "event_id", frame=whole),
+        "third_next": Call("last_value", "value", frame=Frame(-1, 3, rows=True)),
+        "in_all": Call("count", frame=whole),
+    }
+    return blocked_windows(rows, ["user_id"], ["event_id"], calls).drop("user_id", "value")
+
+
+@flow(
+    f"""SELECT event_id, count(*) OVER (w ROWS BETWEEN 2 PRECEDING AND 1 FOLLOWING) AS near_rows,
+    max(value) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS best_so_far,
+    min(event_id) OVER (w RANGE BETWEEN 1000 PRECEDING AND CURRENT ROW) AS recent_id
+    FROM events WHERE event_type = 'click' WINDOW w AS ({_OF_USER})"""
+)
+def sql_transform_window_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spliced(spark, sf_dir, ("click",), "event_id, user_id, value")
+    calls = {
+        "near_rows": Call("count", frame=Frame(-2, 1, rows=True)),
+        "best_so_far": Call("max", "value", frame=Frame(None, 0, rows=True)),
+        "recent_id": Call("min", "event_id", frame=Frame(-1000, 0)),
+    }
+    return blocked_windows(rows, ["user_id"], ["event_id"], calls).drop("user_id", "value")
+
+
 # -- upsert -------------------------------------------------------------------
 
 

@@ -296,104 +296,30 @@ _hook(
 )
 
 # -- windows ------------------------------------------------------------------
-# The answers are those of windows over all of a user's rows. What is sorted in
-# one task is a block of 2,048 consecutive event ids of a user, however busy:
-# block sums are carried over to later blocks, and ranks by value come from one
-# row per user and value.
-
-_BLOCKED = "SELECT *, CAST(floor(event_id / 2048) AS bigint) AS block FROM"
-_IN_BLOCK = "PARTITION BY user_id, block ORDER BY event_id"
+# Those over users' whole rows, however busy, are in flows.py: they run by blocks.
 _OF_USER = "PARTITION BY user_id ORDER BY event_id"
-_hook(
-    "sql_transform_window",
-    "purchase",
-    sql=f"""WITH r AS (SELECT *, CAST(value / 10 AS int) AS v FROM ({_BLOCKED} TMP_PURCHASE)),
-        blocks AS (SELECT user_id, block, sum(count(*)) OVER (PARTITION BY user_id) AS n,
-            sum(count(*)) OVER (PARTITION BY user_id ORDER BY block) - count(*) AS earlier
-            FROM r GROUP BY user_id, block),
-        steps AS (SELECT user_id, v, row_number() OVER (PARTITION BY user_id ORDER BY v) AS dense,
-            sum(count(*)) OVER (PARTITION BY user_id ORDER BY v) - count(*) + 1 AS rnk
-            FROM r GROUP BY user_id, v),
-        numbered AS (SELECT r.event_id, r.user_id, r.v, n, n % 3 AS larger, n DIV 3 AS size,
-            earlier + row_number() OVER (PARTITION BY r.user_id, r.block ORDER BY r.event_id) AS rn
-            FROM r JOIN blocks b ON r.user_id = b.user_id AND r.block = b.block)
-        SELECT event_id, rn, rnk, dense,
-            CASE WHEN n = 1 THEN 0D ELSE round((rn - 1) / (n - 1), 6) END AS pct,
-            round(rn / n, 6) AS cume,
-            CASE WHEN rn <= larger * (size + 1) THEN (rn - 1) DIV (size + 1) + 1
-                ELSE larger + (rn - 1 - larger * (size + 1)) DIV size + 1 END AS tile
-        FROM numbered x JOIN steps s ON x.user_id = s.user_id AND x.v <=> s.v""",
-    oracle=f"""SELECT event_id, row_number() OVER w AS rn, rank() OVER p AS rnk,
-        dense_rank() OVER p AS dense, round(percent_rank() OVER w, 6) AS pct,
-        round(cume_dist() OVER w, 6) AS cume, ntile(3) OVER w AS tile
-        FROM events WHERE event_type = 'purchase' WINDOW w AS ({_OF_USER}),
-        p AS (PARTITION BY user_id ORDER BY CAST(trunc(value / 10) AS int) NULLS FIRST)""",
-)
-_hook(
-    "sql_transform_window_offsets",
-    "view",
-    sql=f"""WITH r AS ({_BLOCKED} TMP_VIEW),
-        placed AS (SELECT *, row_number() OVER ({_IN_BLOCK}) AS at,
-            count(*) OVER (PARTITION BY user_id, block) AS own,
-            lag(value) OVER ({_IN_BLOCK}) AS before,
-            lead(value, 2) OVER ({_IN_BLOCK}) AS after2 FROM r),
-        blocks AS (SELECT user_id, block, count(*) AS own, min(event_id) AS first_id,
-            max(event_id) AS last_id, max_by(value, event_id) AS last_value,
-            transform(array_sort(collect_list(CASE WHEN at <= 2 THEN struct(event_id, value) END)),
-                x -> x.value) AS heads FROM placed GROUP BY user_id, block),
-        carried AS (SELECT user_id, block, lag(last_value) OVER w AS before,
-            concat(coalesce(lead(heads) OVER w, array()), coalesce(lead(heads, 2) OVER w, array()))
-                AS heads,
-            min(first_id) OVER u AS first_id, max(last_id) OVER u AS last_id, sum(own) OVER u AS n
-            FROM blocks WINDOW w AS (PARTITION BY user_id ORDER BY block),
-            u AS (PARTITION BY user_id))
-        SELECT event_id, CASE WHEN at = 1 THEN c.before ELSE p.before END AS before,
-            CASE WHEN at + 2 <= own THEN after2
-                WHEN at + 2 - own <= size(heads) THEN get(heads, CAST(at + 1 - own AS int))
-                ELSE -1D END AS after2,
-            first_id, last_id, n AS in_all
-        FROM placed p JOIN carried c ON p.user_id = c.user_id AND p.block = c.block""",
-    oracle=f"""SELECT event_id, lag(value) OVER w AS before, lead(value, 2, -1.0) OVER w AS after2,
-        first_value(event_id) OVER w AS first_id,
-        last_value(event_id) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
-            AS last_id,
-        CAST(count(*) OVER (PARTITION BY user_id) AS bigint) AS in_all
-        FROM events WHERE event_type = 'view' WINDOW w AS ({_OF_USER})""",
-)
-# Rows that the next block's 1,000 ids reach back to are seen there, too.
-_hook(
-    "sql_transform_window_frames",
-    "click",
-    sql=f"""WITH r AS ({_BLOCKED} TMP_CLICK),
-        blocks AS (SELECT user_id, block, sum(count(*)) OVER (PARTITION BY user_id) AS n,
-            sum(count(*)) OVER w - count(*) AS earlier,
-            max(max(value)) OVER (PARTITION BY user_id ORDER BY block
-                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best
-            FROM r GROUP BY user_id, block WINDOW w AS (PARTITION BY user_id ORDER BY block)),
-        seen AS (SELECT event_id, user_id, value, block, true AS own FROM r
-            UNION ALL SELECT event_id, user_id, NULL, block + 1, false FROM r
-            WHERE event_id % 2048 >= 1048),
-        framed AS (SELECT *, count_if(own) OVER w AS at, max(value) OVER w AS best_here,
-            min(event_id) OVER ({_IN_BLOCK} RANGE BETWEEN 1000 PRECEDING AND CURRENT ROW) AS recent_id
-            FROM seen WINDOW w AS ({_IN_BLOCK} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
-        SELECT event_id, least(earlier + at, 3) + int(earlier + at < n) AS near_rows,
-            greatest(best, best_here) AS best_so_far, recent_id
-        FROM framed f JOIN blocks b ON f.user_id = b.user_id AND f.block = b.block WHERE own""",
-    oracle=f"""SELECT event_id, count(*) OVER (w ROWS BETWEEN 2 PRECEDING AND 1 FOLLOWING) AS near_rows,
-        max(value) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS best_so_far,
-        min(event_id) OVER (w RANGE BETWEEN 1000 PRECEDING AND CURRENT ROW) AS recent_id
-        FROM events WHERE event_type = 'click' WINDOW w AS ({_OF_USER})""",
-)
 # A statement may as well have a plain window; Spark then sorts a user's rows of
 # the batch in one task, in memory or spilled.
 _hook(
     "sql_transform_window_plain",
     "signup",
-    transform="event_id, lag(value, 1, 0D) OVER w AS before, ntile(4) OVER w AS quarter",
-    where=f"1=1 WINDOW w AS ({_OF_USER})",
-    oracle=f"""SELECT event_id, lag(value, 1, 0.0) OVER ({_OF_USER}) AS before,
-        ntile(4) OVER ({_OF_USER}) AS quarter
-        FROM events WHERE event_type = 'signup'""",
+    transform=f"""event_id, lag(value, 1, 0D) OVER w AS before, lead(value) OVER w AS after, ntile(4) OVER w AS quarter,
+        row_number() OVER w AS rn, rank() OVER p AS rnk, dense_rank() OVER p AS dense,
+        round(percent_rank() OVER p, 6) AS pct, round(cume_dist() OVER p, 6) AS cume,
+        first_value(event_id) OVER w AS first_id,
+        last_value(event_id) OVER ({_OF_USER} ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS next_id,
+        count(*) OVER ({_OF_USER} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS near_rows,
+        max(value) OVER ({_OF_USER} RANGE BETWEEN 5000 PRECEDING AND CURRENT ROW) AS recent_best""",
+    where=f"1=1 WINDOW w AS ({_OF_USER}), p AS (PARTITION BY user_id ORDER BY CAST(value / 10 AS int))",
+    oracle=f"""SELECT event_id, lag(value, 1, 0.0) OVER w AS before, lead(value) OVER w AS after, ntile(4) OVER w AS quarter,
+        row_number() OVER w AS rn, rank() OVER p AS rnk, dense_rank() OVER p AS dense,
+        round(percent_rank() OVER p, 6) AS pct, round(cume_dist() OVER p, 6) AS cume,
+        first_value(event_id) OVER w AS first_id,
+        last_value(event_id) OVER (w ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS next_id,
+        count(*) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS near_rows,
+        max(value) OVER (w RANGE BETWEEN 5000 PRECEDING AND CURRENT ROW) AS recent_best
+        FROM events WHERE event_type = 'signup' WINDOW w AS ({_OF_USER}),
+        p AS (PARTITION BY user_id ORDER BY CAST(trunc(value / 10) AS int) NULLS FIRST)""",
 )
 
 # -- order, limits, sets ------------------------------------------------------
