@@ -5,16 +5,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from py4j.protocol import Py4JError
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators import deadletter as dead
+from millrace.operators.bisection import find_failing
 from millrace.operators.conform import REASON, TypedBatch
 from millrace.operators.sizing import Sizing
 from millrace.operators.upsert import (
@@ -48,6 +49,10 @@ class StreamReport:
     stored: int = 0
     null_key: int = 0
     error: str | None = None
+    #: Topic rows on which the statement failed, while the others were stored.
+    isolated: int = 0
+    #: Whether all that the error concerns is in the dead letter.
+    set_aside: bool = True
 
 
 @dataclass(frozen=True)
@@ -79,6 +84,10 @@ class TopicPipeline:
     other streams; a dead letter that cannot be written stops the query, which
     then repeats the batch.
 
+    Where a statement raises on some of its topic's rows, these are found by halving the
+    batch and set aside; the statement then runs over the rest. It does so for up to ``isolate``
+    rows, or ranges of offsets where more of them fail; 0 sets the topic's whole batch aside.
+
     Of a payload the fields are parsed that some statement uses, and a wrong
     value in another does no harm; ``check_all_fields`` parses all.
 
@@ -99,6 +108,7 @@ class TopicPipeline:
         concurrency: int = 1,
         first_batch_id: int = 0,
         check_all_fields: bool = False,
+        isolate: int = 8,
     ):
         self.spark = spark
         self.streams = list(streams)
@@ -106,7 +116,7 @@ class TopicPipeline:
         self.contracts = {t: c for t, c in contracts.items() if t in used}
         self.root = root.rstrip("/")
         self.sizing, self.ansi, self.cache = sizing, ansi, cache
-        self.concurrency, self.first_batch_id = concurrency, first_batch_id
+        self.concurrency, self.first_batch_id, self.isolate = concurrency, first_batch_id, isolate
         self.schemas = check_streams(spark, self.streams, self.contracts, ansi)
         for name, schema in self.schemas.items():
             taken = set(schema.fieldNames()) & {*RESERVED, REASON, dead.ERROR}
@@ -168,39 +178,83 @@ class TopicPipeline:
             with ThreadPoolExecutor(self.concurrency) as pool:
                 work = inheritable_thread_target(self.spark)(store)
                 reports = list(pool.map(work, self.streams))
+        # one after the other: each gives its topic's view other rows while it looks
+        reports = [
+            self._without_failing_rows(batch, typed, stream, report) if report.error and not report.set_aside else report
+            for stream, report in zip(self.streams, reports)
+        ]
         records = {r.topic: r.records for r in counts}
         return BatchReport(batch_id, records, untyped, tuple(reports))
 
     def _store(self, batch: DataFrame, stream: StreamDef, batch_id: int) -> StreamReport:
-        result = batch.sparkSession.sql(statement(stream))
+        try:
+            return self._append(batch.sparkSession, stream, batch_id)
+        except (PySparkException, Py4JError) as error:
+            aside = self._set_aside(batch, stream, batch_id, str(error))
+            return StreamReport(stream.name, batch_id, error=str(error), set_aside=aside)
+
+    def _append(self, session: SparkSession, stream: StreamDef, batch_id: int) -> StreamReport:
+        """Store the statement's result over the views as they are."""
+        result = session.sql(statement(stream))
         seen = Observation()
         bad = dead.has_null_key(stream.key)
         counted = result.observe(
             seen, F.count("*").alias("rows"), F.count_if(bad).alias("null_key")
         )
-        try:
-            path = append_log(counted, self.root, stream.table, stream.name, batch_id)
-        except (PySparkException, Py4JError) as error:
-            self._set_aside(batch, result, stream, batch_id, str(error))
-            return StreamReport(stream.name, batch_id, error=str(error))
+        path = append_log(counted, self.root, stream.table, stream.name, batch_id)
         null_key = seen.get["null_key"]
         if null_key:
             # the log's readers pass these rows over
-            _, bad_rows = dead.split_by_key(batch.sparkSession.read.parquet(path), stream.key)
+            _, bad_rows = dead.split_by_key(session.read.parquet(path), stream.key)
             dead.write_rows(bad_rows, self.root, stream.name, batch_id)
         return StreamReport(stream.name, batch_id, seen.get["rows"] - null_key, null_key)
 
-    def _set_aside(
-        self, batch: DataFrame, result: DataFrame, stream: StreamDef, batch_id: int, error: str
-    ) -> None:
-        """Keep a failed stream's result rows or, if they do not evaluate, its topic rows."""
+    def _set_aside(self, batch: DataFrame, stream: StreamDef, batch_id: int, error: str) -> bool:
+        """Keep the result rows of a stream that cannot be stored; False if they do not evaluate."""
         try:
-            rows = dead.with_reason(result, dead.STORE_FAILED, error)
+            rows = dead.with_reason(batch.sparkSession.sql(statement(stream)), dead.STORE_FAILED, error)
             dead.write_rows(rows, self.root, stream.name, batch_id)
         except (PySparkException, Py4JError):
-            source = batch.filter(F.col("topic") == stream.topic)
-            rows = dead.with_reason(source, dead.TRANSFORM_FAILED, error)
-            dead.write_failed(rows, self.root, stream.name, batch_id)
+            return False
+        return True
+
+    def _without_failing_rows(
+        self, batch: DataFrame, typed: TypedBatch, stream: StreamDef, report: StreamReport
+    ) -> StreamReport:
+        """Store what a raising statement makes of the rows on which it does not raise.
+
+        The others, or all of the topic's rows if they cannot be told, go to the dead letter.
+        """
+        topic, session = stream.topic, batch.sparkSession
+        own = typed.frame.filter((F.col("topic") == topic) & F.col(REASON).isNull())
+
+        def over(condition: Column) -> None:
+            register_view(typed.over(own.filter(condition)).typed(topic, self._source_columns), topic)
+
+        def failure(condition: Column) -> str | None:
+            over(condition)
+            try:
+                session.sql(statement(stream)).write.format("noop").mode("overwrite").save()
+            except (PySparkException, Py4JError) as error:
+                return str(error)
+            return None
+
+        source = batch.filter(F.col("topic") == topic)
+        try:
+            found = find_failing(own, failure, self.isolate, report.error) if self.isolate else None
+            if found is not None:
+                over(~found.covers())
+                done = self._append(session, stream, report.batch_id)
+                lost = dead.with_reason(source.filter(found.covers()), dead.TRANSFORM_FAILED).withColumn(dead.ERROR, found.error())
+                dead.write_failed(lost, self.root, stream.name, report.batch_id)
+                return replace(done, error=report.error, isolated=found.rows)
+        except (PySparkException, Py4JError):
+            pass  # nothing is stored; all goes below
+        finally:
+            register_view(typed.typed(topic, self._source_columns), topic)
+        rows = dead.with_reason(source, dead.TRANSFORM_FAILED, report.error)
+        dead.write_failed(rows, self.root, stream.name, report.batch_id)
+        return replace(report, set_aside=True)
 
     # -- the stream --------------------------------------------------------
 

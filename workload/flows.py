@@ -725,6 +725,26 @@ def failing_stream_isolated(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).unionByName(kept.select("event_id", "user_id", F.lit("stored").alias("reason")))
 
 
+@flow(
+    """SELECT event_id, user_id, CASE WHEN event_id % 4999 = 88 THEN 'transform_failed' ELSE 'stored' END AS reason
+    FROM events WHERE event_type = 'click'"""
+)
+def dead_letter_bisected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The statement divides by zero on single rows; these are set aside, the topic's others stored."""
+    home = scratch(spark)
+    stream = StreamDef(
+        "shares", "click", "click_shares", "event_id",
+        "event_id, user_id, 1000 div (event_id % 4999 - 88) AS share", order_by="event_id",
+    )
+    work = TopicPipeline(spark, [stream], event_contracts(spark, "click"), home, ansi=True, isolate=64)
+    work.process(event_rows(spark, sf_dir).filter("topic = 'click'"), 0)
+    kept = work.table("click_shares").select("event_id", "user_id", F.lit("stored").alias("reason"))
+    lost = dead.read_failed(spark, home, "shares")
+    return kept.union(
+        lost.select(F.col("offset").alias("event_id"), F.col("key").cast("string").cast("bigint").alias("user_id"), F.col(REASON).alias("reason"))
+    )
+
+
 # -- replicate and produce ----------------------------------------------------
 
 
