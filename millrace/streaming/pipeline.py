@@ -236,7 +236,7 @@ class TopicPipeline:
             try:
                 session.sql(statement(stream)).write.format("noop").mode("overwrite").save()
             except (PySparkException, Py4JError) as error:
-                return str(error)
+                return str(error)[:2000]
             return None
 
         source = batch.filter(F.col("topic") == topic)
