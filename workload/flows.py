@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +37,7 @@ from millrace.operators.windows import Call, Frame, blocked_windows
 from millrace.plans.statements import register_view, statement
 from millrace.sources.paths import scratch
 from millrace.sources.registry import SNAPSHOT, contracts, matching_ids, struct_of
+from millrace.sources.zones import index_topic_files
 from millrace.streaming.inspection import decoded
 from workload.fixtures import (
     EVENT_SCHEMA_IDS,
@@ -321,6 +323,27 @@ def source_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch.typed("click").select(*columns).union(batch.typed("view").select(*columns))
 
 
+_FROM = datetime(2024, 1, 12, 6, 30, tzinfo=timezone.utc)
+
+
+@flow(
+    """SELECT event_id, event_type AS topic FROM events WHERE event_type IN ('click', 'error')
+        AND NOT (event_type = 'click' AND (user_id % 4 = 0 AND event_id < 300 OR user_id % 4 = 1 AND event_id < 700))
+    UNION ALL SELECT event_id, event_type FROM (SELECT *, min(event_id) FILTER (WHERE ts >= TIMESTAMP '2024-01-12 06:30:00')
+        OVER (PARTITION BY user_id % 4) AS first_id FROM events WHERE event_type = 'view') WHERE event_id >= first_id"""
+)
+def source_start_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some topics from offsets on, one from a time; the map of the files leaves out those before."""
+    home = scratch(spark)
+    for part in _slices(spark, event_rows(spark, sf_dir), 4):
+        write_topic_files(part, home)
+        index_topic_files(spark, home)
+    by_offset = ReplaySource(home, ("click", "error"), start={"click": {0: 300, 1: 700}})
+    by_time = ReplaySource(home, ("view",), start=_FROM)
+    found = read_topics(spark, by_offset).union(read_topics(spark, by_time))
+    return found.select(F.col("offset").alias("event_id"), "topic")
+
+
 @flow(
     """SELECT source, count(*) AS n, CAST(sum(event_id) AS bigint) AS ids, max(ts) AS last_ts
     FROM events, (VALUES ('csv'), ('json'), ('orc'), ('parquet')) AS v(source) GROUP BY source"""
