@@ -27,8 +27,8 @@ from pyspark.sql import types as T
 
 from millrace.llm.arrow import with_text_columns
 
-#: Pieces whose totals a worker remembers, and token pairs; beyond, it starts anew.
-KEPT_PIECES, KEPT_PAIRS = 400_000, 1_000_000
+#: Pieces whose totals a worker remembers, and token pairs; beyond, it starts anew. Longer pieces are counted each time.
+KEPT_PIECES, KEPT_PAIRS, KEPT_LENGTH = 400_000, 1_000_000, 64
 
 #: The byte-level pre-tokenizer's pattern, with white space spelt out.
 _BLANK = "".join(
@@ -116,9 +116,11 @@ class PrefixCounter:
         return counts
 
     def _total(self, piece: str) -> int:
-        if len(self._totals) >= KEPT_PIECES:
-            self._totals.clear()
-        found = self._totals[piece] = self.table(piece)[-1]
+        found = self.table(piece)[-1]
+        if len(piece) <= KEPT_LENGTH:
+            if len(self._totals) >= KEPT_PIECES:
+                self._totals.clear()
+            self._totals[piece] = found
         return found
 
     def _parts(self, text: str) -> Iterator[tuple[str, bool]]:
@@ -156,26 +158,40 @@ class PrefixCounter:
     def counts(self, text: str) -> np.ndarray:
         """Token counts of the prefixes of 0, 1, ... characters, as if each were the whole text."""
         pieces, totals, special = self._totals_of(text)
-        found = np.zeros(len(text) + 1, np.int32)
-        at = done = 0
-        run_at = run_done = 0
-        for piece, total, whole in zip(pieces, totals, special):
+        return self._counts_in(text, pieces, totals, special, 0, len(pieces), 0, 0)
+
+    def _counts_in(
+        self, text: str, pieces: list[str], totals: list[int], special: list[bool], low: int, high: int, at: int, done: int
+    ) -> np.ndarray:
+        """The table's entries from position ``at`` to the end of some pieces, the first of which begins there.
+
+        ``done`` is the entry at ``at``. A run of white space has to begin with the first piece or after it.
+        """
+        base, some = at, slice(low, high)
+        found = np.zeros(sum(map(len, pieces[some])) + 1, np.int64)
+        found[0] = done
+        run_at, run_done = at, done
+        before = (at - len(pieces[low - 1]), done - totals[low - 1]) if low else (at, done)
+        for piece, total, whole in zip(pieces[some], totals[some], special[some]):
+            own = found[at - base :]
             if whole:
                 # cut, a special token is ordinary text that may join the piece before it
-                found[at + 1 : at + len(piece)] = [
-                    self.total(text[: at + k]) for k in range(1, len(piece))
-                ]
+                start, start_done = before
+                for k in range(1, len(piece)):
+                    own[k] = start_done + self.total(text[start : at + k])
                 run_at, run_done = at + len(piece), done + total
             else:
-                found[at + 1 : at + 1 + len(piece)] = np.add(self._inside(piece), done)
+                own[1 : 1 + len(piece)] = np.add(self._inside(piece), done)
                 blanks = len(piece) - len(piece.lstrip(_BLANK))
                 if blanks:  # at a text's end, all white space up to there is one piece
                     run = text[run_at : at + blanks]
-                    found[run_at + 1 : at + blanks + 1] = np.add(self._inside(run), run_done)
-                if piece.strip(_BLANK):
+                    found[run_at - base + 1 : at - base + blanks + 1] = np.add(self._inside(run), run_done)
+                if blanks < len(piece):
                     run_at, run_done = at + len(piece), done + total
+            before = (at, done)
             at, done = at + len(piece), done + total
-            found[at] = done if piece.strip(_BLANK) or whole else found[at]
+            if whole or piece.strip(_BLANK):
+                found[at - base] = done
         return found
 
     def total(self, text: str) -> int:
@@ -183,26 +199,28 @@ class PrefixCounter:
         return sum(self._totals_of(text)[1])
 
     def total_and_fit(self, text: str, limit: int) -> tuple[int, int]:
-        """The last entry, and the length of the longest prefix of at most ``limit`` tokens."""
-        pieces, totals, _ = self._totals_of(text)
+        """The last entry, and the length of the longest prefix of at most ``limit`` tokens.
+
+        Both are look-ups: the sum of the pieces' last entries says which piece the limit falls
+        in, and the table's entries there which prefix fits.
+        """
+        pieces, totals, special = self._totals_of(text)
         total = sum(totals)
         if total <= limit:
             return total, len(text)
-        # A piece that begins with more than the limit used up has no prefix that fits,
-        # save that white space cut off at its end may take fewer tokens than before a word.
+        # A piece that begins with more than the limit used up has no prefix that fits, save
+        # that white space at the end is one piece, and that a cut special token joins its neighbour.
+        blank = lambda n: not special[n] and not pieces[n].strip(_BLANK)
         after = list(accumulate(totals))
-        over = bisect_right(after, limit)
-        starts = list(accumulate(map(len, pieces[: over + 1]), initial=0))
-        high = starts[-1]
-        while high < len(text) and text[high] in _BLANK:
+        low = over = bisect_right(after, limit)
+        while low and blank(low - 1):
+            low -= 1
+        high = over + 1
+        while high < len(pieces) and (blank(high - 1) or special[high]):
             high += 1
-        first = max(0, over - 2)
-        while first and (text[starts[first] - 1] in _BLANK or text[starts[first]] in _BLANK):
-            first -= 1
-        low, used = starts[first], after[first - 1] if first else 0
-        while high > low and used + self.total(text[low:high]) > limit:
-            high -= 1
-        return total, high
+        at = sum(map(len, pieces[:low]))
+        entries = self._counts_in(text, pieces, totals, special, low, high, at, after[low - 1] if low else 0)
+        return total, at + int(np.flatnonzero(entries <= limit)[-1])
 
 
 @lru_cache(maxsize=2)

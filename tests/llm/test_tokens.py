@@ -1,5 +1,7 @@
 """Prefix tables against the library, prefix by prefix."""
 
+import time
+
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -39,6 +41,25 @@ def test_any_text(text):
     assert COUNTER.total(text) == _library(text)
 
 
+@pytest.mark.parametrize("unit", ["a", "ab", "é", "=", " ", "\n", "7", "漢", "xyzzy"])
+def test_long_runs_without_a_break(unit):
+    """One piece of a megabyte is counted once, and its prefix looked up."""
+    text = unit * ((1 << 20) // len(unit.encode()))
+    begun = time.process_time()
+    total, fit = COUNTER.total_and_fit(text, 1024)
+    assert time.process_time() - begun < 60 and len(COUNTER._totals) < 100_000
+    assert _library(text[:fit]) <= 1024 < _library(text[: fit + 1])
+    assert total == _library(text)
+
+
+@pytest.mark.parametrize("text", ["word " * 9 + "x" * 3000, "." * 900 + "<|endoftext|>" * 40, " " * 700 + "<|endoftext|> tail", "a  \n" * 300])
+def test_limits_inside_runs(text):
+    counts = COUNTER.counts(text)
+    assert list(counts[:: max(1, len(text) // 60)]) == [_library(text[:n]) for n in range(0, len(text) + 1, max(1, len(text) // 60))]
+    for limit in (0, 1, 5, 11, 40, 200):
+        assert COUNTER.total_and_fit(text, limit) == (counts[-1], max(n for n, c in enumerate(counts) if c <= limit))
+
+
 def test_queries_of_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(40)
     counted = token_totals(docs, PATH, 50)
