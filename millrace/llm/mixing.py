@@ -1,8 +1,9 @@
 """Mixing sources to target weights: whole repetitions plus one drawn copy.
 
 All steps are DataFrame functions. What leaves the documents is one row per
-source; it is written out, so that the planner broadcasts it only where it is
-small, and otherwise joins with skew splitting.
+source, and the few largest documents of each, on which a source's words hang: these
+are drawn systematically, each with the same probability as all others, so that
+as many of them are taken as the rate says. The others are drawn by their own hashes.
 """
 
 from __future__ import annotations
@@ -14,7 +15,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.store import stored
+from millrace.operators.windows import By, Call, Frame, blocked_windows
 
+#: Documents of each source that are drawn systematically, the largest ones.
+LARGEST = 128
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -40,42 +44,60 @@ def source_targets(
     weight among the others, until none is above. All is a running sum over
     sources in the order in which they reach their limit: those before the
     first one within its share are at the limit. No size at all gives targets 0.
-    The windows see one row per source, and stream.
+    However many sources there are, they are ordered in blocks; one row comes to the driver.
     """
     scale = math.lcm(*weights)
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    rank = F.row_number().over(by_name) - 1
-    weight = F.array(*map(F.lit, weights))[(rank % len(weights)).cast("int")].cast("long")
-    full = Window.orderBy("reach", F.col("source").asc_nulls_last())
-    before = full.rowsBetween(Window.unboundedPreceding, -1)
-    every = full.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    limit = F.col("source_size") * repeat_limit
-    left = F.sum("source_size").over(every) - F.coalesce(F.sum("limit").over(before), F.lit(0))
-    shares = F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(before), F.lit(0))
+    last = [By("source", nulls_last=True)]
+    ranked = blocked_windows(sizes.select("source", "source_size"), [], last, {"rank": Call("row_number")})
+    weight = F.array(*map(F.lit, weights))[((F.col("rank") - 1) % len(weights)).cast("int")].cast("long")
     stepped = (
-        sizes.select("source", "source_size", weight.alias("weight"))
-        .withColumn("limit", limit)
+        ranked.withColumn("weight", weight)
+        .withColumn("limit", F.col("source_size") * repeat_limit)
         .withColumn("reach", F.col("source_size") * (F.lit(scale) / F.col("weight")).cast("long"))
-        .withColumns({"left": left, "shares": shares})
-        .withColumn("above", F.col("weight") * F.col("left") > F.col("limit") * F.col("shares"))
     )
-    first = F.min(F.when(~F.col("above"), F.struct("reach", "source", "left", "shares"))).over(every)
-    return stepped.withColumn("first", first).select(
+    before = Frame(None, -1, rows=True)
+    sums = {"used": Call("sum", "limit", frame=before), "used_weight": Call("sum", "weight", frame=before)}
+    stepped = stored(blocked_windows(stepped, [], [By("reach"), *last], sums))
+    whole = stepped.agg(F.sum("source_size").alias("size"), F.sum("weight").alias("weight")).first()
+    left = F.lit(whole["size"]).cast("long") - F.coalesce("used", F.lit(0))
+    shares = F.lit(whole["weight"]).cast("long") - F.coalesce("used_weight", F.lit(0))
+    judged = stepped.withColumns({"left": left, "shares": shares}).withColumn(
+        "above", F.col("weight") * F.col("left") > F.col("limit") * F.col("shares")
+    )
+    place = F.struct("reach", F.col("source").isNull().alias("none"), "source")
+    first = judged.where(~F.col("above")).agg(F.min_by(F.struct("left", "shares"), place).alias("first")).first()["first"]
+    rest = (F.lit(None), F.lit(None)) if first is None else (F.lit(first["left"]), F.lit(first["shares"]))
+    return judged.select(
         "source",
         "source_size",
         F.when(F.col("above"), F.col("limit").cast("double"))
-        .otherwise(
-            (F.col("weight") * F.col("first.left")).cast("double")
-            / F.col("first.shares").cast("double")
-        )
+        .otherwise((F.col("weight") * rest[0].cast("long")).cast("double") / rest[1].cast("double"))
         .alias("target"),
     )
 
 
-def copies_taken(rate: Column, key: Column, seed: str) -> Column:
-    """floor(rate), and one more with the probability of the fraction; a null rate takes none."""
+def _largest(measured: DataFrame, seed: str) -> DataFrame:
+    """``source, key, nth``: the largest documents of each source by size, ties by their draw.
+
+    Rows of one key and source stand where the first of them does.
+    """
+    order = Window.partitionBy("source").orderBy(F.col("size").desc(), draw(F.col("key"), seed), "key")
+    few = measured.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= LARGEST)
+    return few.groupBy("source", "key").agg(F.min("nth").alias("nth"))
+
+
+def copies_taken(rate: Column, key: Column, seed: str, nth: Column, source: Column) -> Column:
+    """floor(rate), and one more with the probability of the fraction; a null rate takes none.
+
+    The ``nth`` of the largest documents takes one more where the running sum of the fraction,
+    from a start that the source's hash gives, passes a whole number; the others where their
+    own hash is below the fraction.
+    """
     whole = F.floor(rate)
-    more = (draw(key, seed) < rate - whole).cast("long")
+    part = rate - whole
+    start = draw(F.concat(F.lit("start:"), F.coalesce(source, F.lit(""))), seed)
+    passes = F.floor(nth * part + start) > F.floor((nth - 1) * part + start)
+    more = F.coalesce(passes, draw(key, seed) < part).cast("long")
     return F.coalesce(whole + more, F.lit(0)).cast("long")
 
 
@@ -98,32 +120,37 @@ def mix_counts(
     rows are documents of their own with the same draw; a null id draws by the
     text. An empty table gives an empty one. Other columns are not read.
     """
-    size = word_count(F.col(text))
-    measured = stored(
+    measured = _measured(documents, identity, text, source)
+    targets = _targets(measured, weights, repeat_limit)
+    largest = stored(_largest(measured, seed))
+    rate = F.expr("try_divide(target, source_size)")
+    d, t, g = measured.alias("d"), targets.alias("t"), largest.alias("g")
+    same = F.col("d.source").eqNullSafe(F.col("g.source")) & (F.col("d.key") == F.col("g.key"))
+    copies = copies_taken(F.col("rate"), F.col("d.key"), seed, F.col("nth"), F.col("d.source"))
+    return (
+        d.join(t, F.col("d.source").eqNullSafe(F.col("t.source")))
+        .join(g, same, "left")
+        .withColumn("rate", rate)
+        .select("doc_id", "size", "source_size", "target", copies.alias("copies"))
+        .select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
+    )
+
+
+def _measured(documents: DataFrame, identity: str, text: str, source: str) -> DataFrame:
+    """One narrow row per document."""
+    return stored(
         documents.select(
             F.col(identity).alias("doc_id"),
             F.col(source).cast("string").alias("source"),
-            size.alias("size"),
+            word_count(F.col(text)).alias("size"),
             _key(identity, text).alias("key"),
         )
     )
+
+
+def _targets(measured: DataFrame, weights: Sequence[int], repeat_limit: int) -> DataFrame:
     sizes = measured.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = stored(source_targets(sizes, weights, repeat_limit))
-    rate = F.expr("try_divide(target, source_size)")
-    return (
-        measured.alias("d")
-        .join(targets.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source")))
-        .select("doc_id", "size", "source_size", "target", "key", rate.alias("rate"))
-        .withColumn("copies", copies_taken(F.col("rate"), F.col("key"), seed))
-        .select(
-            "doc_id",
-            "size",
-            "source_size",
-            "target",
-            (F.col("size") * F.col("copies")).alias("taken"),
-            "copies",
-        )
-    )
+    return stored(source_targets(sizes, weights, repeat_limit))
 
 
 def mix(
@@ -139,16 +166,17 @@ def mix(
 
     Cases as in ``mix_counts``; a source without words is not taken at all.
     """
-    sizes = documents.groupBy(F.col(source).cast("string").alias("source")).agg(
-        F.coalesce(F.sum(word_count(F.col(text))), F.lit(0)).alias("source_size")
-    )
-    targets = stored(source_targets(sizes, weights, repeat_limit)).select(
+    measured = _measured(documents, identity, text, source)
+    targets = _targets(measured, weights, repeat_limit).select(
         F.col("source").alias("__mix_source"),
         F.expr("try_divide(target, source_size)").alias("__mix_rate"),
     )
-    copies = copies_taken(F.col("__mix_rate"), _key(identity, text), seed)
+    largest = stored(_largest(measured, seed)).toDF("__mix_of", "__mix_key", "__mix_nth")
+    own, key = F.col(source).cast("string"), _key(identity, text)
+    copies = copies_taken(F.col("__mix_rate"), key, seed, F.col("__mix_nth"), own)
     return (
-        documents.join(targets, F.col(source).cast("string").eqNullSafe(F.col("__mix_source")))
+        documents.join(targets, own.eqNullSafe(F.col("__mix_source")))
+        .join(largest, own.eqNullSafe(F.col("__mix_of")) & (key == F.col("__mix_key")), "left")
         .withColumn("__mix_copy", F.explode(F.array_repeat(F.lit(0), copies.cast("int"))))
-        .drop("__mix_source", "__mix_rate", "__mix_copy")
+        .drop("__mix_source", "__mix_rate", "__mix_of", "__mix_key", "__mix_nth", "__mix_copy")
     )

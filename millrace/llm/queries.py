@@ -10,7 +10,7 @@ from millrace.llm.clusters import cluster
 from millrace.llm.decontamination import contaminated
 from millrace.llm.extraction import extract_text
 from millrace.llm.lines import drop_boilerplate
-from millrace.llm.mixing import mix_counts
+from millrace.llm.mixing import LARGEST, mix_counts
 from millrace.llm.neardup import NearDup, near_duplicates
 from millrace.llm.neighbours import Scan, nearest_neighbours
 from millrace.llm.prefixes import prefix_trie
@@ -191,13 +191,21 @@ sized AS (
          CASE WHEN above THEN CAST({MIX_LIMIT} * source_size AS DOUBLE)
               ELSE CAST(w * left_size AS DOUBLE) / CAST(left_w AS DOUBLE) END AS target
   FROM marked, rest
-), rated AS (
+), drawn AS (
   SELECT s.*, t.source_size, t.target,
          CASE WHEN t.source_size = 0 THEN 0 ELSE t.target / CAST(t.source_size AS DOUBLE) END AS rate,
-         CAST('0x' || substr(md5('{MIX_SEED}:' || draw_key), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS u
+         CAST('0x' || substr(md5('{MIX_SEED}:' || draw_key), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS u,
+         CAST('0x' || substr(md5('{MIX_SEED}:start:' || coalesce(s.source, '')), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS v
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+), placed AS (
+  SELECT *, rate - floor(rate) AS part, row_number() OVER (PARTITION BY source ORDER BY size DESC, u, draw_key) AS own
+  FROM drawn
+), rated AS (
+  SELECT *, min(own) OVER (PARTITION BY source, draw_key) AS nth FROM placed
 ), mixed AS (
-  SELECT *, CAST(floor(rate) AS BIGINT) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END AS copies FROM rated
+  SELECT *, CAST(floor(rate) AS BIGINT) + CASE WHEN
+    CASE WHEN nth <= {LARGEST} THEN floor(nth * part + v) > floor((nth - 1) * part + v) ELSE u < part END
+    THEN 1 ELSE 0 END AS copies FROM rated
 )"""
 
 
@@ -429,7 +437,8 @@ WITH crc AS (
 ), children AS (SELECT p[1:d - 1] AS p, count(*) AS children FROM nodes WHERE d > 0 GROUP BY 1
 ), weighed AS (
   SELECT n.*, coalesce(k.children, 0) AS children,
-         CASE WHEN d = 0 THEN 0 ELSE (n - 1) * len(regexp_extract_all(p[d].text, '[^ 	-]+')) END AS saved
+         CASE WHEN d = 0 THEN 0 ELSE (n - 1) * len(regexp_extract_all(p[d].text, '[^ 	-
+]+')) END AS saved
   FROM nodes n LEFT JOIN children k USING (p)
 ), sums AS (
   SELECT p[1:k] AS p, count(*) FILTER (WHERE children = 0) AS leaves, sum(saved) AS saved

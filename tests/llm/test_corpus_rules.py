@@ -1,5 +1,6 @@
 """Quality measures, toxicity, mixing, lines, URL rules and revisits against plain versions."""
 
+import math
 import random
 import re
 from collections import Counter
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import lines as L
 from millrace.llm import toxicity as X
-from millrace.llm.mixing import mix, mix_counts, source_targets
+from millrace.llm.mixing import copies_taken, mix, mix_counts, source_targets
 from millrace.llm.quality import Rule, binomial_tail, certified_cutoffs, text_measures
 from millrace.llm.urls import UrlRule, judge_urls, rule_index
 from millrace.llm.warc import latest_earlier, resolve_revisits
@@ -133,6 +134,45 @@ def test_targets_are_those_of_sharing_again(spark):
         assert found == pytest.approx(_targets(sizes, (5, 2, 1), 3))
 
 
+def test_many_sources_and_ties(spark):
+    draw = random.Random(8)
+    sizes = {f"s{k:03d}": draw.choice([0, 5, 5, 40, 1000]) for k in range(120)} | {None: 7}
+    frame = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+    found = {r.source: r.target for r in source_targets(frame, (5, 2, 1), 3).collect()}
+    assert found == pytest.approx(_targets(sizes, (5, 2, 1), 3))
+    none = spark.createDataFrame([], "source string, source_size long")
+    assert source_targets(none).collect() == []
+
+
+def test_taken_words_come_near_the_targets(spark):
+    """Within 5 % or one document of the target, with the same chance for all."""
+    draw = random.Random(5)
+    rows = [(k, f"s{k % 6}", "w " * int(draw.paretovariate(0.9) * 10 % 5000)) for k in range(1500)]
+    frame = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    found = {}
+    for r in mix_counts(frame).collect():
+        source = rows[r.doc_id][1]
+        taken, target, largest = found.get(source, (0, 0, 0))
+        found[source] = (taken + r.taken, r.target, max(largest, r["size"]))
+        assert math.floor(r.target / r.source_size) <= r.copies <= math.ceil(r.target / r.source_size) <= 3
+    for taken, target, largest in found.values():
+        assert abs(taken - target) <= max(0.05 * target, largest)
+    again = {r.doc_id: r.copies for r in mix_counts(frame.repartition(7)).collect()}
+    assert again == {r.doc_id: r.copies for r in mix_counts(frame).collect()}
+
+
+def test_a_copy_is_drawn_with_the_probability_of_the_fraction(spark):
+    """At each place and beyond the largest, sources take a copy as often as the fraction says; in all, each near it."""
+    frame = spark.range(600).select(F.col("id").cast("string").alias("source"), F.explode(F.sequence(F.lit(1), F.lit(24))).alias("at"))
+    key = F.concat("source", F.lit("-"), "at")
+    nth = F.when(F.col("at") <= 20, F.col("at"))
+    made = frame.withColumn("copies", copies_taken(F.lit(1.3), key, "mix-1", nth, F.col("source")))
+    for row in made.groupBy("at").agg(F.avg("copies").alias("mean")).collect():
+        assert row["mean"] == pytest.approx(1.3, abs=0.08)
+    for row in made.where("at <= 20").groupBy("source").agg(F.sum("copies").alias("taken")).collect():
+        assert abs(row.taken - 26) <= 1
+
+
 def test_mix_emits_what_it_counts(spark, sf_dir):
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     counts = {r.doc_id: r.copies for r in mix_counts(documents).collect()}
