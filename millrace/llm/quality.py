@@ -1,12 +1,16 @@
 """Quality rules whose cutoffs carry a guarantee: few good documents are rejected, in every stratum.
 
-Labelled rows are the holdout. For each stratum, rule and candidate cutoff they
-give n good documents of which k are rejected. The exact binomial (Clopper-Pearson)
-upper bound of the rejection rate is below ``risk / rules`` at the level
-``delta / (strata * rules * cutoffs)`` exactly if P(X <= k) for X ~ Bin(n, risk / rules)
-is at most that level. Bonferroni over all tests, and the union of the rules, give: with
+Labelled texts are the holdout, each distinct one once, as copies are no trials of their own.
+A policy is a set of cutoffs. Policies are tested along fixed paths, each from nothing
+rejected on: a rule's cutoffs from lax to strict, then the next rule's on top of them. A
+path begins with each rule in turn. For a policy that rejects k of a stratum's n good texts
+the exact binomial (Clopper-Pearson) upper bound of its rejection rate is below ``risk`` at a
+level exactly if P(X <= k) for X ~ Bin(n, risk) is at most that level. Along a path every
+policy up to the first that fails its test is certified at ``delta / (strata * paths)``
+(fixed-sequence testing), and Bonferroni over strata and paths gives: with
 probability 1 - delta, in no stratum more than ``risk`` of the good documents
-are rejected. Only DataFrame functions are used.
+are rejected by the policy chosen among all that are certified. Only DataFrame
+functions are used.
 """
 
 from __future__ import annotations
@@ -15,7 +19,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.store import stored
@@ -32,13 +36,13 @@ class Rule:
     cutoffs: tuple[float, ...]
 
 
-#: Shares of symbols a word character, repeated words and lines, and the length of words.
+#: Shares of symbols a word character, and so on, in the order in which paths go through them.
 RULES = (
     Rule("symbols", "n_symbols / greatest(word_chars, 1)", (0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4)),
-    Rule("repeated_words", "n_repeat_words / greatest(n_words, 1)", (0.02, 0.05, 0.1, 0.15, 0.2)),
-    Rule("repeated_lines", "n_dup_lines / greatest(n_lines, 1)", (0.05, 0.1, 0.2, 0.3, 0.5)),
-    Rule("upper_case", "n_upper / greatest(word_chars, 1)", (0.1, 0.2, 0.3, 0.5, 0.7)),
     Rule("word_length", "word_chars / greatest(n_words, 1)", (8.0, 10.0, 12.0, 16.0, 24.0)),
+    Rule("upper_case", "n_upper / greatest(word_chars, 1)", (0.1, 0.2, 0.3, 0.5, 0.7)),
+    Rule("repeated_lines", "n_dup_lines / greatest(n_lines, 1)", (0.05, 0.1, 0.2, 0.3, 0.5)),
+    Rule("repeated_words", "n_repeat_words / greatest(n_words, 1)", (0.02, 0.05, 0.1, 0.15, 0.2)),
 )
 
 
@@ -58,7 +62,8 @@ def text_measures(documents: DataFrame, text: str = "text") -> DataFrame:
     Null and empty texts have zeros. A repeated word lies in a window of five
     words that the text has twice or more. Windows are compared by 64-bit
     hashes inside the row; only rows with an equal pair are looked at further.
-    Columns of the same names are replaced.
+    Columns of the same names are replaced. Store the result before filtering on these
+    columns: the optimizer would copy their nested expressions into the filter.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(body, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
@@ -144,55 +149,76 @@ def binomial_tail(k: Column, n: Column, rate: float) -> Column:
     return F.when(kd > nd * rate, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.exp(log_term) * total))
 
 
-def _strict(rules: Sequence[Rule]) -> Column:
-    """All pairs of rule and cutoff that reject a row, as an array."""
-    pairs = [
-        F.when(
-            F.expr(rule.measure) > F.lit(float(cutoff)),
-            F.struct(F.lit(rule.name).alias("rule"), F.lit(float(cutoff)).alias("cutoff")),
-        )
-        for rule in rules
-        for cutoff in rule.cutoffs
+def _paths(rules: Sequence[Rule]) -> list[list[tuple[Rule, float]]]:
+    """For each rule a path that begins with it: the rules in turn, each from its laxest cutoff on."""
+    turned = [[*rules[k:], *rules[:k]] for k in range(len(rules))]
+    return [[(r, c) for r in path for c in sorted(r.cutoffs, reverse=True)] for path in turned]
+
+
+def _first_step(path: Sequence[tuple[Rule, float]]) -> Column:
+    """The step of a path from which on its policies reject a row; null if none does."""
+    steps = [
+        F.when(F.expr(rule.measure) > F.lit(float(cutoff)), F.lit(step))
+        for step, (rule, cutoff) in enumerate(path, start=1)
     ]
-    return F.array_compact(F.array(*pairs))
+    return F.array_min(F.array_compact(F.array(*steps)))
 
 
-def certified_cutoffs(
+def _policies(paths: Sequence[Sequence[tuple[Rule, float]]]) -> Column:
+    """The cutoffs of the policy at ``path, step``, as a map by rule's name."""
+    maps = []
+    for path in paths:
+        for step in range(1, len(path) + 1):
+            strictest = {rule.name: cutoff for rule, cutoff in path[:step]}
+            maps.append(f"map({', '.join(f"'{n}', {float(c)!r}D" for n, c in strictest.items())})")
+    steps = len(paths[0])
+    return F.element_at(F.expr(f"array({', '.join(maps)})"), (F.col("path") * steps + F.col("step")).cast("int"))
+
+
+def certified_policies(
     holdout: DataFrame, rules: Sequence[Rule] = RULES, risk: float = 0.05, delta: float = 0.05
 ) -> DataFrame:
-    """``stratum, rule, cutoff`` and the figures they rest on: at most one row a stratum and rule.
-
-    ``holdout`` has ``stratum``, ``good`` (boolean) and the measures. Of the
-    cutoffs that are certified, the one is taken that gains most (bad rows
-    rejected less good rows rejected), and the laxest of equals; a rule that
-    gains nothing is not used. Rows without a label do not count; a stratum
-    with too few good rows has no cutoff. Counts are made before the shuffle,
-    and only (strata * rules * cutoffs) rows come out of it.
+    """``stratum, cutoffs`` (by rule) and the figures they rest on: at most one row a stratum.
+
+    ``holdout`` has ``stratum``, ``good`` (boolean), the measures, and one row per text. Of the
+    certified policies the one is taken that gains most (bad rows rejected less good rows
+    rejected), of equals the first of a path and the first path. A policy that gains nothing is not used. Rows
+    without a label do not count; a stratum with too few good rows has no
+    policy. Counts are made before the shuffle, and only strata times paths times steps rows come out of it.
     """
-    every = F.struct(F.lit(None).cast("string").alias("rule"), F.lit(None).cast("double").alias("cutoff"))
+    paths = _paths(rules)
+    steps = len(paths[0])
+    first = F.array(*[F.struct(F.lit(n).alias("path"), F.coalesce(_first_step(p), F.lit(steps + 1)).alias("step")) for n, p in enumerate(paths)])
     counts = stored(
         holdout.where(F.col("good").isNotNull())
-        .select("stratum", "good", F.explode(F.array_append(_strict(rules), every)).alias("at"))
-        .groupBy("stratum", "at.rule", "at.cutoff")
-        .agg(F.count_if("good").alias("k"), F.count_if(~F.col("good")).alias("bad"))
-    )
-    sizes = counts.where(F.col("rule").isNull()).select("stratum", F.col("k").alias("n"))
-    tests = sizes.count() * sum(len(r.cutoffs) for r in rules)
-    return (
-        counts.where(F.col("rule").isNotNull())
-        .alias("r")
-        .join(sizes.alias("s"), F.col("r.stratum").eqNullSafe(F.col("s.stratum")))
-        .withColumn("tail", binomial_tail(F.col("k"), F.col("n"), risk / len(rules)))
-        .where(F.col("tail") * tests <= delta)
-        .where(F.col("bad") > F.col("k"))
-        .groupBy("r.stratum", "rule")
-        .agg(
-            F.max_by(
-                F.struct("cutoff", "k", "n", "bad", "tail"), F.struct(F.col("bad") - F.col("k"), "cutoff")
-            ).alias("best")
-        )
-        .select("stratum", "rule", "best.*")
+        .select("stratum", "good", F.explode(first).alias("at"))
+        .groupBy("stratum", "at.path", "at.step")
+        .agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad"))
     )
+    strata = counts.select("stratum").distinct().count()
+    # a row for each step, also where no text is rejected there first
+    every = counts.groupBy("stratum", "path").agg(F.sum("good").alias("n")).withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(steps))))
+    same = F.col("c.stratum").eqNullSafe(F.col("e.stratum")) & (F.col("c.path") == F.col("e.path")) & (F.col("c.step") == F.col("e.step"))
+    upto = Window.partitionBy("e.stratum", "e.path").orderBy("e.step").rowsBetween(Window.unboundedPreceding, 0)
+    walked = every.alias("e").join(counts.alias("c"), same, "left").select(
+        "e.stratum", "e.path", "e.step", "n",
+        F.sum(F.coalesce("good", F.lit(0))).over(upto).alias("k"), F.sum(F.coalesce("bad", F.lit(0))).over(upto).alias("bad"),
+    )
+    walk = Window.partitionBy("stratum", "path").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
+    level = delta / max(strata * len(paths), 1)
+    tested = walked.withColumn("tail", F.when(F.col("n") > 0, binomial_tail(F.col("k"), F.col("n"), risk)).otherwise(1.0))
+    certified = tested.withColumn("worst", F.max("tail").over(walk)).where((F.col("worst") <= level) & (F.col("bad") > F.col("k")))
+    gain = F.struct(F.col("bad") - F.col("k"), -F.col("step"), -F.col("path"))
+    best = certified.groupBy("stratum").agg(F.max_by(F.struct("path", "step", "k", "n", "bad", "tail"), gain).alias("best"))
+    return best.select("stratum", "best.*").withColumn("cutoffs", _policies(paths))
+
+
+def certified_cutoffs(
+    holdout: DataFrame, rules: Sequence[Rule] = RULES, risk: float = 0.05, delta: float = 0.05
+) -> DataFrame:
+    """The certified policies with one row for each of their rules: ``stratum, rule, cutoff, k, n, bad, tail``."""
+    found = certified_policies(holdout, rules, risk, delta)
+    return found.select("stratum", F.explode("cutoffs").alias("rule", "cutoff"), "k", "n", "bad", "tail")
 
 
 def rejected_by(cutoffs: str, rules: Sequence[Rule] = RULES) -> Column:
@@ -217,22 +243,21 @@ def judge_quality(
 
     ``base_failed``: fewer than 10 words, or over a fifth of them repeated; such
     rows take no part in the holdout, as no cutoff decides them. ``labels`` has
-    ``quality`` (1 good, 0 bad, null unknown) by id; of several labels of an id
-    the worst counts. Null is a stratum of its own. Null ids have no label.
+    ``quality`` (1 good, 0 bad, null unknown) by id; of several labels of an id, and of
+    the copies of a text in a stratum, the worst counts. Null is a stratum of its own. Null ids have no label.
     Repeated rows are judged alike, an empty table gives an empty one.
     """
     columns = [F.col(identity).alias("doc_id"), F.col(stratum).cast("string").alias("stratum")]
-    measured = stored(
-        text_measures(documents.select(*columns, F.col(text).alias("__text")), "__text").drop("__text")
-    ).withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
+    kept = documents.select(*columns, F.col(text).alias("__text"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("digest"))
+    measured = stored(text_measures(kept, "__text").drop("__text")).withColumn(
+        "base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    )
     marks = labels.groupBy(F.col(identity).alias("__id")).agg((F.min("quality") == 1).alias("good"))
-    holdout = measured.where(~F.col("base_failed")).join(marks, F.col("doc_id") == F.col("__id"))
-    found = certified_cutoffs(holdout, rules, risk, delta)
-    by_stratum = stored(
-        found.groupBy("stratum").agg(
-            F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs")
-        )
-    ).withColumnRenamed("stratum", "__stratum")
+    marked = measured.where(~F.col("base_failed")).join(marks, F.col("doc_id") == F.col("__id"))
+    measures = [c for c in measured.columns if c not in ("doc_id", "stratum", "digest", "base_failed")]
+    holdout = marked.groupBy("stratum", "digest").agg(F.bool_and("good").alias("good"), *[F.any_value(c).alias(c) for c in measures])
+    found = certified_policies(holdout, rules, risk, delta)
+    by_stratum = stored(found.select(F.col("stratum").alias("__stratum"), "cutoffs"))
     judged = measured.join(by_stratum, F.col("stratum").eqNullSafe(F.col("__stratum")), "left")
     return judged.withColumn("failed_rules", rejected_by("cutoffs", rules)).select(
         "doc_id",

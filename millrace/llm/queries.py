@@ -29,7 +29,7 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Measures and verdicts; cutoffs by language, at most 5 % of good documents lost in each."""
+    """Measures and verdicts; policies by language, at most 5 % of good documents lost in each."""
     judged = judge_quality(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
     return judged.select(
         "doc_id",
@@ -44,9 +44,12 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _op1_sql() -> str:
-    cutoffs = ", ".join(f"('{r.name}', {c}::DOUBLE)" for r in RULES for c in r.cutoffs)
-    measures = " ".join(f"WHEN '{r.name}' THEN {r.measure}" for r in RULES)
-    tests, risk = sum(len(r.cutoffs) for r in RULES), 0.05 / len(RULES)
+    paths = [[(r, c) for r in (*RULES[k:], *RULES[:k]) for c in sorted(r.cutoffs, reverse=True)] for k in range(len(RULES))]
+    steps = len(paths[0])
+    firsts = ", ".join(
+        f"CASE {' '.join(f'WHEN {r.measure} > {c}::DOUBLE THEN {step}' for step, (r, c) in enumerate(path, 1))} ELSE {steps + 1} END"
+        for path in paths
+    )
     return rf"""
 WITH texts AS (
   SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t FROM documents
@@ -62,7 +65,7 @@ WITH texts AS (
 ), repeated AS (
   SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 5)) AS p FROM twice) GROUP BY r
 ), measured AS (
-  SELECT c.r, doc_id, lang, CAST(len(words) AS BIGINT) AS n_words,
+  SELECT c.r, doc_id, lang, t, CAST(len(words) AS BIGINT) AS n_words,
          CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
          CAST(length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
          CAST(length(regexp_replace(t, '[^A-Z]+', '', 'g')) AS BIGINT) AS n_upper,
@@ -75,25 +78,28 @@ WITH texts AS (
 ), marks AS (
   SELECT doc_id, min(quality) = 1 AS good FROM labels GROUP BY doc_id
 ), holdout AS (
-  SELECT * FROM based JOIN marks USING (doc_id) WHERE NOT base_failed AND good IS NOT NULL
-), cutoffs(rule, cutoff) AS (VALUES {cutoffs}
+  SELECT lang, md5(t) AS digest, bool_and(good) AS good, any_value(columns(b.* EXCLUDE (r, doc_id, lang, t, base_failed)))
+  FROM based b JOIN marks USING (doc_id) WHERE NOT base_failed GROUP BY lang, md5(t)
 ), tried AS (
-  SELECT h.lang, rule, cutoff, good, CASE rule {measures} END > cutoff AS gone FROM holdout h, cutoffs
+  SELECT lang, good, unnest(range(0, {len(paths)})) AS path, unnest([{firsts}]) AS first FROM holdout WHERE good IS NOT NULL
+), strata AS (SELECT count(DISTINCT coalesce(lang, '?null')) AS strata FROM tried
 ), counts AS (
-  SELECT lang, rule, cutoff, count(*) FILTER (WHERE good) AS n, count(*) FILTER (WHERE good AND gone) AS k,
-         count(*) FILTER (WHERE NOT good AND gone) AS bad FROM tried GROUP BY ALL
-), strata AS (SELECT count(DISTINCT coalesce(lang, '?null')) AS strata FROM holdout
+  SELECT lang, path, step, count(*) FILTER (WHERE good) AS n, count(*) FILTER (WHERE good AND first <= step) AS k,
+         count(*) FILTER (WHERE NOT good AND first <= step) AS bad
+  FROM tried, range(1, {steps + 1}) t(step) GROUP BY ALL
 ), tails AS (
-  SELECT *, CASE WHEN k > n * {risk} THEN 1 ELSE
+  SELECT *, CASE WHEN n = 0 OR k > n * 0.05::DOUBLE THEN 1 ELSE
     list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
-             + i * ln({risk}) + (n - i) * ln(1 - {risk})))) END AS tail
-  FROM counts WHERE bad > k
+             + i * ln(0.05::DOUBLE) + (n - i) * ln(1 - 0.05::DOUBLE)))) END AS tail
+  FROM counts
+), walked AS (
+  SELECT *, max(tail) OVER (PARTITION BY lang, path ORDER BY step) AS worst FROM tails
 ), chosen AS (
-  SELECT lang, rule, arg_max(cutoff, struct_pack(gain := bad - k, cutoff := cutoff)) AS cutoff
-  FROM tails, strata WHERE tail * strata * {tests} <= 0.05 GROUP BY lang, rule
+  SELECT lang, arg_max(struct_pack(path := path, step := step), struct_pack(g := bad - k, s := -step, p := -path)) AS best
+  FROM walked, strata WHERE worst <= 0.05 / (strata * {len(paths)}) AND bad > k GROUP BY lang
 ), failed AS (
-  SELECT DISTINCT b.r FROM based b JOIN chosen c ON b.lang IS NOT DISTINCT FROM c.lang
-  WHERE CASE c.rule {measures} END > c.cutoff
+  SELECT b.r FROM based b JOIN chosen c ON b.lang IS NOT DISTINCT FROM c.lang
+  WHERE [{firsts}][c.best.path + 1] <= c.best.step
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND f.r IS NULL AS kept

@@ -9,10 +9,12 @@ from math import comb
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import TESTDATA
 from millrace.llm import lines as L
 from millrace.llm import toxicity as X
 from millrace.llm.mixing import copies_taken, mix, mix_counts, source_targets
-from millrace.llm.quality import Rule, binomial_tail, certified_cutoffs, text_measures
+from millrace.llm.quality import Rule, binomial_tail, certified_cutoffs, certified_policies, judge_quality, text_measures
+from millrace.llm.queries import QUERIES
 from millrace.llm.urls import UrlRule, judge_urls, rule_index
 from millrace.llm.warc import latest_earlier, resolve_revisits
 
@@ -54,6 +56,69 @@ def test_cutoffs_keep_the_good_and_take_the_laxest_of_equals(spark):
     assert [(r.stratum, r.cutoff, r.k, r.bad) for r in found] == [("a", 0.8, 0, 50)]
 
 
+def _certified(rows, rules, risk, delta):
+    """The best certified policy of each stratum, by trying all policies of all paths."""
+    strata = {}
+    for stratum, good, *values in rows:
+        if good is not None:
+            strata.setdefault(stratum, []).append((good, dict(zip("xyz", values))))
+    found = {}
+    for stratum, texts in strata.items():
+        n, best = sum(g for g, _ in texts), None
+        for path in range(len(rules)):
+            steps = [(r, c) for r in [*rules[path:], *rules[:path]] for c in sorted(r.cutoffs, reverse=True)]
+            for step in range(1, len(steps) + 1):
+                policy = {r.name: c for r, c in steps[:step]}
+                gone = [g for g, v in texts if any(v[m] > c for m, c in policy.items())]
+                k, bad = sum(gone), len(gone) - sum(gone)
+                tail = sum(comb(n, i) * risk**i * (1 - risk) ** (n - i) for i in range(k + 1)) if n and k <= n * risk else 1
+                if tail > delta / len(strata) / len(rules):
+                    break
+                if bad > k and (best is None or (bad - k, -step, -path) > best[0]):
+                    best = (bad - k, -step, -path), policy, k, bad
+        if best:
+            found[stratum] = best[1:]
+    return found
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_policies_are_those_of_a_walk_along_all_paths(spark, seed):
+    draw = random.Random(seed)
+    rules = [Rule("x", "x", (0.5, 0.2, 0.8)), Rule("y", "y", (0.9, 0.6)), Rule("z", "z", (0.3, 0.7))]
+    rows = []
+    for stratum, size in (("a", 900), ("b", 300), (None, 160), ("d", 20)):
+        for _ in range(size):
+            good = draw.choice([True] * 7 + [False, False, None])
+            low = 0.35 if good else 1.0
+            rows.append((stratum, good, *[round(draw.random() ** (1 if not good else 1.5) * (1 if draw.random() < 0.04 else low), 3) for _ in "xyz"]))
+    holdout = spark.createDataFrame(rows, "stratum string, good boolean, x double, y double, z double")
+    found = {r.stratum: (dict(r.cutoffs), r.k, r.bad) for r in certified_policies(holdout, rules, risk=0.1, delta=0.05).collect()}
+    assert found == _certified(rows, rules, 0.1, 0.05) and "d" not in found and "a" in found
+
+
+def test_copies_are_one_trial(spark):
+    """Forty texts in thirty copies each are forty trials: too few to certify what a thousand would."""
+    docs, marks = [], []
+    for k in range(1200):
+        text = f"word{k % 40} " * 3 + " ".join(f"w{k % 40}x{j}" for j in range(12))
+        docs.append((k, text + (" ### ### $$$ $$$" if k % 40 == 0 else ""), "en"))
+        marks.append((k, int(k % 40 != 0)))
+    documents = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame(marks, "doc_id long, quality int")
+    assert all(r.kept for r in judge_quality(documents, labels).collect() if not r.base_failed)
+    unlike = documents.withColumn("text", F.concat("text", F.lit(" t"), "doc_id"))
+    assert {r.doc_id for r in judge_quality(unlike, labels).collect() if r.failed_rules} == set(range(0, 1200, 40))
+
+
+def test_the_query_rejects_by_its_method(spark):
+    """At sf0.01 the method certifies a policy: it rejects rows that the base rules keep, and none labelled good."""
+    sf_dir = str(TESTDATA / "sf0.01")
+    rows = QUERIES["op1_quality_rules"](spark, sf_dir).collect()
+    good = {r.doc_id for r in spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1").collect()}
+    gone = {r.doc_id for r in rows if not r.kept and not r.base_failed}
+    assert len(gone) >= 20 and len(gone & good) <= 0.05 * len(good)
+
+
 def test_grammar_weighs_clauses():
     model = X.ToxicityModel({"clown": (X.INSULT, 1.0), "kill": (X.THREAT, 1.0), "you": (X.TARGET, 0.0),
                              "not": (X.NEGATION, 0.0), "said": (X.REPORT, 0.0)})
