@@ -31,6 +31,9 @@ from millrace import (
 from millrace.functions import codec
 from millrace.operators import deadletter as dead
 from millrace.operators.conform import RAW, REASON, topic_rows_of
+from millrace.operators.multisets import except_all, intersect_all
+from millrace.operators.notin import not_in
+from millrace.operators.rangejoin import overlap_join
 from millrace.operators.sizing import counts_by_topic
 from millrace.operators.upsert import Layer, latest_rows, log_dir
 from millrace.operators.windows import Call, Frame, blocked_windows
@@ -460,6 +463,59 @@ def sql_transform_window_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocked_windows(rows, ["user_id"], ["event_id"], calls).drop("user_id", "value")
 
 
+# -- sets and joins at size ----------------------------------------------------
+
+
+@flow(
+    """(SELECT user_id, CAST(ts AS date) AS day, 'except' AS what FROM events
+            WHERE event_type = 'click' EXCEPT ALL
+            SELECT user_id, CAST(ts AS date), 'except' FROM events WHERE event_type = 'view')
+        UNION ALL (SELECT user_id, CAST(ts AS date), 'intersect' FROM events
+            WHERE event_type = 'click' INTERSECT ALL
+            SELECT user_id, CAST(ts AS date), 'intersect' FROM events WHERE event_type = 'view')"""
+)
+def sql_transform_setop_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statements' rows as multisets; copies of a row are counted, not paired."""
+    clicks, views = (spliced(spark, sf_dir, (topic,), "user_id, CAST(ts AS date) AS day") for topic in ("click", "view"))
+    left, both = except_all(clicks, views), intersect_all(clicks, views)
+    return left.withColumn("what", F.lit("except")).union(both.withColumn("what", F.lit("intersect")))
+
+
+@flow(
+    """SELECT c.event_id AS click_id, v.event_id AS view_id FROM events c JOIN events v
+    ON c.event_id + c.user_id % 5 >= v.event_id AND c.event_id <= v.event_id + v.user_id % 40
+    WHERE c.event_type = 'click' AND v.event_type = 'view'"""
+)
+def range_join_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges of ids behind clicks and views that overlap, whoever's they are."""
+    clicks = spliced(spark, sf_dir, ("click",), "event_id AS click_id, event_id + user_id % 5 AS click_end")
+    views = spliced(spark, sf_dir, ("view",), "event_id AS view_id, event_id + user_id % 40 AS view_end")
+    return overlap_join(clicks, views, ("click_id", "click_end"), ("view_id", "view_end")).select("click_id", "view_id")
+
+
+_RICH = "SELECT c_custkey FROM customer WHERE c_acctbal > 5000"
+
+
+@flow(
+    f"""WITH o AS (SELECT o_orderkey, CASE WHEN o_custkey % 7 > 0 THEN o_custkey END AS cust FROM orders)
+    SELECT o_orderkey, 'without null' AS side FROM o WHERE cust NOT IN ({_RICH})
+    UNION ALL SELECT o_orderkey, 'with null' FROM o WHERE cust NOT IN ({_RICH} UNION ALL SELECT NULL)
+    UNION ALL SELECT o_orderkey, 'empty' FROM o WHERE cust NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 1e9)"""
+)
+def not_in_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NOT IN for rows with nulls, against keys without, with a null, and none."""
+    rows = spliced(spark, sf_dir, ("orders",), "o_orderkey, CASE WHEN o_custkey % 7 > 0 THEN o_custkey END AS cust")
+    customers = table(spark, sf_dir, "customer")
+    rich = customers.where("c_acctbal > 5000").select("c_custkey")
+    sides = {
+        "without null": rich,
+        "with null": rich.union(spark.range(1).selectExpr("CAST(NULL AS bigint)")),
+        "empty": customers.where("c_acctbal > 1e9").select("c_custkey"),
+    }
+    parts = [not_in(rows, ["cust"], keys).select("o_orderkey", F.lit(side).alias("side")) for side, keys in sides.items()]
+    return reduce(DataFrame.union, parts)
+
+
 # -- upsert -------------------------------------------------------------------
 
 

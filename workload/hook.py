@@ -377,21 +377,6 @@ _hook(
         UNION SELECT user_id, CAST(ts AS date), 'any' FROM events
             WHERE event_type = 'signup' AND value > 150""",
 )
-_hook(
-    "sql_transform_setop_all",
-    "click view",
-    sql="""(SELECT user_id, CAST(ts AS date) AS day, 'except' AS what FROM TMP_CLICK
-            EXCEPT ALL SELECT user_id, CAST(ts AS date), 'except' FROM TMP_VIEW)
-        UNION ALL (SELECT user_id, CAST(ts AS date), 'intersect' FROM TMP_CLICK
-            INTERSECT ALL SELECT user_id, CAST(ts AS date), 'intersect' FROM TMP_VIEW)""",
-    oracle="""(SELECT user_id, CAST(ts AS date) AS day, 'except' AS what FROM events
-            WHERE event_type = 'click' EXCEPT ALL
-            SELECT user_id, CAST(ts AS date), 'except' FROM events WHERE event_type = 'view')
-        UNION ALL (SELECT user_id, CAST(ts AS date), 'intersect' FROM events
-            WHERE event_type = 'click' INTERSECT ALL
-            SELECT user_id, CAST(ts AS date), 'intersect' FROM events WHERE event_type = 'view')""",
-)
-
 # -- functions ----------------------------------------------------------------
 
 _hook(
