@@ -1,8 +1,7 @@
-"""A Bloom filter of fixed size, built by Spark and carried to tasks.
+"""A Bloom filter sized by its keys, built by Spark and carried to tasks.
 
-It only spares work: what passes is joined exactly afterwards. Its size does not
-grow with the data, so it may always be sent to every task; a filter that is too
-small for its keys lets more through and changes no result.
+It only spares work: what passes is joined exactly afterwards. Up to ``MOST_KEYS`` keys it lets
+less than 2 % of other keys through and has 16 MB at most; more keys go in parts, or by a join.
 """
 
 from __future__ import annotations
@@ -11,17 +10,25 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Bits of a filter, 2 MB.
-BITS = 1 << 24
-_SHIFTS = (0, 20, 40)
+#: Bits of the smallest and the largest filter, and the keys that the largest is made for.
+LEAST_BITS, MOST_BITS = 1 << 20, 1 << 27
+MOST_KEYS = MOST_BITS // 10
+_HASHES = 3
 
 
-def bloom_of(frame: DataFrame, key: Column) -> bytes:
+def bits_for(keys: int) -> int:
+    """A power of two with ten bits for a key, within the limits."""
+    return min(MOST_BITS, max(LEAST_BITS, 1 << (10 * max(keys, 1) - 1).bit_length()))
+
+
+def bloom_of(frame: DataFrame, key: Column, keys: int) -> bytes:
     """The filter of a column of longs whose bits are already well mixed.
 
-    At most BITS / 32768 rows of 4 kB each come to the driver.
+    ``keys`` is how many it has, about. At most 4,096 rows of 4 kB come to the driver.
     """
-    places = [F.shiftrightunsigned("key", s).bitwiseAND(F.lit(BITS - 1)) for s in _SHIFTS]
+    bits = bits_for(keys)
+    first, step = F.col("key").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned("key", 32).bitwiseOR(F.lit(1))
+    places = [(first + step * k).bitwiseAND(F.lit(bits - 1)) for k in range(_HASHES)]
     # positions are counted from 1, where Spark's buckets of 32768 begin
     found = (
         frame.select(key.alias("key"))
@@ -30,7 +37,7 @@ def bloom_of(frame: DataFrame, key: Column) -> bytes:
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
     )
     size = 32768 // 8
-    body = bytearray(BITS // 8)
+    body = bytearray(bits // 8)
     for row in found.collect():
         at = (row.bucket - 1) * size
         body[at : at + size] = row.bits
@@ -40,8 +47,10 @@ def bloom_of(frame: DataFrame, key: Column) -> bytes:
 def passes(body: bytes, keys: np.ndarray) -> np.ndarray:
     """Which of the unsigned 64-bit keys may be in the filter."""
     bits = np.frombuffer(body, np.uint8)
+    mask = np.uint64(8 * len(bits) - 1)
+    first, step = keys & np.uint64(0xFFFFFFFF), (keys >> np.uint64(32)) | np.uint64(1)
     found = np.ones(len(keys), bool)
-    for shift in _SHIFTS:
-        place = (keys >> np.uint64(shift)) & np.uint64(BITS - 1)
+    for k in range(_HASHES):
+        place = (first + step * np.uint64(k)) & mask
         found &= (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
     return found

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.bloom import bloom_of, passes
+from millrace.llm.bloom import MOST_KEYS, bloom_of, passes
 from millrace.llm.store import stored
 from millrace.llm.words import mixed, texts, word_hashes
 
@@ -161,9 +161,9 @@ def contaminated(
     benchmark has. Null and empty texts are not searched for. Rows without id are reported under a null id; repeated rows and
     items under their ids once. An empty table gives an empty result.
 
-    The documents are read once. A fixed-size filter of the benchmark's hashes
-    leaves the stretches around possible hits; only those are stored and
-    joined, however large the benchmark. Hits of a stretch on one diagonal are
+    A filter of the benchmark's hashes leaves the stretches around possible hits; only
+    those are stored and joined. The documents are read once, or for a benchmark of
+    more than ``MOST_KEYS`` hashes once for each part of so many. Hits of a stretch on one diagonal are
     one candidate.
     """
     sources = benchmark.select(F.col(item).alias("item_id"), F.col(item_text).cast("string").alias("__text"))
@@ -181,9 +181,31 @@ def contaminated(
     seeds = items.select("item_id", F.explode("seeds").alias("s")).select(
         "item_id", F.col("s.hash").alias("hash"), F.col("s.pos").alias("at")
     )
-    body = bloom_of(seeds, F.col("hash"))
+    seeds = stored(seeds)
+    hashes = seeds.count()
+    parts = -(-hashes // MOST_KEYS) or 1
     rows = documents.select(F.col(identity).alias("doc_id"), F.col(text).cast("string").alias("__text"))
-    stretches = stored(_stretches(rows, body, list(dict.fromkeys(used)), overlap).withColumn("stretch", F.xxhash64("words")))
+    masks_used = list(dict.fromkeys(used))
+    found = None
+    for part in range(parts):
+        own = seeds if parts == 1 else seeds.where(F.pmod("hash", F.lit(parts)) == part)
+        hits = _hits(rows, own, hashes // parts, items, masks_used, overlap, similarity)
+        found = hits if found is None else found.union(hits)
+    ids = numbered.select("item_id", "ids")
+    return (
+        found.join(ids, "item_id")
+        .select("doc_id", F.explode("ids").alias("item_id"), "matched")
+        .groupBy("doc_id", "item_id")
+        .agg(F.max("matched").cast("long").alias("matched"))
+    )
+
+
+def _hits(
+    rows: DataFrame, seeds: DataFrame, hashes: int, items: DataFrame, masks: list[str], overlap: int, similarity: float
+) -> DataFrame:
+    """``doc_id, item_id, matched`` around the hits of some of the benchmark's hashes."""
+    body = bloom_of(seeds, F.col("hash"), hashes)
+    stretches = stored(_stretches(rows, body, masks, overlap).withColumn("stretch", F.xxhash64("words")))
     # equal stretches are compared once; which documents have them is joined at the end
     kinds = stored(stretches.groupBy("stretch").agg(F.first("words").alias("words"), F.first("hits").alias("hits")))
     candidates = (
@@ -217,15 +239,7 @@ def contaminated(
         .groupBy("stretch", "item_id")
         .agg(F.max("matched").alias("matched"))
     )
-    found = compared.join(numbered.select("item_id", "ids"), "item_id").select(
-        "stretch", F.explode("ids").alias("item_id"), "matched"
-    )
-    return (
-        stretches.select("doc_id", "stretch")
-        .join(found, "stretch")
-        .groupBy("doc_id", "item_id")
-        .agg(F.max("matched").cast("long").alias("matched"))
-    )
+    return stretches.select("doc_id", "stretch").join(compared, "stretch").select("doc_id", "item_id", "matched")
 
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, identity: str = "doc_id", **options) -> DataFrame:

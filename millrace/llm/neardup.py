@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.bloom import bloom_of, passes
+from millrace.llm.bloom import MOST_KEYS, bloom_of, passes
 from millrace.llm.components import components
 from millrace.llm.store import stored
 from millrace.llm.words import mixed, shingle_hashes, texts, word_hashes
@@ -135,15 +135,16 @@ def _signatures(documents: DataFrame, rule: NearDup) -> DataFrame:
     )
 
 
-def _full_sets(documents: DataFrame, wanted: bytes, rule: NearDup) -> DataFrame:
-    """``doc_id, n, shingles, sketch`` of the documents whose id passes the filter."""
+def _full_sets(documents: DataFrame, wanted: bytes | None, rule: NearDup) -> DataFrame:
+    """``doc_id, n, shingles, sketch`` of the documents whose id passes the filter, if there is one."""
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flips, factors = _seeds(rule.samples, 3)
         for batch in source:
-            ids = np.asarray(batch.column("doc_id").fill_null(0)).astype(np.int64).view(np.uint64)
-            at = np.flatnonzero(passes(wanted, mixed(ids)))
-            chosen = batch.take(pa.array(at, pa.int64()))
+            chosen = batch
+            if wanted is not None:
+                ids = np.asarray(batch.column("doc_id").fill_null(0)).astype(np.int64).view(np.uint64)
+                chosen = batch.take(pa.array(np.flatnonzero(passes(wanted, mixed(ids))), pa.int64()))
             for part in texts(chosen, "__text"):
                 sets = list(_sets(part, rule.width))
                 sketches = [odd_sketch(min_hashes(s, flips, factors), rule.bits) for s in sets]
@@ -159,7 +160,21 @@ def _full_sets(documents: DataFrame, wanted: bytes, rule: NearDup) -> DataFrame:
     return documents.mapInArrow(batches, "doc_id long, shingles array<long>, sketch array<long>")
 
 
-def _id_filter(ids: DataFrame) -> bytes:
+def _sets_of(rows: DataFrame, involved: DataFrame, rule: NearDup) -> DataFrame:
+    """The full sets of the involved documents, one row for each set of an id.
+
+    A filter picks their texts out where they are; more ids than it is made for are joined first.
+    """
+    count = involved.count()
+    if count > MOST_KEYS:
+        found = _full_sets(rows.join(involved, "doc_id", "left_semi"), None, rule)
+    else:
+        found = _full_sets(rows, _id_filter(involved, count), rule).join(involved, "doc_id")
+    # rows of one id mostly have one set; it goes by its sketch, which is shorter
+    return stored(found.groupBy("doc_id", F.xxhash64("shingles").alias("set"), "sketch").agg(F.first("shingles").alias("shingles")).drop("set"))
+
+
+def _id_filter(ids: DataFrame, count: int) -> bytes:
     """A filter of mixed ids; the mixing is that of ``words.mixed``, done in Arrow."""
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,7 +182,7 @@ def _id_filter(ids: DataFrame) -> bytes:
             values = np.asarray(batch.column(0)).astype(np.int64).view(np.uint64)
             yield pa.RecordBatch.from_arrays([pa.array(mixed(values).view(np.int64))], names=["key"])
 
-    return bloom_of(ids.mapInArrow(batches, "key long"), F.col("key"))
+    return bloom_of(ids.mapInArrow(batches, "key long"), F.col("key"), count)
 
 
 def _differing(a: str, b: str, words: int) -> Column:
@@ -224,7 +239,7 @@ def near_duplicates(
         )
     )
     involved = stored(members.select(F.col("rep").alias("doc_id")).distinct())
-    sets = stored(_full_sets(rows, _id_filter(involved), rule).join(involved, "doc_id").distinct())
+    sets = _sets_of(rows, involved, rule)
 
     longs = rule.bits // 64
     stars = members.where("rep <> leader").select(F.col("leader").alias("u"), F.col("rep").alias("v")).distinct()
@@ -236,7 +251,7 @@ def near_duplicates(
     links = stored(_confirmed(star_pairs, sets, rule))
 
     marks = sketches.join(classes.select(F.col("rep").alias("doc_id"), "bands"), "doc_id")
-    across = stored(_across(members, marks, links, near, rule))
+    across = stored(_across(members, marks, sets, links, near, rule))
     more = stored(_confirmed(across, sets, rule))
     linked = stored(components(links.union(more)))
 
@@ -252,13 +267,42 @@ def near_duplicates(
     )
 
 
-def _across(members: DataFrame, marks: DataFrame, links: DataFrame, near: Column, rule: NearDup) -> DataFrame:
+#: Comparisons in a bucket beyond which its members are found by their rarest shingles.
+MANY_PAIRS = 1 << 22
+
+
+def _by_prefix(docs: DataFrame, near: Column, rule: NearDup) -> DataFrame:
+    """All pairs ``u, v`` of ``rep, n, component, sketch, shingles`` in different components that may be linked.
+
+    With a set's shingles in one order for all, from the rarest on, two sets at the threshold share
+    one of their first ``n - ceil(percent * n / 100) + 1``. Unlike texts that share a template
+    differ in these, so that the work follows the number of texts and not of their pairs.
+    """
+    words = docs.select("rep", F.explode("shingles").alias("w"))
+    counts = words.groupBy("w").agg(F.count("*").alias("f"))
+    ordered = words.join(counts, "w").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("f", "w"))).alias("o"))
+    least = F.ceil(F.size("o") * F.lit(rule.percent) / F.lit(100)).cast("int")
+    first = ordered.select("rep", F.explode(F.slice("o", F.lit(1), F.size("o") - least + 1)).alias("x")).select("rep", "x.w")
+    rows = stored(first.join(docs.select("rep", "n", "component"), "rep"))
+    left = rows.select("w", F.col("rep").alias("u"), F.col("n").alias("nu"), F.col("component").alias("cu"))
+    right = rows.select(F.col("w").alias("x"), F.col("rep").alias("v"), F.col("n").alias("nv"), F.col("component").alias("cv"))
+    sizes = 100 * F.least("nu", "nv") >= rule.percent * F.greatest("nu", "nv")
+    pairs = left.join(right, (F.col("w") == F.col("x")) & (F.col("u") < F.col("v")) & (F.col("cu") != F.col("cv")) & sizes)
+    sketches = docs.select("rep", "sketch")
+    found = pairs.select("u", "v").distinct().join(sketches.toDF("u", "s"), "u").join(sketches.toDF("v", "t"), "v")
+    return found.where(near).select("u", "v")
+
+
+def _across(
+    members: DataFrame, marks: DataFrame, sets: DataFrame, links: DataFrame, near: Column, rule: NearDup
+) -> DataFrame:
     """Pairs ``u, v`` of a bucket in different components, by size and sketch near enough.
 
     In a bucket, members outside its largest component are compared with all
     others that are not in their own. The join's condition holds the tests, and
     takes a pair only in the first band that it shares, so that what comes out
-    are few pairs, each once. A large bucket is a join key that Spark splits.
+    are few pairs, each once. Where a bucket would take more than ``MANY_PAIRS`` comparisons, its
+    members' pairs are found by ``_by_prefix``, which misses none.
     """
     joined = stored(components(links))
     placed = stored(
@@ -270,13 +314,17 @@ def _across(members: DataFrame, marks: DataFrame, links: DataFrame, near: Column
         placed.groupBy("bucket", "component")
         .agg(F.count("*").alias("n"))
         .groupBy("bucket")
-        .agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts"))
+        .agg(
+            F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts"),
+            F.sum("n").alias("all"), F.max("n").alias("most"),
+        )
         .where("parts > 1")
-        .select("bucket", "main")
-    )
-    open_rows = stored(
-        placed.join(mixed_buckets, "bucket").join(marks, F.col("rep") == F.col("doc_id")).drop("doc_id")
-    )
+        .withColumn("many", F.col("all").cast("double") * (F.col("all") - F.col("most")) > MANY_PAIRS)
+        .select("bucket", "main", "many")
+    )
+    every = stored(placed.join(mixed_buckets, "bucket"))
+    large = stored(every.where("many").select("rep", "n", "component").distinct())
+    open_rows = stored(every.where("not many").drop("many").join(marks, F.col("rep") == F.col("doc_id")).drop("doc_id"))
     left = open_rows.where("component <> main").selectExpr(
         "bucket", "band", "rep AS u", "n AS nu", "component AS cu", "sketch AS s", "bands AS bu"
     )
@@ -289,7 +337,11 @@ def _across(members: DataFrame, marks: DataFrame, links: DataFrame, near: Column
     first = F.array_position(F.zip_with("bu", "bv", lambda a, b: a == b), True) == F.col("band") + 1
     test = (F.col("cu") != F.col("cv")) & once & sizes & near & first
     pairs = left.alias("l").join(right.alias("r"), (F.col("l.bucket") == F.col("r.bucket")) & test)
-    return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    found = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    if large.isEmpty():
+        return found
+    more = _by_prefix(stored(large.join(sets, F.col("rep") == F.col("doc_id")).drop("doc_id")), near, rule)
+    return found.union(more).distinct()
 
 
 def deduplicated(documents: DataFrame, rule: NearDup = NearDup(), identity: str = "doc_id", text: str = "text") -> DataFrame:

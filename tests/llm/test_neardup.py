@@ -4,8 +4,10 @@ import itertools
 import random
 import re
 
+import numpy as np
 import pytest
 
+from millrace.llm import neardup
 from millrace.llm.components import components
 from millrace.llm.neardup import NearDup, near_duplicates
 
@@ -64,6 +66,32 @@ def test_components_are_those_of_all_pairs(spark, rule):
     assert 1 < len(set(wanted.values())) < len(rows)
 
 
+@pytest.mark.parametrize("rule", [NearDup(), NearDup(width=5, percent=80, bands=40)])
+def test_large_buckets_lose_no_pair(spark, monkeypatch, rule):
+    """All mixed buckets by rarest shingles, all documents by joins in place of the filter: the same components."""
+    monkeypatch.setattr(neardup, "MANY_PAIRS", 0)
+    monkeypatch.setattr(neardup, "MOST_KEYS", 0)
+    test_components_are_those_of_all_pairs(spark, rule)
+
+
+def test_unlike_texts_of_one_template_make_no_pairs(spark):
+    """A thousand texts share three fifths of their words; by their rarest shingles hardly any two meet."""
+    rule = NearDup()
+    draw = random.Random(9)
+    template = [f"t{k}" for k in range(60)]
+    rows = []
+    for k in range(1000):
+        own = [f"o{draw.randrange(100_000)}" for _ in range(40)] if k < 996 else [f"same{j}" for j in range(40)]
+        words = template + own if k < 998 else [*template, *own[:38], "x", f"y{k}"]
+        shingles = sorted({hash(tuple(words[j : j + 3])) for j in range(98)})
+        least = neardup.min_hashes(np.array(shingles, np.int64).view(np.uint64), *neardup._seeds(rule.samples, 3))
+        rows.append((k, len(shingles), k, neardup.odd_sketch(least, rule.bits).tolist(), shingles))
+    docs = spark.createDataFrame(rows, "rep long, n long, component long, sketch array<long>, shingles array<long>")
+    near = neardup._differing("s", "t", rule.bits // 64) <= rule.most_differing()
+    found = {tuple(r) for r in neardup._by_prefix(docs, near, rule).collect()}
+    assert {(996, 997), (996, 998), (997, 998), (996, 999), (997, 999)} <= found and len(found) <= 20
+
+
 def test_components_of_chains_stars_and_loops(spark):
     links = [(k, k + 1) for k in range(0, 30)] + [(100, k) for k in range(101, 140)] + [(7, 7), (50, 49), (49, 50)]
     frame = spark.createDataFrame(links + [(None, 3), (4, None)], "u long, v long")

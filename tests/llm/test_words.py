@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from millrace.llm import words as W
-from millrace.llm.bloom import bloom_of, passes
+from millrace.llm.bloom import LEAST_BITS, MOST_BITS, bits_for, bloom_of, passes
 from pyspark.sql import functions as F
 
 TEXT = st.one_of(st.none(), st.text(alphabet="aAbé \n\t\x0b\x1c🙂", max_size=60))
@@ -54,6 +54,17 @@ def test_slices_have_all_rows():
 def test_filter_lets_all_keys_through(spark):
     keys = W.mixed(np.arange(3000, dtype=np.uint64))
     frame = spark.createDataFrame([(int(k),) for k in keys.view(np.int64)], "k long")
-    body = bloom_of(frame, F.col("k"))
+    body = bloom_of(frame, F.col("k"), frame.count())
     assert passes(body, keys).all()
     assert passes(body, W.mixed(np.arange(10**6, 2 * 10**6, dtype=np.uint64))).mean() < 1e-4
+
+
+def test_filter_is_sized_by_its_keys(spark):
+    """Ten million keys: all pass, and under 5 % of others."""
+    n = 10_000_000
+    frame = spark.range(n).select(F.xxhash64("id").alias("k"))
+    body = bloom_of(frame, F.col("k"), n)
+    assert len(body) == bits_for(n) // 8 == 1 << 24 and bits_for(0) == LEAST_BITS and bits_for(1 << 40) == MOST_BITS
+    own = frame.limit(50_000).toPandas()["k"].to_numpy().view(np.uint64)
+    others = W.mixed(np.arange(1, 200_001, dtype=np.uint64) + np.uint64(1 << 50))
+    assert passes(body, own).all() and passes(body, others).mean() < 0.05
