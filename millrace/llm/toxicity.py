@@ -42,12 +42,9 @@ TARGETS = (
 NEGATIONS = "not never nobody cannot isn't aren't wasn't don't doesn't nunca jamás jamais nicht kein keine".split()
 REPORTS = "said says wrote called claimed quoted reported dijo llamó écrit appelé sagte nannte".split()
 
-#: Rows that the lexicon and the score are fitted on at most, chosen by a hash of the id.
+#: Rows that the lexicon and the score are fitted on at most, chosen by a hash of the id. They bound
+#: the lexicon too: each of its words is in four of them that are toxic, or more.
 FIT_ROWS = 20_000
-#: Words kept of them at most, the heaviest first.
-LEXICON = 2_000
-#: Words and stems that pass the test and come to the driver at most, the most frequent in toxic texts first.
-PASSING = 8_000
 STEMS = (4, 5, 6)
 #: Words whose symbol a worker remembers.
 REMEMBERED = 400_000
@@ -243,7 +240,7 @@ def _evidence(sample: DataFrame) -> DataFrame:
     return summed.where(F.col("toxic") > 3)
 
 
-def _passing(evidence: DataFrame, at_most: int = PASSING) -> DataFrame:
+def _passing(evidence: DataFrame) -> DataFrame:
     """``feature, toxic, clean, best`` of the words and stems whose share of toxic groups is
     surely over a half; ``best`` is the most toxic groups of any one word with the stem."""
     toxic, total = F.col("toxic"), F.col("toxic") + F.col("clean")
@@ -252,8 +249,7 @@ def _passing(evidence: DataFrame, at_most: int = PASSING) -> DataFrame:
     starts = [F.when(F.char_length("feature") > n, F.concat(F.substring("feature", 1, n), F.lit("*"))) for n in STEMS]
     best = words.select(F.explode(F.array_compact(F.array(*starts))).alias("feature"), "toxic")
     best = best.groupBy("feature").agg(F.max("toxic").alias("best"))
-    first = passing.orderBy(F.desc("toxic"), "feature").limit(at_most)
-    return first.join(best, "feature", "left").fillna(0, ["best"]).select("feature", "toxic", "clean", "best")
+    return passing.join(best, "feature", "left").fillna(0, ["best"]).select("feature", "toxic", "clean", "best")
 
 
 def _lexicon(found: list[tuple[str, int, int, int]]) -> tuple[dict, dict]:
@@ -302,7 +298,7 @@ def fit_toxicity(
     """A model from at most ``rows`` labelled documents that are not held out.
 
     ``labels`` has ``toxic`` (1, 0, null unknown) by id; of several the
-    greatest counts. The sample's ids are broadcast, ``rows`` at most, and its
+    greatest counts, and of several texts of an id the least. The sample's ids are broadcast, ``rows`` at most, and its
     counts and clause weights go to the driver. Without labelled rows, or with labels of
     one kind, the fixed words and coefficients remain.
     """
@@ -314,10 +310,9 @@ def fit_toxicity(
         .limit(rows)
     )
     rows_of = documents.select(F.col(identity).alias("__id"), F.col(text).cast("string").alias("text"))
-    sample = stored(rows_of.join(F.broadcast(marks), "__id"))
+    sample = stored(rows_of.join(F.broadcast(marks), "__id").groupBy("__id", "toxic").agg(F.min("text").alias("text")))
     words, stems = _lexicon([tuple(r) for r in _passing(stored(_evidence(sample))).collect()])
-    kept = dict(sorted(words.items(), key=lambda kv: (-kv[1][1], kv[0]))[:LEXICON])
-    model = ToxicityModel(_prior() | kept, stems)
+    model = ToxicityModel(_prior() | words, stems)
     drawn = _scored(sample.select("toxic", "text"), "text", model, ["heaviest", "whole"]).select("toxic", "heaviest", "whole")
     table = np.array([tuple(r) for r in drawn.collect()], float).reshape(-1, 3)
     if 0 < table[:, 0].sum() < len(table):
