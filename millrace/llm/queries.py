@@ -119,10 +119,12 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- 3: lines -------------------------------------------------------------------------
 
 LINE_RATIO, LINE_MIN_PAGES = 0.1, 20
+#: Lines on more than 2 % of a source's texts, and on 10 of them, go too where they stand among other text.
+LINE_RARE = (0.02, 10)
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents without the boilerplate lines of their source, which stands for the host."""
+    """Documents without the boilerplate lines of their source, which stands for the host; copies count once."""
     documents = _read(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return drop_boilerplate(
         documents,
@@ -130,22 +132,35 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         ratio=LINE_RATIO,
         min_pages=LINE_MIN_PAGES,
         dropped="n_dropped",
+        copies=False,
+        rare=LINE_RARE,
     ).select("doc_id", "source", "text", "n_dropped")
 
 
 OP3_SQL = rf"""
 WITH pages AS (
   SELECT row_number() OVER () AS r, doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents
-), totals AS (SELECT source, count(*) AS pages FROM pages GROUP BY source
 ), lines AS (
-  SELECT r, source, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM pages
+  SELECT r, source, text, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM pages
 ), keyed AS (
   SELECT *, nullif(trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)), '') AS bare FROM lines
+), totals AS (SELECT source, count(*) AS pages FROM (SELECT DISTINCT source, text FROM pages) GROUP BY source
 ), counts AS (
-  SELECT source, bare, count(DISTINCT r) AS having_it FROM keyed WHERE bare IS NOT NULL GROUP BY ALL
+  SELECT source, bare, count(DISTINCT text) AS having_it FROM keyed WHERE bare IS NOT NULL GROUP BY ALL
+), open AS (
+  SELECT c.source, c.bare, t.pages,
+         t.pages >= {LINE_MIN_PAGES} AND c.having_it > t.pages * CAST({LINE_RATIO} AS DOUBLE) AS often
+  FROM counts c JOIN totals t ON c.source IS NOT DISTINCT FROM t.source
+  WHERE c.having_it > 1 AND (t.pages >= {LINE_MIN_PAGES} AND c.having_it > t.pages * CAST({LINE_RATIO} AS DOUBLE)
+                             OR c.having_it >= {LINE_RARE[1]} AND c.having_it > t.pages * CAST({LINE_RARE[0]} AS DOUBLE))
+), held AS (
+  SELECT k.r, k.source, k.text, o.bare, sum(length(k.line)) OVER (PARTITION BY k.r) AS on_them
+  FROM keyed k JOIN open o ON k.bare = o.bare AND k.source IS NOT DISTINCT FROM o.source
+), among AS (
+  SELECT source, bare, count(DISTINCT text) AS among FROM held WHERE 2 * on_them <= length(text) GROUP BY ALL
 ), boiler AS (
-  SELECT c.source, c.bare FROM counts c JOIN totals t ON c.source IS NOT DISTINCT FROM t.source
-  WHERE c.having_it > 1 AND t.pages >= {LINE_MIN_PAGES} AND c.having_it > t.pages * CAST({LINE_RATIO} AS DOUBLE)
+  SELECT o.source, o.bare FROM open o LEFT JOIN among a ON o.bare = a.bare AND o.source IS NOT DISTINCT FROM a.source
+  WHERE often OR a.among >= {LINE_RARE[1]} AND a.among > o.pages * CAST({LINE_RARE[0]} AS DOUBLE)
 ), judged AS (
   SELECT k.*, b.bare IS NOT NULL AS gone
   FROM keyed k LEFT JOIN boiler b ON k.bare = b.bare AND k.source IS NOT DISTINCT FROM b.source
