@@ -1,7 +1,8 @@
 """A Bloom filter sized by its keys, built by Spark and carried to tasks.
 
-It only spares work: what passes is joined exactly afterwards. Up to ``MOST_KEYS`` keys it lets
-less than 2 % of other keys through and has 16 MB at most; more keys go in parts, or by a join.
+It only spares work: what passes is joined exactly afterwards. It has 2 MB at least and 16 MB at
+most. With 10 bits for a key it lets less than 2 % of other keys through, with 32 less than
+0.1 %; more keys than it has bits for go in parts, or by a join.
 """
 
 from __future__ import annotations
@@ -10,23 +11,22 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Bits of the smallest and the largest filter, and the keys that the largest is made for.
-LEAST_BITS, MOST_BITS = 1 << 20, 1 << 27
-MOST_KEYS = MOST_BITS // 10
+#: Bits of the smallest and the largest filter.
+LEAST_BITS, MOST_BITS = 1 << 24, 1 << 27
 _HASHES = 3
 
 
-def bits_for(keys: int) -> int:
-    """A power of two with ten bits for a key, within the limits."""
-    return min(MOST_BITS, max(LEAST_BITS, 1 << (10 * max(keys, 1) - 1).bit_length()))
+def bits_for(keys: int, each: int = 10) -> int:
+    """A power of two with so many bits for a key, within the limits."""
+    return min(MOST_BITS, max(LEAST_BITS, 1 << (each * max(keys, 1) - 1).bit_length()))
 
 
-def bloom_of(frame: DataFrame, key: Column, keys: int) -> bytes:
+def bloom_of(frame: DataFrame, key: Column, keys: int, each: int = 10) -> bytes:
     """The filter of a column of longs whose bits are already well mixed.
 
     ``keys`` is how many it has, about. At most 4,096 rows of 4 kB come to the driver.
     """
-    bits = bits_for(keys)
+    bits = bits_for(keys, each)
     first, step = F.col("key").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned("key", 32).bitwiseOR(F.lit(1))
     places = [(first + step * k).bitwiseAND(F.lit(bits - 1)) for k in range(_HASHES)]
     # positions are counted from 1, where Spark's buckets of 32768 begin

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.bloom import MOST_KEYS, bloom_of, passes
+from millrace.llm.bloom import MOST_BITS, bloom_of, passes
 from millrace.llm.store import stored
 from millrace.llm.words import mixed, texts, word_hashes
 
@@ -28,6 +28,10 @@ OVERLAP, SIMILARITY = 13, 0.8
 #: Windows of fewer words have masks of their own, as ``MASKS`` miss some of theirs.
 SHORT = 12
 
+#: Bits of the filter for each hash, so that hardly a stretch is stored in vain, and the hashes of a filter.
+BITS_A_KEY = 32
+MOST_KEYS = MOST_BITS // BITS_A_KEY
+
 
 @cache
 def short_masks(width: int, similarity: float) -> tuple[str, ...]:
@@ -204,7 +208,7 @@ def _hits(
     rows: DataFrame, seeds: DataFrame, hashes: int, items: DataFrame, masks: list[str], overlap: int, similarity: float
 ) -> DataFrame:
     """``doc_id, item_id, matched`` around the hits of some of the benchmark's hashes."""
-    body = bloom_of(seeds, F.col("hash"), hashes)
+    body = bloom_of(seeds, F.col("hash"), hashes, BITS_A_KEY)
     stretches = stored(_stretches(rows, body, masks, overlap).withColumn("stretch", F.xxhash64("words")))
     # equal stretches are compared once; which documents have them is joined at the end
     kinds = stored(stretches.groupBy("stretch").agg(F.first("words").alias("words"), F.first("hits").alias("hits")))

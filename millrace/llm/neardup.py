@@ -25,12 +25,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.bloom import MOST_KEYS, bloom_of, passes
+from millrace.llm.bloom import MOST_BITS, bloom_of, passes
 from millrace.llm.components import components
 from millrace.llm.store import stored
 from millrace.llm.words import mixed, shingle_hashes, texts, word_hashes
 
 
+#: Ids that a filter of documents is made for.
+MOST_KEYS = MOST_BITS // 10
+
+
 @dataclass(frozen=True)
 class NearDup:
     """``percent``: linked are sets with 100 * intersection >= percent * union.

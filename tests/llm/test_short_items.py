@@ -4,6 +4,7 @@ import itertools
 
 import pytest
 
+from millrace.llm import decontamination
 from millrace.llm.decontamination import SHORT, SIMILARITY, contaminated, short_masks
 
 
@@ -29,3 +30,12 @@ def test_every_accepted_pattern_of_short_items_is_found(spark):
     benchmark = spark.createDataFrame([(k, " ".join(i)) for k, i in enumerate(items)], "item_id long, text string")
     found = {(r.doc_id, r.item_id): r.matched for r in contaminated(documents, benchmark).collect()}
     assert found == wanted and len(wanted) == 11 + sum(range(5, 10)) + 10 + 45 + 11 + 55
+
+
+def test_benchmarks_larger_than_a_filter_go_in_parts(spark, monkeypatch):
+    rows = [(k, f"one two three w{k} five six seven eight nine ten eleven twelve thirteen v{k}") for k in range(6)]
+    documents = spark.createDataFrame([(k, f"before it {t} and after") for k, t in rows], "doc_id long, text string")
+    benchmark = spark.createDataFrame(rows, "item_id long, text string")
+    whole = sorted(map(tuple, contaminated(documents, benchmark).collect()))
+    monkeypatch.setattr(decontamination, "MOST_KEYS", 25)
+    assert sorted(map(tuple, contaminated(documents, benchmark).collect())) == whole and len(whole) >= 6
