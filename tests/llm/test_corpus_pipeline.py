@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from millrace.llm.decontamination import OVERLAP, SIMILARITY
+from millrace.llm.mixing import LARGEST
 from millrace.llm.queries import LINE_MIN_PAGES, LINE_RATIO, MIX_LIMIT, MIX_SEED, MIX_WEIGHTS, TOXIC_FROM
 from millrace.llm.toxicity import fit_toxicity
 
@@ -26,15 +28,22 @@ def _toxicity(spark, docs, sf_dir):
 
 
 def _lines(spark, docs, sf_dir):
-    pages, having = Counter(d["source"] for d in docs), Counter()
     bare = lambda x: x.strip(" \t\x0b\x0c\r")
-    for d in docs:
-        having.update({(d["source"], bare(x)) for x in d["text"].split("\n") if bare(x)})
+    texts = {(d["source"], d["text"]) for d in docs}
+    pages, having, among = Counter(s for s, _ in texts), Counter(), Counter()
+    for s, text in texts:
+        having.update({(s, bare(x)) for x in text.split("\n") if bare(x)})
+    often = lambda s, x: pages[s] >= LINE_MIN_PAGES and having[s, x] > max(1, pages[s] * LINE_RATIO)
+    least = lambda s, n: n >= P.LINE_RARE[1] and n > pages[s] * P.LINE_RARE[0]
+    for s, text in texts:
+        on = [x for x in text.split("\n") if bare(x) and (often(s, bare(x)) or least(s, having[s, bare(x)]))]
+        if 2 * len("".join(on)) <= len(text):
+            among.update({(s, bare(x)) for x in on})
     out = []
     for d in docs:
         s = d["source"]
-        gone = lambda x: pages[s] >= LINE_MIN_PAGES and having[s, bare(x)] > max(1, pages[s] * LINE_RATIO)  # noqa: B023, E731
-        text = "\n".join(x for x in d["text"].split("\n") if not (bare(x) and gone(x)))
+        gone = lambda x: bare(x) and (often(s, bare(x)) or least(s, among[s, bare(x)]))  # noqa: B023, E731
+        text = "\n".join(x for x in d["text"].split("\n") if not gone(x))
         out.append(d | {"text": text, "n_chars": len(text)})
     return out
 
@@ -97,11 +106,15 @@ def _mixed(spark, docs, sf_dir):
             break
         target |= {s: float(MIX_LIMIT * whole[s]) for s in above}
         left, free = left - sum(MIX_LIMIT * whole[s] for s in above), free - above
+    drawn = lambda key: int(hashlib.md5(f"{MIX_SEED}:{key}".encode()).hexdigest()[:8], 16) / 2**32
     out = []
-    for d in docs:
-        rate = target[d["source"]] / whole[d["source"]]
-        draw = int(hashlib.md5(f"{MIX_SEED}:{d['doc_id']}".encode()).hexdigest()[:8], 16) / 2**32
-        out += [d] * (int(rate) + (draw < rate - int(rate)))
+    for s in whole:
+        rate, start = target[s] / whole[s], drawn(f"start:{s}")
+        part = rate - int(rate)
+        own = sorted((d for d in docs if d["source"] == s), key=lambda d: (-size[d["doc_id"]], drawn(d["doc_id"]), str(d["doc_id"])))
+        for n, d in enumerate(own, start=1):
+            passes = math.floor(n * part + start) > math.floor((n - 1) * part + start)
+            out += [d] * (int(rate) + (passes if n <= LARGEST else drawn(d["doc_id"]) < part))
     return out
 
 
