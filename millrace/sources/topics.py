@@ -54,7 +54,7 @@ class KafkaSource:
             named = {t: {str(p): o for p, o in by.items()} for t, by in self.start.items()}
             return {"startingOffsets": json.dumps(named)}
         if self.start not in ("latest", "earliest"):
-            raise ValueError(f"start must be latest, earliest, offsets or a time, not {self.start!r}")
+            raise ValueError(f"start must be latest or earliest, offsets or a time, not {self.start!r}")
         return {"startingOffsets": self.start}
 
     def batch_options(self) -> dict[str, str]:

@@ -116,7 +116,7 @@ def located(spark: SparkSession, source):
     if isinstance(source.start, datetime):
         return replace(source, start=first_offsets_at(spark, source.path, source.topics, source.start))
     if source.start != "latest":
-        raise ValueError(f"start must be latest, earliest, offsets or a time, not {source.start!r}")
+        raise ValueError(f"start must be latest or earliest, offsets or a time, not {source.start!r}")
     index_topic_files(spark, source.path)
     ends: dict[str, dict[int, int]] = {}
     for row in zone_map(spark, source.path).groupBy("topic", "partition").agg(F.max("high").alias("high")).collect():
