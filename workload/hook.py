@@ -89,11 +89,18 @@ _hook(
         AND o_orderdate IS NOT NULL AND NOT (o_custkey % 7 = 0)
         AND o_orderdate >= TIMESTAMP '1993-01-01 00:00:00'""",
 )
+_SAMPLE = "SELECT event_id FROM TMP_CLICK TABLESAMPLE (30 PERCENT) REPEATABLE (7)"
 _hook(
     "sql_transform_tablesample",
     "click",
-    sql="""SELECT event_id, user_id FROM TMP_CLICK TABLESAMPLE (100 PERCENT) REPEATABLE (7)""",
-    oracle="SELECT event_id, user_id FROM events WHERE event_type = 'click'",
+    sql=f"""WITH one AS ({_SAMPLE}), again AS ({_SAMPLE}), whole AS (SELECT event_id FROM TMP_CLICK),
+        sizes AS (SELECT (SELECT count(*) FROM one) AS drawn, (SELECT count(*) FROM whole) AS n,
+            (SELECT count(*) FROM one WHERE event_id IN (SELECT event_id FROM again)) AS same,
+            (SELECT count(DISTINCT event_id) FROM one WHERE event_id IN (SELECT event_id FROM whole)) AS own)
+        SELECT drawn BETWEEN 0.2 * n AND 0.4 * n AS near_rate, drawn = same AS repeats, drawn = own AS members
+        FROM sizes""",
+    oracle="""SELECT count(*) > 0 AS near_rate, count(*) > 0 AS repeats, count(*) > 0 AS members
+        FROM events WHERE event_type = 'click'""",
 )
 
 # -- joins --------------------------------------------------------------------
