@@ -6,6 +6,7 @@ from helpers import plan
 from millrace import StreamDef, statement
 from millrace.plans.statements import register_view
 from workload.fixtures import spliced, topic_views
+from workload.hook import HOOKS
 
 
 def run(spark, transform, where="1=1", topic="t"):
@@ -88,6 +89,17 @@ def test_sample_is_a_repeatable_part(spark, sf_dir):
     assert 0.15 * len(every) < len(drawn[0]) < 0.45 * len(every)
 
 
+def test_tablesample_query_returns_every_click(spark, tmp_path):
+    spark.sql(
+        """SELECT id AS event_id, id % 3 AS user_id, 1.0D AS value, timestamp_ntz'2024-01-01 00:00:00' AS ts,
+        CASE WHEN id % 5 = 0 THEN 'view' WHEN id % 7 > 0 THEN 'click' END AS event_type, '{}' AS props
+        FROM range(200) UNION ALL SELECT 1, NULL, 1.0D, timestamp_ntz'2024-01-01 00:00:00', 'click', NULL"""
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    found = HOOKS["sql_transform_tablesample"].run(spark, str(tmp_path))
+    every = [(i, i % 3) for i in range(200) if i % 5 and i % 7] + [(1, None)]
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(every, key=repr)
+
+
 def test_rows_are_in_order_inside_their_partitions(spark, sf_dir):
     where = "1=1 DISTRIBUTE BY o_custkey SORT BY o_orderkey"
     rows = spliced(spark, sf_dir, ("orders",), "o_custkey, o_orderkey, spark_partition_id() AS at", where)
