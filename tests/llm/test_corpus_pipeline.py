@@ -6,6 +6,7 @@ import math
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -150,3 +151,28 @@ def test_run_is_the_stages_one_after_another(spark, sf_dir):
         docs = PLAIN[name](spark, docs, sf_dir)
     found = P.run(spark, sf_dir)
     assert _plain_rows(found) == sorted((tuple(d[c] for c in found.columns) for d in docs), key=repr)
+
+
+@pytest.mark.parametrize("name", ["toxicity", "near-duplicates", "decontamination"])
+def test_rows_go_to_python_in_short_batches(spark, tmp_path, name):
+    docs = spark.range(1300).selectExpr(
+        "id AS doc_id", "concat_ws(' ', 'some you idiot words of text', id % 900, id % 900 + 1, 'more here') AS text"
+    )
+    spark.range(0, 1300, 2).selectExpr("id AS doc_id", "int(id % 3 = 0) AS toxic").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.sql("SELECT 1 AS item_id, 'some you idiot words of text 7 8 more here' AS text").write.parquet(f"{tmp_path}/benchmark.parquet")
+    stage, before = dict(P.STAGES)[name], spark.conf.get(P._ARROW)
+
+    def batches(source):
+        for batch in source:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    sizes = lambda: [r.n for r in spark.range(0, 1300, 1, 1).mapInArrow(batches, "n long").collect()]
+    try:
+        spark.conf.set(P._ARROW, "10000")
+        rows = _plain_rows(stage(spark, docs, str(tmp_path)))
+        assert max(sizes()) == P.ARROW_ROWS and sum(sizes()) == 1300
+        spark.conf.set(P._ARROW, "7")
+        assert _plain_rows(stage(spark, docs, str(tmp_path))) == rows
+        assert max(sizes()) == 7
+    finally:
+        spark.conf.set(P._ARROW, before)
