@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 from dataclasses import dataclass, replace
 
 from py4j.protocol import Py4JError
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators import deadletter as dead
-from millrace.operators.bisection import find_failing
+from millrace.operators.bisection import find_failing, without
 from millrace.operators.conform import REASON, TypedBatch
 from millrace.operators.sizing import Sizing
 from millrace.operators.upsert import (
@@ -30,8 +30,10 @@ from millrace.operators.upsert import (
 from millrace.plans.definitions import Settings, StreamDef, tables_of
 from millrace.plans.statements import (
     check_streams,
+    failing_rows,
     register_view,
     statement,
+    take_rows_alone,
     used_fields,
     uses_source_columns,
 )
@@ -64,9 +66,7 @@ class BatchReport:
 
 
 @contextmanager
-def ansi_mode(session: SparkSession, on: bool) -> Iterator[None]:
-    """SQL errors raise (on) or give null (off) while the block runs."""
-    name = "spark.sql.ansi.enabled"
+def _setting(session: SparkSession, name: str, on: bool) -> Iterator[None]:
     before = session.conf.get(name)
     session.conf.set(name, str(on).lower())
     try:
@@ -75,6 +75,11 @@ def ansi_mode(session: SparkSession, on: bool) -> Iterator[None]:
         session.conf.set(name, before)
 
 
+def ansi_mode(session: SparkSession, on: bool) -> AbstractContextManager[None]:
+    """SQL errors raise (on) or give null (off) while the block runs."""
+    return _setting(session, "spark.sql.ansi.enabled", on)
+
+
 class TopicPipeline:
     """Several streams over one source, stored below one shared ``root``.
 
@@ -85,8 +90,9 @@ class TopicPipeline:
     then repeats the batch.
 
     Where a statement raises on some of its topic's rows, these are found by halving the
-    batch and set aside; the statement then runs over the rest. It does so for up to ``isolate``
-    rows, or ranges of offsets where more of them fail; 0 sets the topic's whole batch aside.
+    batch and set aside; the statement then runs over the rest. Where more than ``isolate`` ranges
+    fail, a transform that takes each row alone is tried on all their rows in one pass, any other
+    statement's are halved to the last row; 0 sets the topic's whole batch aside.
 
     Of a payload the fields are parsed that some statement uses, and a wrong
     value in another does no harm; ``check_all_fields`` parses all.
@@ -228,30 +234,53 @@ class TopicPipeline:
         topic, session = stream.topic, batch.sparkSession
         own = typed.frame.filter((F.col("topic") == topic) & F.col(REASON).isNull())
 
-        def over(condition: Column) -> None:
-            register_view(typed.over(own.filter(condition)).typed(topic, self._source_columns), topic)
+        told: list[DataFrame] = []
+
+        def over(rows: DataFrame, source_columns: bool = self._source_columns) -> None:
+            register_view(typed.over(rows).typed(topic, source_columns), topic)
 
         def failure(condition: Column) -> str | None:
-            over(condition)
+            return error_over(own.filter(condition))
+
+        def error_over(rows: DataFrame) -> str | None:
+            over(rows)
             try:
                 session.sql(statement(stream)).write.format("noop").mode("overwrite").save()
             except (PySparkException, Py4JError) as error:
                 return str(error)[:2000]
             return None
 
+        def one_by_one(condition: Column) -> DataFrame | None:
+            """The chosen rows on which the statement raises, if it takes rows alone and raises on no others."""
+            if stream.name not in take_rows_alone(self.spark, self.streams, self.contracts, self.ansi):
+                return None
+            chosen = own.filter(condition)
+            over(chosen, source_columns=True)
+            try:
+                # what two columns share would be evaluated before either, where raising is not held back
+                with _setting(session, "spark.sql.subexpressionElimination.enabled", False):
+                    bad = failing_rows(session, stream).persist(StorageLevel.MEMORY_AND_DISK)
+                    told.append(bad)
+                    bad.count()
+            except (PySparkException, Py4JError):
+                return None
+            return bad if error_over(without(chosen, bad)) is None else None
+
         source = batch.filter(F.col("topic") == topic)
         try:
-            found = find_failing(own, failure, self.isolate, report.error) if self.isolate else None
+            found = find_failing(own, failure, self.isolate, report.error, one_by_one) if self.isolate else None
             if found is not None:
-                over(~found.covers())
+                over(found.others(own))
                 done = self._append(session, stream, report.batch_id)
-                lost = dead.with_reason(source.filter(found.covers()), dead.TRANSFORM_FAILED).withColumn(dead.ERROR, found.error())
+                lost = dead.with_reason(found.of(source), dead.TRANSFORM_FAILED).withColumn(dead.ERROR, found.error())
                 dead.write_failed(lost, self.root, stream.name, report.batch_id)
                 return replace(done, error=report.error, isolated=found.rows)
         except (PySparkException, Py4JError):
             pass  # nothing is stored; all goes below
         finally:
             register_view(typed.typed(topic, self._source_columns), topic)
+            for frame in told:
+                frame.unpersist()
         rows = dead.with_reason(source, dead.TRANSFORM_FAILED, report.error)
         dead.write_failed(rows, self.root, stream.name, report.batch_id)
         return replace(report, set_aside=True)

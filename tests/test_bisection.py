@@ -11,6 +11,7 @@ from millrace.operators import deadletter as dead
 from millrace.operators.bisection import find_failing
 from millrace.operators.conform import REASON
 from workload.fixtures import event_contracts, event_rows
+from workload.flows import FLOWS
 
 
 def offsets(spark, rows):
@@ -72,6 +73,33 @@ def test_repeated_and_sparse_offsets(spark):
     assert [(r.partition, r.low, r.high, r.rows) for r, _ in found.ranges] == [(0, 5, 5, 3), (2, 5, 5, 2)]
 
 
+@pytest.mark.parametrize(("seed", "k"), [(4, 12), (5, 40)])
+def test_more_bad_rows_than_the_limit_stand_alone(spark, seed, k):
+    draw = random.Random(seed)
+    rows = [(p, o) for p in range(2) for o in draw.sample(range(10 ** (2 + 3 * p)), 60)]
+    frame = offsets(spark, rows)
+    bad = sorted(draw.sample(rows, k))
+    job, asked = Job(frame, bad), []
+    found = find_failing(frame, job, most=4, error="whole", rest=lambda c: asked.append(c))
+    assert [(r.partition, r.low, r.high, r.rows, e) for r, e in found.ranges] == [(p, o, o, 1, f"no {(p, o)}") for p, o in bad]
+    assert len(asked) == 1 and found.rows == k and found.runs == job.runs <= 2 * k * math.ceil(math.log2(len(rows)))
+    assert sorted(map(tuple, found.of(frame).collect())) == bad
+    assert sorted(map(tuple, found.others(frame).collect())) == sorted(set(rows) - set(bad))
+
+
+def test_the_rest_may_be_told_at_once(spark):
+    rows = [(p, o) for p in range(2) for o in range(300)] + [(1, 7), (1, None)]
+    frame = offsets(spark, rows)
+    bad = [(0, o) for o in range(0, 300, 3)] + [(1, 7)]
+    job = Job(frame, bad)
+    found = find_failing(frame, job, most=4, error="whole", rest=lambda c: offsets(spark, bad).where(c))
+    assert job.runs <= 20 and found.rows == 102
+    key = lambda row: (row[0], row[1] is None, row[1])
+    assert sorted(map(tuple, found.of(frame).collect()), key=key) == sorted([*bad, (1, 7)], key=key)
+    assert sorted(map(tuple, found.others(frame).collect()), key=key) == sorted((r for r in rows if r not in bad), key=key)
+    assert found.of(frame).where(found.error().isNull()).count() == 0
+
+
 SHARES = StreamDef("shares", "click", "shares", "event_id", "event_id, 10 div (event_id % 100 - 7) AS z", order_by="event_id")
 
 
@@ -123,3 +151,48 @@ def test_rejects_stay_out_of_it(spark, root):
     assert (report.streams[0].isolated, report.streams[0].stored, report.streams[0].null_key, report.untyped) == (1, 39, 1, {"t": 1})
     assert [r.offset for r in dead.read_failed(spark, root, "s").collect()] == [5]
     assert [r.offset for r in dead.read_raw(spark, root).collect()] == [40]
+
+
+def numbers(spark, root, stream, text, most=4):
+    struct = T.StructType.fromDDL("id long, n long, t string")
+    values = [(None, bytearray(t.encode()), "t", i % 3, i, None) for i, t in enumerate(text)]
+    rows = spark.createDataFrame(values, "key binary, value binary, topic string, partition int, offset long, timestamp timestamp")
+    work = TopicPipeline(spark, [stream], {"t": TopicContract("t", struct)}, root, ansi=True, isolate=most)
+    return work, work.process(rows, 0).streams[0]
+
+
+TEXT = [f'{{"id": {i}, "n": {i % 5}, "t": "{"x" if i % 7 == 0 else i}"}}' for i in range(90)]
+
+
+@pytest.mark.parametrize(
+    ("transform", "filter", "bad"),
+    [
+        ("id, 1 div n AS z", "1=1", lambda i: i % 5 == 0),
+        ("id, 1 div n AS z, 1 + (1 div n) AS y, CAST(t AS int) AS x", "id <> 5", lambda i: i != 5 and (i % 5 == 0 or i % 7 == 0)),
+        ("id, 1 div (id - id) AS z", "1=1", lambda i: True),
+        # what the filter raises on, or a column that others' rows enter, is told by halving
+        ("id, CAST(t AS int) AS z", "1 div n >= 0 AND id > 0", lambda i: i % 5 == 0 or i % 7 == 0),
+        ("max(id) AS id, count(*) AS z, sum(1 div n) AS y", "1=1", lambda i: i % 5 == 0),
+    ],
+)
+def test_pipeline_tells_all_rows_beyond_the_limit(spark, root, transform, filter, bad):
+    work, report = numbers(spark, root, StreamDef("s", "t", "t", "id", transform, filter, order_by="id"), TEXT)
+    wrong = [i for i in range(90) if bad(i)]
+    whole = transform.startswith("max")
+    kept = [i for i in range(90) if i not in wrong and (filter == "1=1" or i != 5)]
+    assert (report.isolated, report.stored) == (len(wrong), 1 if whole else len(kept))
+    assert sorted(r.offset for r in dead.read_failed(spark, root, "s").collect()) == wrong
+    assert not dead.read_failed(spark, root, "s").where(f"{dead.ERROR} IS NULL").count()
+    stored = work.table("t").collect()
+    assert [r.z for r in stored] == [len(kept)] if whole else sorted(r.id for r in stored) == kept
+
+
+def test_dead_letter_bisected_stores_all_other_rows(spark, tmp_path):
+    """More rows than the query's limit divide by zero, each with good ones beside it."""
+    ids = [4999 * i + 88 + d for i in range(90) for d in (-1, 0, 4, 8)]
+    events = spark.createDataFrame([(i, i % 11, "click") for i in ids], "event_id long, user_id long, event_type string")
+    events.selectExpr(
+        "event_id", "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS ts", "user_id", "event_type", "1.0D AS value", "'{}' AS props"
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    found = {(r.event_id, r.user_id): r.reason for r in FLOWS["dead_letter_bisected"](spark, str(tmp_path)).collect()}
+    assert found == {(i, i % 11): "transform_failed" if i % 4999 == 88 else "stored" for i in ids}
