@@ -39,12 +39,34 @@ _PIECES = regex.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_WHITE}\p{{L}}\p{{N}}]+"
     rf"|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+"
 )
+#: Letters and digits of later Unicode tables than the tokenizers' library has, which takes them for neither.
+_LATER = "".join(
+    "-".join(chr(int(end, 16)) for end in ends.split("-"))
+    for ends in (
+        "558 58b-58c 88f c5c cdc 208f 209d-209f a7ce-a7cf a7d2 a7d4 a7dd-a7f1 ab6c-ab6d 107bb-107bf 10940-10959 "
+        "10ec5-10eee 11b0a 11db0-11df1 1246f-1247f 12550-12686 16ea0-16ed3 16ff2-16ff6 187f8-187ff 18cd6-18cda "
+        "18d09-191d2 1b123-1b128 1b168 1d6a6 1df1f-1df24 1df2b-1dfff 1e6c0-1e6ff 2b73a-2b73f 2b81e 2cea2-2cead 323b0-3fc3f"
+    ).split()
+)
+_HAS_LATER = re.compile(f"[{_LATER}]")
+#: The first pattern for texts that have some of them.
+_LATER_PIECES = regex.compile(
+    rf"(?V1)'s|'t|'re|'ve|'m|'ll|'d| ?[\p{{L}}--[{_LATER}]]+| ?[\p{{N}}--[{_LATER}]]+| ?[[^{_WHITE}\p{{L}}\p{{N}}][{_LATER}]]+"
+    rf"|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+"
+)
 #: The same for texts of Latin letters, in the faster library; elsewhere classes differ.
 _LATIN = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 _OTHER = re.compile(rf"[^\t-\r -~\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-{chr(0x24F)}]")
 _SPLIT_SHORTER = {"'re", "'ve", "'ll"}
 
 
+def _pieces(text: str) -> list[str]:
+    other = _OTHER.search(text)
+    if not other:
+        return _LATIN.findall(text)
+    return (_LATER_PIECES if _HAS_LATER.search(text, other.start()) else _PIECES).findall(text)
+
+
 def _byte_letters() -> dict[str, int]:
     """Letters that stand for bytes in the vocabulary file: printable ones for themselves."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -137,7 +159,7 @@ class PrefixCounter:
         totals: list[int] = []
         special: list[bool] = []
         for part, whole in self._parts(text):
-            own = [part] if whole else (_PIECES if _OTHER.search(part) else _LATIN).findall(part)
+            own = [part] if whole else _pieces(part)
             counts = [1] if whole else list(map(self._totals.get, own))
             if None in counts:
                 counts = [self._total(p) if n is None else n for p, n in zip(own, counts)]

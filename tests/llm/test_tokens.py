@@ -41,6 +41,13 @@ def test_any_text(text):
     assert COUNTER.total(text) == _library(text)
 
 
+@pytest.mark.parametrize("late", "\u0558\u209e\ua7d2\U00010ec6\U00011de3\U000125f0\U0001e6c0\U000323b0\U0003347a")
+def test_letters_and_digits_that_the_library_does_not_know(late):
+    for text in (late, f"{late}'s", f"a{late}b 1{late}2", f"é {late}{late} \n{late}!漢{late}½", f"'re{late}'ll"):
+        assert COUNTER.total(text) == _library(text)
+        assert list(COUNTER.counts(text)) == [_library(text[:n]) for n in range(len(text) + 1)]
+
+
 @pytest.mark.parametrize("unit", ["a", "ab", "é", "=", " ", "\n", "7", "漢", "xyzzy"])
 def test_long_runs_without_a_break(unit):
     """One piece of a megabyte is counted once, and its prefix looked up."""
